@@ -124,26 +124,37 @@ def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def _keys() -> Column:
-    """One key for each chunk and each symbol of it that may be wrong: the chunk without that symbol."""
+    """(k, key) for each chunk and each symbol of it that may be wrong: a hash of the chunk without that symbol."""
     masks = [_FULL & ~(((1 << BITS) - 1) << lane) for lane in _LANE]
     return F.array(
         *[
-            F.xxhash64(F.lit(c * PER_CHUNK + m), F.col("sig")[c].bitwiseAND(F.lit(mask)))
-            for c in range(CHUNKS)
-            for m, mask in enumerate(masks)
+            F.struct(F.lit(k).alias("k"), F.xxhash64(F.lit(k), F.col("sig")[k // PER_CHUNK].bitwiseAND(F.lit(masks[k % PER_CHUNK]))).alias("key"))
+            for k in range(_N)
         ]
     )
 
 
+def _errors(a: str, b: str, chunk: int) -> Column:
+    """A lane that isn't zero after XOR carries into its spare bit."""
+    return (F.col(a)[chunk].bitwiseXOR(F.col(b)[chunk]) + F.lit(_FULL)).bitwiseAND(F.lit(_CARRY))
+
+
 def _distance(a: str, b: str) -> Column:
-    """Symbols in which two packed signatures differ: a lane that isn't zero after XOR carries into its spare bit."""
-    return reduce(
-        Column.__add__,
-        [
-            F.bit_count((F.col(a)[c].bitwiseXOR(F.col(b)[c]) + F.lit(_FULL)).bitwiseAND(F.lit(_CARRY)))
-            for c in range(CHUNKS)
-        ],
-    )
+    """Symbols in which two packed signatures differ."""
+    return reduce(Column.__add__, [F.bit_count(_errors(a, b, c)) for c in range(CHUNKS)])
+
+
+def _first_key(a: str, b: str) -> Column:
+    """The number of the first key that two signatures share, so that a pair counts in one bucket only."""
+
+    def of(c: int) -> Column:
+        wrong = _errors(a, b, c)
+        at = F.lit(c * PER_CHUNK)
+        for s in range(1, PER_CHUNK):
+            at = F.when(wrong == F.lit(1 << (_LANE[s] + BITS)), c * PER_CHUNK + s).otherwise(at)
+        return F.when(F.bit_count(wrong) <= ERRORS, at)
+
+    return F.coalesce(*[of(c) for c in range(CHUNKS)])
 
 
 def _may_link(a: str, b: str, threshold: int) -> Column:
@@ -180,7 +191,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
        50,000 cases; more similar pairs far more rarely.
     3. In each bucket all members meet the smallest one first, never each other; confirmed links make components.
     4. Pairs across components in buckets that still hold several are compared too, in blocks, with the size and
-       distance tests inside the join. So no bucket is capped, and no link that could join two components is left out.
+       distance tests inside the join, each pair in the first bucket that it shares. So no bucket is capped, and no link that could join two components is left out.
 
     Null and wordless texts have an empty set and are linked with nothing. Rows without doc_id are linked with
     nothing: component_id is null and kept true. Rows that repeat a doc_id count as one document; one row stays
@@ -193,24 +204,27 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
         .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")),
         "classes",
     )
-    keys = classes.select("rep", F.explode(_keys()).alias("key"))
-    shared = keys.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("members")).where("members > 1")
-    buckets = materialize(keys.join(shared, "key"), "buckets")
-
     doc = classes.select(F.col("rep").alias("id"), "n", "sig")
-    star = buckets.where("rep != pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+    keys = classes.select("rep", F.explode(_keys()).alias("e")).select("rep", "e.k", "e.key")
+    shared = keys.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("members")).where("members > 1")
+    buckets = materialize(
+        keys.join(shared, "key")
+        .join(doc, F.col("rep") == F.col("id"))
+        .select("key", "k", "pivot", "members", F.struct("rep", "n", "sig").alias("y")),
+        "buckets",
+    )
+    first = doc.select(F.struct(F.col("id").alias("rep"), "n", "sig").alias("x"))
     near = (
-        star.join(doc.select(F.col("id").alias("a"), F.struct("n", "sig").alias("x")), "a")
-        .join(doc.select(F.col("id").alias("b"), F.struct("n", "sig").alias("y")), "b")
-        .where(_may_link("x", "y", threshold))
-        .select("a", "b")
+        buckets.where("y.rep != pivot")
+        .join(first, (F.col("pivot") == F.col("x.rep")) & _may_link("x", "y", threshold) & (_first_key("x.sig", "y.sig") == F.col("k")))
+        .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
         .distinct()
     )
     links = _confirmed(near, docs, width, threshold)
     found = connected_components(links)
 
-    named = buckets.where("members > 2").join(found, F.col("rep") == F.col("vertex"), "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("component")
+    named = buckets.where("members > 2").join(found, F.col("y.rep") == F.col("vertex"), "left").select(
+        "key", "k", "y", F.coalesce("component", "y.rep").alias("component")
     )
     unsettled = (
         named.groupBy("key")
@@ -219,15 +233,14 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
         .select("key", F.expr(f"cast((g + {PER_BLOCK - 1}) div {PER_BLOCK} as int)").alias("blocks"))
     )
     rows = materialize(
-        named.join(unsettled, "key")
-        .join(doc, F.col("rep") == F.col("id"))
-        .select("key", "blocks", "rep", "component", "n", "sig", F.expr("cast(pmod(xxhash64(rep), blocks) as int)").alias("block")),
+        named.join(unsettled, "key").select(
+            "key", "k", "blocks", "component", "y", F.expr("cast(pmod(xxhash64(y.rep), blocks) as int)").alias("block")
+        ),
         "unsettled",
     )
-    side = F.struct("rep", "component", "n", "sig")
     every = F.explode(F.expr("sequence(0, blocks - 1)"))
-    left = rows.select("key", F.col("block").alias("i"), every.alias("j"), side.alias("x"))
-    right = rows.select("key", every.alias("i"), F.col("block").alias("j"), side.alias("y"))
+    left = rows.select("key", "k", F.col("block").alias("i"), every.alias("j"), F.col("component").alias("cx"), F.col("y").alias("x"))
+    right = rows.select("key", every.alias("i"), F.col("block").alias("j"), F.col("component").alias("cy"), "y")
     across = (
         left.join(
             right,
@@ -235,8 +248,9 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
             & (left["i"] == right["i"])
             & (left["j"] == right["j"])
             & (F.col("x.rep") < F.col("y.rep"))
-            & (F.col("x.component") != F.col("y.component"))
-            & _may_link("x", "y", threshold),
+            & (F.col("cx") != F.col("cy"))
+            & _may_link("x", "y", threshold)
+            & (_first_key("x.sig", "y.sig") == F.col("k")),
         )
         .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
         .distinct()
