@@ -9,6 +9,7 @@ locate the ids. Shards cover ascending ranges of doc_id.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -26,7 +27,7 @@ from ._common import shuffle_partitions, work_dir
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 #: Words whose ids a worker remembers; then it starts afresh.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 #: Bytes of text whose words are looked up together.
 RUN = 1 << 20
 #: Ids in a batch that is handed on.
@@ -39,6 +40,16 @@ _NULL, _AGAIN, _MARK = np.uint64(0x5851F42D4C957F2D), np.uint64(0xDA3E39CB94B95B
 
 # --- encoding
 
+#: Latin letters that are their own composed form, then ASCII marks without the apostrophe (which may begin a contraction).
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that stands for each byte in a byte-level vocabulary: itself, or one from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = (b for b in range(256) if b not in plain)
+    return {b: chr(256 + i) for i, b in enumerate(rest)}
+
 
 class WordEncoder:
     """Encodes whole texts with the tokenizers library, each distinct word once.
@@ -52,10 +63,40 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.packed = [i.to_bytes(self.width, "little") for i in range(size)]
+        self.shown = _byte_letters()
         self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _piece(self, piece: str) -> bytes:
+        """The ids of one match of the pre-tokeniser: letters in lower case, or marks."""
+        raw = piece.encode().decode("latin-1").translate(self.shown)
+        return b"".join([self.packed[t.id] for t in self.tokenizer.model.tokenize(raw)])
 
     def learn(self, words: list[bytes]) -> None:
-        """Encodes new words, joined by spaces; the offset of each id tells its word."""
+        """Encodes new words. Those of Latin letters and then marks go straight to the library's merges, as normalising
+        and splitting them is plain; all others go through the library's whole chain."""
+        other = []
+        known, pieces, match, piece = self.known, self.pieces, _PLAIN.fullmatch, self._piece
+        for w in words:
+            found = match(w.decode("utf-8", "replace"))
+            if found is None:
+                other.append(w)
+                continue
+            out = b""
+            for part in found.groups():
+                if part:
+                    part = part.lower()
+                    ids = pieces.get(part)
+                    if ids is None:
+                        ids = pieces[part] = piece(part)
+                    out += ids
+            known[w] = out
+        self._learn_others(other)
+
+    def _learn_others(self, words: list[bytes]) -> None:
+        """Words joined by spaces; the offset of each id tells its word."""
         for at in range(0, len(words), 20_000):
             some = words[at : at + 20_000]
             texts = [w.decode("utf-8", "replace") for w in some]
@@ -72,7 +113,9 @@ class WordEncoder:
         """The ids of each text as raw bytes of self.width each."""
         run, size = [], 0
         for text in texts:
-            run.append(text.split())
+            # ASCII capitals may go first unless a mark that composes with them, or a special token, could be there
+            plain = b"\xcc" not in text and b"\xcd" not in text and b"<|" not in text
+            run.append((text.lower() if plain else text).split())
             size += len(text)
             if size > RUN:
                 yield from self._run(run)
@@ -83,6 +126,7 @@ class WordEncoder:
         new = set().union(*run) - self.known.keys()
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
+            self.pieces.clear()
             new = set().union(*run)
         self.learn(list(new))
         get = self.known.__getitem__
