@@ -98,7 +98,8 @@ def resolve(status: DataFrame, mapping: DataFrame, profiles: DataFrame, facts: D
 def effective(resolved: DataFrame, profiles: DataFrame, facts: DataFrame) -> DataFrame:
     """A row for each document and fact of its active profile."""
     active = profiles.where("is_active").select("profile_id")
-    return resolved.where("profile_id is not null").join(active, "profile_id").join(facts, "profile_id")
+    own = facts.select("profile_id", *[c for c in facts.columns if c not in resolved.columns])
+    return resolved.where("profile_id is not null").join(active, "profile_id").join(own, "profile_id")
 
 
 def fact_counts(profiles: DataFrame, facts: DataFrame) -> DataFrame:
