@@ -102,7 +102,8 @@ def fingerprints(rows: DataFrame, fields=FIELDS, huge: int = HUGE) -> DataFrame:
     short = rows.where(size <= huge).mapInArrow(_hash_rows(fields), f"{schema}, n_bytes long, fp1 long, fp2 long")
     dealt = (
         rows.where(size > huge)
-        .select(*rest, size.cast("long").alias("n_bytes"), F.monotonically_increasing_id().alias("_row"), F.expr(f"explode({_chunks('text')}) as c"))
+        .withColumn("_row", F.monotonically_increasing_id())  # before the rows are exploded
+        .select(*rest, size.cast("long").alias("n_bytes"), "_row", F.expr(f"explode({_chunks('text')}) as c"))
         .select(*rest, "n_bytes", "_row", "c.*")
         .repartition("_row", "pos")
         .drop("pos")
@@ -126,8 +127,9 @@ def _unequal(docs: DataFrame, members: DataFrame) -> DataFrame:
         texts.join(small_side(wanted), F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_sha") == F.col("text_sha256")))
         .withColumn("copies", F.expr(f"cast((group_size + {PER_COPY - 1}) div {PER_COPY} as int)"))
         .withColumn("is_rep", F.col("doc_id").eqNullSafe(F.col("rep.doc_id")) & (F.col("text_sha256") == F.col("rep.text_sha256")))
-        .select(*_FP, "copies", "is_rep", F.monotonically_increasing_id().alias("_row"), F.expr(f"explode({_chunks('text')}) as c"))
-        .select(*_FP, "copies", "is_rep", "c.pos", "c.chunk", F.expr("cast(pmod(xxhash64(_row), copies) as int)").alias("copy"))
+        .withColumn("copy", F.expr("cast(pmod(xxhash64(monotonically_increasing_id()), copies) as int)"))
+        .select(*_FP, "copies", "is_rep", "copy", F.expr(f"explode({_chunks('text')}) as c"))
+        .select(*_FP, "copies", "is_rep", "copy", "c.pos", "c.chunk")
     )
     rep = (
         parts.where("is_rep")
