@@ -84,9 +84,10 @@ def confidence(docs: DataFrame) -> DataFrame:
 
 def identity(docs: DataFrame, first_page: str = "first_page", given: str = "spec_sheet") -> DataFrame:
     """The spec number of the first page wins over the given one, with a warning where they differ."""
-    found = t.spec_header(first_page)
-    out = docs.withColumn("detected_spec_sheet", found)
-    return out.withColumn(given, F.coalesce("detected_spec_sheet", given)).withColumn("identity_warning", found.isNotNull() & ~found.eqNullSafe(docs[given]))
+    out = docs.withColumn("detected_spec_sheet", t.spec_header(first_page))
+    found = F.col("detected_spec_sheet")
+    out = out.withColumn("identity_warning", found.isNotNull() & ~found.eqNullSafe(F.col(given)))
+    return out.withColumn(given, F.coalesce(found, F.col(given)))
 
 
 # --- gates
