@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A join side with at most this many narrow rows may be broadcast; more rows are joined by shuffle.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 200_000
 
 
 def shared_dir(spark: SparkSession) -> str:
