@@ -278,15 +278,37 @@ def _window_index(numbers: np.ndarray) -> np.ndarray:
 # --- training
 
 
+def all_words(texts: list[bytes]) -> tuple[Words, list[np.ndarray]]:
+    """The distinct words of many texts, and each text's words by number; worked out in blocks, so that memory follows
+    the distinct words and not the bytes."""
+    blocks, numbers, owners = [], [], []
+    at = 0
+    while at < len(texts):
+        to, size = at, 0
+        while to < len(texts) and (to == at or size + len(texts[to]) < BLOCK):
+            size += len(texts[to]) + 1
+            to += 1
+        data = np.frombuffer(b"\n".join(texts[at:to]) + b"\n", np.uint8)
+        cuts = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts[at:to]])))
+        words, number, starts = distinct_words(data, cuts[:-1])
+        blocks.append(words)
+        bounds = np.searchsorted(starts, cuts)
+        numbers += [number[a:b].astype(np.int32) for a, b in zip(bounds, bounds[1:], strict=False)]
+        owners += [len(blocks) - 1] * (to - at)
+        at = to
+    base = np.cumsum([0] + [len(b.hashes) for b in blocks])
+    keys, first, inverse = np.unique(np.concatenate([b.hashes for b in blocks]), return_index=True, return_inverse=True)
+    block = np.searchsorted(base, first, "right") - 1
+    runs = [blocks[k].grams[blocks[k].bounds[i - base[k]] : blocks[k].bounds[i - base[k] + 1]] for k, i in zip(block.tolist(), first.tolist(), strict=True)]
+    bounds = np.concatenate(([0], np.cumsum([len(x) for x in runs])))
+    out = Words(keys, np.concatenate(runs) if runs else np.zeros(0, np.uint64), bounds)
+    return out, [inverse[base[k] + n] for k, n in zip(owners, numbers, strict=True)]
+
+
 def fit(texts: list[bytes], toxic: np.ndarray, prior: float, seed: int = 5, rounds: int = 3, epochs: int = 6) -> Model:
     """Trains on whole documents by their most suspicious windows, chosen anew in each round."""
     rng = np.random.default_rng(seed)
-    lengths = np.array([len(t) + 1 for t in texts])
-    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    cuts = np.cumsum(lengths) - lengths
-    words, number, starts = distinct_words(data, cuts)
-    bounds = np.searchsorted(starts, np.append(cuts, len(data)))
-    docs = [number[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+    words, docs = all_words(texts)
     fold = rng.permutation(len(texts)) % FOLDS
     gram_keys, gram_number = np.unique(words.grams, return_inverse=True)
     word_in = np.zeros((2, FOLDS, len(words.hashes)), np.int32)
