@@ -13,8 +13,24 @@ from .dims import CAVITIES, CLASS_OF_KEY, CLASS_P, FINISHES
 from .relational import first_wins, last_wins, titled_first
 
 _CAVITY = "(?:" + "|".join(map(str, CAVITIES)) + ")"
+# Patterns of the documents' notation. They have to accept what they accept for right results.
 NUMBER = r"\d+(?:\.\d+)?"
 POUNDS = r"(?:inch[- ]?\s*pounds?|in[- ]lbs?|in[- ]lbf)"
+PART = r"(M\d{5}/\d{1,2}\s*-\s*[A-Z]\s*(?:\d{2}(?:\s*\d+/)?)?\s*[A-Z](?:\s*[A-Z]\b)?)"
+HARDWARE_PART = r"(M\d{5}/05-\d{2}(?:RP)?)"
+DIMENSION = r"\b([A-D])\s*[=:]?\s*(\d+\.\d+)\b"
+FIGURE = r"(?i)FIGURE\s+(\d+)\.?\s*([^.\n]+)?"
+INSERT = r"([A-Z])\s*=\s*(0?9|15|21|25|31|37|51|100)\b"
+FINISH = r"(?i)\b([ACKNPT])\s*=\s*[A-Z][A-Z ,()/-]+"
+TERMINATION = r"(\d{2})\s*=\s*(\.\d{3})"
+HARDWARE_CODE = r"(?i)\b([NPTW])\s*=\s*(no hardware or threaded insert|jackpost and threaded insert|jackpost attach|threaded insert)"
+WIRE = r"(?is)(\d{2})\s*=\s*(.*?)(?=\s\d{2}\s*=|\s1/\s+These connectors|$)"
+WIRE_BODY = r"^(.*?)\s(0\.5|1\.0|\d{2})(?:\s+inch(?:es)?\s+long)?\s+((?:\d+/[\s,]*)+)(?:\s+(.*))?$"
+TORQUE_RANGE = rf"(?i){NUMBER}\s*(?:to|-)\s*{NUMBER}\s*{POUNDS}"
+TORQUE_FOR_THREAD = rf"(?i){NUMBER}\s*{POUNDS}\s+for\s+#\d+-\d+(?:\s*\([^)]+\))?"
+TORQUE_REFERENCE = r"(?i)(?:mating|mounting)\s+hardware\s+torque\s*:.*?in accordance with\s+MIL-DTL-\d{5}/5"
+HARDWARE_REFERENCE = r"(?i)mounting\s+and\s+mating\s+hardware\s*:.*?MIL-DTL-\d{5}/5(?:,\s*configurations?\s*[A-C](?:\s+and\s+[A-C])?)?"
+SOLDER_CUP = r"(?i)(?:(\d{2})\s+AWG\s+wire\s+is\s+the\s+maximum\s+wire\s+size[^.]*solder\s+cup|solder\s+cup\s+will\s+accept\s+size\s+(\d{2})\s+AWG\s+maximum)"
 
 
 def all_groups(text: Column | str, pattern: str, *groups: int, names: tuple[str, ...]) -> Column:
@@ -47,8 +63,8 @@ def joined(pages: DataFrame, sep: str = "\n", after: int = 0) -> DataFrame:
 
 def example_parts(c: Column | str) -> Column:
     """Part numbers in their accepted form, distinct and sorted."""
-    found = F.regexp_extract_all(F.upper(t.dashes(c)), F.lit(r"(M\d{5}/\d{1,2}\s*-\s*[A-Z]\s*(?:\d{2}(?:\s*\d+/)?)?\s*[A-Z](?:\s*[A-Z]\b)?)"), F.lit(1))
-    hardware = F.regexp_extract_all(F.upper(t.col(c)), F.lit(r"(M\d{5}/05-\d{2}(?:RP)?)"), F.lit(1))
+    found = F.regexp_extract_all(F.upper(t.dashes(c)), F.lit(PART), F.lit(1))
+    hardware = F.regexp_extract_all(F.upper(t.col(c)), F.lit(HARDWARE_PART), F.lit(1))
     clean = F.transform(found, t.clean_part_number)
     ok = F.filter(F.concat(clean, hardware), lambda x: x.rlike(r"^M\d{5}/\d{2}-[A-Z](?:\d{2})?[A-Z]{1,2}$") | x.rlike(r"^M\d{5}/05-\d{2}(?:RP)?$"))
     return F.array_sort(F.array_distinct(ok))
@@ -56,7 +72,7 @@ def example_parts(c: Column | str) -> Column:
 
 def dimension_hits(c: Column | str) -> Column:
     """map<label, number> of labels A to D followed by a decimal; the first of each label."""
-    hits = all_groups(c, r"\b([A-D])\s*[=:]?\s*(\d+\.\d+)\b", 1, 2, names=("label", "value"))
+    hits = all_groups(c, DIMENSION, 1, 2, names=("label", "value"))
     of = lambda k: F.get(F.filter(hits, lambda x: x["label"] == k), F.lit(0))
     first = F.filter(F.array(*[of(k) for k in "ABCD"]), lambda x: x.isNotNull())
     return F.map_from_entries(F.transform(first, lambda x: F.struct(x["label"], x["value"].cast("double"))))
@@ -80,7 +96,7 @@ def references(c: Column | str, pattern: str) -> Column:
 
 
 def figure_references(c: Column | str) -> Column:
-    found = all_groups(c, r"(?i)FIGURE\s+(\d+)\.?\s*([^.\n]+)?", 1, 2, names=("number", "title"))
+    found = all_groups(c, FIGURE, 1, 2, names=("number", "title"))
     clean = lambda x: t.blank_to_null(F.regexp_replace(t.collapse(x["title"]), "^[ -]+|[ -]+$", ""))
     return F.transform(found, lambda x: F.struct(x["number"].cast("int").alias("figure_number"), F.concat(F.lit("Figure "), x["number"]).alias("label"), clean(x).alias("title")))
 
@@ -142,14 +158,14 @@ def torque_facts(pages: DataFrame, table: DataFrame | None = None) -> DataFrame:
         return out.where(keep) if keep is not None else out
 
     get = lambda pattern, g: F.regexp_extract("m", pattern, g)
-    span = rf"(?i){NUMBER}\s*(?:to|-)\s*{NUMBER}\s*{POUNDS}"
+    span = TORQUE_RANGE
     ranged = rows(p.where(about), 1, span, get(rf"(?i)^({NUMBER})", 1).cast("double"), get(rf"(?i)(?:to|-)\s*({NUMBER})", 1).cast("double"), none("string"), none("string"), F.lit("hardware"), F.lower("torque_text").contains("torque"))
-    single = rf"(?i){NUMBER}\s*{POUNDS}\s+for\s+#\d+-\d+(?:\s*\([^)]+\))?"
+    single = TORQUE_FOR_THREAD
     value = get(rf"^({NUMBER})", 1).cast("double")
     threaded = rows(p.where(about), 2, single, value, value, get(r"(#\d+-\d+)", 1), t.blank_to_null(t.collapse(get(r"\(([^)]+)\)\s*$", 1))), F.lit("hardware"))
-    refers = r"(?i)(?:mating|mounting)\s+hardware\s+torque\s*:.*?in accordance with\s+MIL-DTL-\d{5}/5"
+    refers = TORQUE_REFERENCE
     reference = rows(p.where(about), 3, refers, none("double"), none("double"), none("string"), none("string"), F.upper(get(r"(?i)(MIL-DTL-\d{5}/5)", 1)))
-    names = r"(?i)mounting\s+and\s+mating\s+hardware\s*:.*?MIL-DTL-\d{5}/5(?:,\s*configurations?\s*[A-C](?:\s+and\s+[A-C])?)?"
+    names = HARDWARE_REFERENCE
     hardware = rows(p.where(~F.col("text").rlike(refers)), 0, names, none("double"), none("double"), none("string"), none("string"), F.upper(get(r"(?i)(MIL-DTL-\d{5}/5)", 1)), context=F.lit("hardware_reference"))
     hardware = first_wins(hardware, ["doc_key", "page_number"], "i")
     out = hardware.unionByName(ranged).unionByName(threaded).unionByName(reference)
@@ -253,7 +269,7 @@ def with_synthesized(rows: DataFrame, inserts: DataFrame) -> DataFrame:
 
 def insert_map(pin: Column | str) -> Column:
     """Inserts with their cavity counts in order of appearance; the first of each letter."""
-    found = all_groups(pin, rf"([A-Z])\s*=\s*(0?9|15|21|25|31|37|51|100)\b", 1, 2, names=("code", "n"))
+    found = all_groups(pin, INSERT, 1, 2, names=("code", "n"))
     first = F.filter(F.transform(found, lambda x, i: F.struct(x["code"].alias("insert_arrangement"), x["n"].cast("int").alias("cavity_count"), i.alias("i"))),
                      lambda x: F.array_position(F.transform(found, lambda y: y["code"]), x["insert_arrangement"]) == x["i"] + 1)
     return F.transform(first, lambda x: F.struct(x["insert_arrangement"], x["cavity_count"]))
@@ -261,18 +277,18 @@ def insert_map(pin: Column | str) -> Column:
 
 def finish_map(pin: Column | str) -> Column:
     """Known finishes in order of appearance with their usual description; the first of each code."""
-    codes = F.array_distinct(F.transform(F.regexp_extract_all(t.col(pin), F.lit(r"(?i)\b([ACKNPT])\s*=\s*[A-Z][A-Z ,()/-]+"), F.lit(1)), F.upper))
+    codes = F.array_distinct(F.transform(F.regexp_extract_all(t.col(pin), F.lit(FINISH), F.lit(1)), F.upper))
     usual = F.create_map(*[F.lit(x) for pair in FINISHES for x in pair])
     return F.transform(codes, lambda c: F.struct(c.alias("code"), usual[c].alias("description")))
 
 
 def termination_options(c: Column | str) -> Column:
-    found = all_groups(c, r"(\d{2})\s*=\s*(\.\d{3})", 1, 2, names=("code", "length"))
+    found = all_groups(c, TERMINATION, 1, 2, names=("code", "length"))
     return F.transform(found, lambda x: F.struct(x["code"], x["length"].cast("double").alias("length_inches")))
 
 
 def hardware_codes(c: Column | str) -> Column:
-    found = all_groups(c, r"(?i)\b([NPTW])\s*=\s*(no hardware or threaded insert|jackpost and threaded insert|jackpost attach|threaded insert)", 1, 2, names=("code", "description"))
+    found = all_groups(c, HARDWARE_CODE, 1, 2, names=("code", "description"))
     return F.transform(found, lambda x: F.struct(F.upper(x["code"]).alias("code"), t.collapse(x["description"]).alias("description")))
 
 
@@ -335,10 +351,10 @@ def wire_options(pages: DataFrame, after: int = 5) -> DataFrame:
     Rows without a length are dropped, unknown notes too; the last row of a code stays.
     """
     d = joined(pages, " ", after).withColumn("notes", wire_notes("text"))
-    rows = all_groups("text", r"(?is)(\d{2})\s*=\s*(.*?)(?=\s\d{2}\s*=|\s1/\s+These connectors|$)", 1, 2, names=("code", "body"))
+    rows = all_groups("text", WIRE, 1, 2, names=("code", "body"))
     r = d.select("doc_key", "notes", F.posexplode(rows).alias("i", "w"))
     body = F.trim(F.regexp_replace(t.collapse("w.body"), r"(?:See notes at end of wire type|These connectors have leads attached).*$", ""))
-    shape = r"^(.*?)\s(0\.5|1\.0|\d{2})(?:\s+inch(?:es)?\s+long)?\s+((?:\d+/[\s,]*)+)(?:\s+(.*))?$"
+    shape = WIRE_BODY
     r = r.withColumn("body", body).where(F.col("body").rlike(shape))
     spec = F.concat_ws(" ", t.blank_to_null(F.regexp_extract("body", shape, 1)), t.blank_to_null(F.regexp_extract("body", shape, 4)))
     spec = F.regexp_replace(t.collapse(F.regexp_replace(spec, rf"\b[A-Z]\s*=\s*{_CAVITY}\b", "")), "^[ ,;]+|[ ,;]+$", "")
@@ -353,7 +369,7 @@ def wire_options(pages: DataFrame, after: int = 5) -> DataFrame:
 
 def solder_cup_limit(c: Column | str) -> Column:
     """The largest gauge a solder cup takes, if the page says so."""
-    limit = r"(?i)(?:(\d{2})\s+AWG\s+wire\s+is\s+the\s+maximum\s+wire\s+size[^.]*solder\s+cup|solder\s+cup\s+will\s+accept\s+size\s+(\d{2})\s+AWG\s+maximum)"
+    limit = SOLDER_CUP
     return F.coalesce(t.blank_to_null(F.regexp_extract(t.collapse(c), limit, 1)), t.blank_to_null(F.regexp_extract(t.collapse(c), limit, 2))).cast("int")
 
 
