@@ -9,10 +9,10 @@ from ._common import materialize
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Every neighbour above a vertex moves to the smallest vertex around it. edges: u > v."""
+    """Every neighbour above a vertex moves to the smallest vertex around it; edges may repeat. edges: u > v."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    return both.where("v > u").join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.where("v > u").join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -134,33 +134,31 @@ def _keys() -> Column:
     )
 
 
-def _errors(a: str, b: str, chunk: int) -> Column:
-    """A lane that isn't zero after XOR carries into its spare bit."""
-    return (F.col(a)[chunk].bitwiseXOR(F.col(b)[chunk]) + F.lit(_FULL)).bitwiseAND(F.lit(_CARRY))
+def _flat(side: str) -> list[Column]:
+    """The chunks of a signature as columns that can't be null, so that a join's condition stays small."""
+    return [F.coalesce(F.col("sig")[c], F.lit(0).cast("long")).alias(f"{side}{c}") for c in range(CHUNKS)]
 
 
-def _distance(a: str, b: str) -> Column:
-    """Symbols in which two packed signatures differ."""
-    return reduce(Column.__add__, [F.bit_count(_errors(a, b, c)) for c in range(CHUNKS)])
+def _wrong(chunk: int) -> Column:
+    """Bits of the symbols in which x and y differ: a lane that isn't zero after XOR carries into its spare bit."""
+    return (F.col(f"x{chunk}").bitwiseXOR(F.col(f"y{chunk}")) + F.lit(_FULL)).bitwiseAND(F.lit(_CARRY))
 
 
-def _first_key(a: str, b: str) -> Column:
-    """The number of the first key that two signatures share, so that a pair counts in one bucket only."""
+def _near(threshold: int) -> Column:
+    """Whether x and y in the bucket of y's key k may be linked and meet here first.
 
-    def of(c: int) -> Column:
-        wrong = _errors(a, b, c)
-        at = F.lit(c * PER_CHUNK)
-        for s in range(1, PER_CHUNK):
-            at = F.when(wrong == F.lit(1 << (_LANE[s] + BITS)), c * PER_CHUNK + s).otherwise(at)
-        return F.when(F.bit_count(wrong) <= ERRORS, at)
-
-    return F.coalesce(*[of(c) for c in range(CHUNKS)])
-
-
-def _may_link(a: str, b: str, threshold: int) -> Column:
-    """Sizes that allow a link, and signatures within DISTANCE."""
-    n = [F.col(f"{x}.n") for x in (a, b)]
-    return (F.least(*n) * 100 >= F.greatest(*n) * threshold) & (_distance(f"{a}.sig", f"{b}.sig") <= DISTANCE)
+    Their sizes allow a link, their signatures are within DISTANCE, no chunk before the key's has ERRORS or fewer (the
+    key's own has, as they share it), and of the keys of an equal chunk only the first counts.
+    """
+    every = lambda f: reduce(Column.bitwiseOR, [F.when(f(c), F.lit(1 << c)).otherwise(F.lit(0)) for c in range(CHUNKS)])
+    close = every(lambda c: F.bit_count(_wrong(c)) <= ERRORS)
+    equal = every(lambda c: F.col(f"x{c}") == F.col(f"y{c}"))
+    return (
+        (F.least("xn", "yn") * 100 >= F.greatest("xn", "yn") * threshold)
+        & (reduce(Column.__add__, [F.bit_count(_wrong(c)) for c in range(CHUNKS)]) <= DISTANCE)
+        & (close.bitwiseAND(2 * F.col("bit") - 1) == F.col("bit"))
+        & (F.col("leading") | (equal.bitwiseAND(F.col("bit")) == 0))
+    )
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, threshold: int) -> DataFrame:
@@ -207,24 +205,20 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
     doc = classes.select(F.col("rep").alias("id"), "n", "sig")
     keys = classes.select("rep", F.explode(_keys()).alias("e")).select("rep", "e.k", "e.key")
     shared = keys.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("members")).where("members > 1")
-    buckets = materialize(
-        keys.join(shared, "key")
-        .join(doc, F.col("rep") == F.col("id"))
-        .select("key", "k", "pivot", "members", F.struct("rep", "n", "sig").alias("y")),
-        "buckets",
-    )
-    first = doc.select(F.struct(F.col("id").alias("rep"), "n", "sig").alias("x"))
-    near = (
-        buckets.where("y.rep != pivot")
-        .join(first, (F.col("pivot") == F.col("x.rep")) & _may_link("x", "y", threshold) & (_first_key("x.sig", "y.sig") == F.col("k")))
-        .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
-        .distinct()
+    stored = materialize(
+        keys.join(shared, "key").join(doc, F.col("rep") == F.col("id")).select("key", "k", "pivot", "members", "rep", "n", "sig"), "buckets"
     )
+    place = [F.expr(f"shiftleft(1, k div {PER_CHUNK})").alias("bit"), (F.col("k") % PER_CHUNK == 0).alias("leading")]
+    buckets = stored.select("key", *place, "pivot", "members", F.col("rep").alias("y"), F.col("n").alias("yn"), *_flat("y"))
+    first = doc.select(F.col("id").alias("x"), F.col("n").alias("xn"), *_flat("x"))
+    near = buckets.where("y != pivot").join(first, (F.col("pivot") == F.col("x")) & _near(threshold)).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
     links = _confirmed(near, docs, width, threshold)
     found = connected_components(links)
 
-    named = buckets.where("members > 2").join(found, F.col("y.rep") == F.col("vertex"), "left").select(
-        "key", "k", "y", F.coalesce("component", "y.rep").alias("component")
+    named = (
+        stored.where("members > 2")
+        .join(found, F.col("rep") == F.col("vertex"), "left")
+        .select("key", "k", "rep", "n", "sig", F.coalesce("component", "rep").alias("component"))
     )
     unsettled = (
         named.groupBy("key")
@@ -234,25 +228,19 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
     )
     rows = materialize(
         named.join(unsettled, "key").select(
-            "key", "k", "blocks", "component", "y", F.expr("cast(pmod(xxhash64(y.rep), blocks) as int)").alias("block")
+            "key", "k", "blocks", "component", "rep", "n", "sig", F.expr("cast(pmod(xxhash64(rep), blocks) as int)").alias("block")
         ),
         "unsettled",
     )
     every = F.explode(F.expr("sequence(0, blocks - 1)"))
-    left = rows.select("key", "k", F.col("block").alias("i"), every.alias("j"), F.col("component").alias("cx"), F.col("y").alias("x"))
-    right = rows.select("key", every.alias("i"), F.col("block").alias("j"), F.col("component").alias("cy"), "y")
+    left = rows.select("key", F.col("block").alias("i"), every.alias("j"), F.col("component").alias("cx"), F.col("rep").alias("x"), F.col("n").alias("xn"), *_flat("x"))
+    right = rows.select("key", *place, every.alias("i"), F.col("block").alias("j"), F.col("component").alias("cy"), F.col("rep").alias("y"), F.col("n").alias("yn"), *_flat("y"))
     across = (
         left.join(
             right,
-            (left["key"] == right["key"])
-            & (left["i"] == right["i"])
-            & (left["j"] == right["j"])
-            & (F.col("x.rep") < F.col("y.rep"))
-            & (F.col("cx") != F.col("cy"))
-            & _may_link("x", "y", threshold)
-            & (_first_key("x.sig", "y.sig") == F.col("k")),
+            (left["key"] == right["key"]) & (left["i"] == right["i"]) & (left["j"] == right["j"]) & (F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & _near(threshold),
         )
-        .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+        .select(F.col("x").alias("a"), F.col("y").alias("b"))
         .distinct()
     )
     more = _confirmed(across, docs, width, threshold)
