@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="the test tabl
 
 
 def plain(v):
-    if v is None or v != v or str(v) in ("<NA>", "NaT"):
+    if v is None or str(v) in ("<NA>", "NaT", "nan"):
         return None
     if isinstance(v, float):
         return float(f"{v:.9g}")
