@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..functions import values as v
 from ..operators import dims, quality, search, torque
 from ..operators import relational as r
+from ..operators import variants
 from ..plans import release
 from ..sources.tables import table
 from .base import PARTS_SQL, configurations, query
+from .joins import _no_shapes, _records
 
 
 @query("SELECT p_brand, p_type, count(*) AS n, grouping(p_brand, p_type)::BIGINT AS level FROM part GROUP BY GROUPING SETS ((), (p_brand), (p_brand, p_type))")
@@ -128,7 +131,7 @@ def w_latest(spark, d):
 @query("""
 SELECT event_id, last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS last_purchase,
   array_to_string(list(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 5 PRECEDING AND CURRENT ROW), ' ') AS header FROM events
-""".replace("last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS)", "last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS)"))
+""")
 def w_carry_forward(spark, d):
     e = table(spark, d, "events").withColumn("p", F.when(F.col("event_type") == "purchase", F.col("value")))
     out = r.carry_forward(e, "user_id", ["ts", "event_id"], "p", "last_purchase")
@@ -139,8 +142,6 @@ def w_carry_forward(spark, d):
 SELECT event_id, lead(ts) OVER w AS next_ts, array_to_string(list(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND 7 FOLLOWING), ' ') AS ahead FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
 """)
 def w_lookahead(spark, d):
-    from pyspark.sql import Window
-
     e = table(spark, d, "events").withColumn("next_ts", F.lead("ts").over(Window.partitionBy("user_id").orderBy("ts", "event_id")))
     out = r.look_ahead(e, "user_id", ["ts", "event_id"], "event_type", "a")
     return out.select("event_id", "next_ts", F.when(F.size("a") > 0, F.array_join("a", " ")).alias("ahead"))
@@ -245,7 +246,7 @@ def m_score(spark, d):
     return j.withColumn("score", score).select("doc_id", F.bround("score", 2).alias("confidence"), (F.col("score") < 0.85).alias("needs_fallback"), v.ordinal("n_chars", 1800).alias("ordinal"))
 
 
-@query(f"""
+@query("""
 WITH a AS (SELECT CASE WHEN p_size > 25 THEN 'large' ELSE 'small' END AS verdict, p_partkey::VARCHAR AS case_id FROM part WHERE p_partkey < 40)
 SELECT verdict, count(*) AS n, string_agg(case_id, ',' ORDER BY case_id) AS case_ids FROM a GROUP BY verdict
 """)
@@ -263,9 +264,6 @@ def a_verdict_summary(spark, d):
 ) + ") t(name, status, details)")
 def q_edge_checks(spark, d):
     """The 21 checks of a rebuild over generated variants and wires."""
-    from ..operators import variants
-    from .joins import _no_shapes, _records
-
     configs = variants.configurations(_records(spark), _no_shapes(spark))
     counts = spark.createDataFrame([("03", 58), ("04", 58), ("08", 22), ("09", 58)], "slash_sheet string, n int")
     wires = configs.join(counts, "slash_sheet").select("slash_sheet", F.explode(F.sequence(F.lit(1), "n")).alias("w"))

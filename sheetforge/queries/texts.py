@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as t
@@ -165,9 +168,7 @@ def x_number_pairs(spark, d):
         pair(block, "part", extract.example_parts("text"), "x", "''"),
         pair(block, "figure", extract.figure_references("text"), "cast(x.figure_number as string)", "coalesce(x.title, '')"),
     ]
-    from functools import reduce
-
-    return reduce(lambda a, b: a.unionByName(b), out)
+    return reduce(DataFrame.unionByName, out)
 
 
 @query("""
@@ -185,8 +186,8 @@ def x_table_rows(spark, d):
 
 
 @query("""
-SELECT * FROM (VALUES ('2', 'mating_hardware', 2.5, 2.5, '#2-56', 'Metal shell'), ('2', 'mounting_hardware', 3.0, 4.0, NULL, NULL)) t(doc_key, context, min_in_lbf, max_in_lbf, thread, scope)
-""".replace("2.5, 2.5", "2.5::DOUBLE, 2.5::DOUBLE").replace("3.0, 4.0", "3.0::DOUBLE, 4.0::DOUBLE"))
+SELECT * FROM (VALUES ('2', 'mating_hardware', 2.5::DOUBLE, 2.5::DOUBLE, '#2-56', 'Metal shell'), ('2', 'mounting_hardware', 3.0::DOUBLE, 4.0::DOUBLE, NULL, NULL)) t(doc_key, context, min_in_lbf, max_in_lbf, thread, scope)
+""")
 def x_torque(spark, d):
     return extract.torque_facts(_pages(spark)).select("doc_key", "context", "min_in_lbf", "max_in_lbf", "thread", "scope")
 
