@@ -145,20 +145,21 @@ def _wrong(chunk: int) -> Column:
 
 
 def _near(threshold: int) -> Column:
-    """Whether x and y in the bucket of y's key k may be linked and meet here first.
+    """Whether the sizes of x and y allow a link, and their signatures are within DISTANCE."""
+    sizes = F.least("xn", "yn") * 100 >= F.greatest("xn", "yn") * threshold
+    return sizes & (reduce(Column.__add__, [F.bit_count(_wrong(c)) for c in range(CHUNKS)]) <= DISTANCE)
 
-    Their sizes allow a link, their signatures are within DISTANCE, no chunk before the key's has ERRORS or fewer (the
-    key's own has, as they share it), and of the keys of an equal chunk only the first counts.
+
+def _meet_first() -> Column:
+    """Whether the bucket of y's key k is the first that x and y share, so that a pair counts in one bucket only.
+
+    No chunk before the key's has ERRORS or fewer (the key's own has, as they share it), and of the keys of an equal
+    chunk only the first counts.
     """
     every = lambda f: reduce(Column.bitwiseOR, [F.when(f(c), F.lit(1 << c)).otherwise(F.lit(0)) for c in range(CHUNKS)])
     close = every(lambda c: F.bit_count(_wrong(c)) <= ERRORS)
     equal = every(lambda c: F.col(f"x{c}") == F.col(f"y{c}"))
-    return (
-        (F.least("xn", "yn") * 100 >= F.greatest("xn", "yn") * threshold)
-        & (reduce(Column.__add__, [F.bit_count(_wrong(c)) for c in range(CHUNKS)]) <= DISTANCE)
-        & (close.bitwiseAND(2 * F.col("bit") - 1) == F.col("bit"))
-        & (F.col("leading") | (equal.bitwiseAND(F.col("bit")) == 0))
-    )
+    return (close.bitwiseAND(2 * F.col("bit") - 1) == F.col("bit")) & (F.col("leading") | (equal.bitwiseAND(F.col("bit")) == 0))
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, threshold: int) -> DataFrame:
@@ -209,9 +210,9 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
         keys.join(shared, "key").join(doc, F.col("rep") == F.col("id")).select("key", "k", "pivot", "members", "rep", "n", "sig"), "buckets"
     )
     place = [F.expr(f"shiftleft(1, k div {PER_CHUNK})").alias("bit"), (F.col("k") % PER_CHUNK == 0).alias("leading")]
-    buckets = stored.select("key", *place, "pivot", "members", F.col("rep").alias("y"), F.col("n").alias("yn"), *_flat("y"))
+    others = stored.where("rep != pivot").select("pivot", F.col("rep").alias("y"), F.col("n").alias("yn"), *_flat("y"))
     first = doc.select(F.col("id").alias("x"), F.col("n").alias("xn"), *_flat("x"))
-    near = buckets.where("y != pivot").join(first, (F.col("pivot") == F.col("x")) & _near(threshold)).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    near = others.join(first, (F.col("pivot") == F.col("x")) & _near(threshold)).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
     links = _confirmed(near, docs, width, threshold)
     found = connected_components(links)
 
@@ -238,7 +239,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
     across = (
         left.join(
             right,
-            (left["key"] == right["key"]) & (left["i"] == right["i"]) & (left["j"] == right["j"]) & (F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & _near(threshold),
+            (left["key"] == right["key"]) & (left["i"] == right["i"]) & (left["j"] == right["j"]) & (F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & _near(threshold) & _meet_first(),
         )
         .select(F.col("x").alias("a"), F.col("y").alias("b"))
         .distinct()
