@@ -25,8 +25,6 @@ ERRORS = 1
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
 #: Buckets that aren't settled by their smallest member are compared in blocks of about so many members.
 PER_BLOCK = 1024
-#: Times that the members of unsettled buckets meet a member chosen by a hash, before all pairs across components are compared.
-TURNS = 1
 
 _LANE = [s * (BITS + 1) for s in range(PER_CHUNK)]
 _FULL = sum(((1 << BITS) - 1) << s for s in _LANE)
@@ -191,8 +189,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
        similarity 0.75 a symbol differs with probability 0.25, so a linked pair is farther apart about once in
        50,000 cases; more similar pairs far more rarely.
     3. In each bucket all members meet the smallest one first, never each other; confirmed links make components.
-    4. In buckets that hold several components, all members meet another one, chosen by a hash.
-    5. Pairs across components in buckets that still hold several are compared too, in blocks, with the size and
+    4. Pairs across components in buckets that still hold several are compared too, in blocks, with the size and
        distance tests inside the join, each pair in the first bucket that it shares. So no bucket is capped, and no link that could join two components is left out.
 
     Null and wordless texts have an empty set and are linked with nothing. Rows without doc_id are linked with
@@ -219,27 +216,23 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
     links = _confirmed(near, docs, width, threshold)
     found = connected_components(links)
 
-    def unsettled(found: DataFrame) -> DataFrame:
-        """Members of buckets of three or more that hold several components."""
-        named = (
-            stored.where("members > 2")
-            .join(found, F.col("rep") == F.col("vertex"), "left")
-            .select("key", "k", "rep", "n", "sig", F.coalesce("component", "rep").alias("component"))
-        )
-        several = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("g")).where("lo < hi")
-        blocks = F.expr(f"cast((g + {PER_BLOCK - 1}) div {PER_BLOCK} as int)").alias("blocks")
-        return materialize(named.join(several.select("key", blocks), "key"), "unsettled")
-
-    for turn in range(TURNS):
-        left_over = unsettled(found)
-        chosen = left_over.groupBy("key").agg(F.min_by(F.struct("rep", "component", "n", "sig"), F.xxhash64(F.lit(turn), "rep")).alias("p"))
-        chosen = chosen.select("key", "p.*").select("key", F.col("rep").alias("x"), F.col("component").alias("cx"), F.col("n").alias("xn"), *_flat("x"))
-        members = left_over.select("key", F.col("rep").alias("y"), F.col("component").alias("cy"), F.col("n").alias("yn"), *_flat("y"))
-        met = members.join(chosen, (members["key"] == chosen["key"]) & (F.col("cx") != F.col("cy")) & _near(threshold))
-        links = links.unionByName(_confirmed(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), docs, width, threshold))
-        found = connected_components(links)
-
-    rows = unsettled(found).withColumn("block", F.expr("cast(pmod(xxhash64(rep), blocks) as int)"))
+    named = (
+        stored.where("members > 2")
+        .join(found, F.col("rep") == F.col("vertex"), "left")
+        .select("key", "k", "rep", "n", "sig", F.coalesce("component", "rep").alias("component"))
+    )
+    unsettled = (
+        named.groupBy("key")
+        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("g"))
+        .where("lo < hi")
+        .select("key", F.expr(f"cast((g + {PER_BLOCK - 1}) div {PER_BLOCK} as int)").alias("blocks"))
+    )
+    rows = materialize(
+        named.join(unsettled, "key").select(
+            "key", "k", "blocks", "component", "rep", "n", "sig", F.expr("cast(pmod(xxhash64(rep), blocks) as int)").alias("block")
+        ),
+        "unsettled",
+    )
     every = F.explode(F.expr("sequence(0, blocks - 1)"))
     left = rows.select("key", F.col("block").alias("i"), every.alias("j"), F.col("component").alias("cx"), F.col("rep").alias("x"), F.col("n").alias("xn"), *_flat("x"))
     right = rows.select("key", *place, every.alias("i"), F.col("block").alias("j"), F.col("component").alias("cy"), F.col("rep").alias("y"), F.col("n").alias("yn"), *_flat("y"))
