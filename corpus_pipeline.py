@@ -10,7 +10,7 @@ from sheetforge.llm import _common, bpe, exact_dedup, langid, mixing, near_dedup
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is `und` (no letter in them, or no text) go."""
+    """Documents without a letter or without text go; all others stay, even if no language could be learned."""
     return langid.drop_unknown(docs)
 
 

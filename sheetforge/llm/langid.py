@@ -153,6 +153,11 @@ def learn(docs: DataFrame, sample: int = SAMPLE, most: int = GRAMS) -> Model:
     return build(languages, top["lang"].map(number).to_numpy(np.int64), top["gram"].to_numpy(np.int64).astype(np.uint32))
 
 
+def lettered() -> F.Column:
+    """True for rows whose text has a letter; never null."""
+    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+
+
 def predict(docs: DataFrame, model: Model, pred: str = "lang_pred", score: str = "score") -> DataFrame:
     """Adds the columns `pred` and `score` to every row of `docs`; whole texts are looked up.
 
@@ -180,7 +185,7 @@ def predict(docs: DataFrame, model: Model, pred: str = "lang_pred", score: str =
             scores = [float(share[i]) if k else 0.0 for i, k in enumerate(known)]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(preds, pa.string()), pa.array(scores, pa.float64())], names=[*names, pred, score])
 
-    rows = docs.withColumn("_lettered", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    rows = docs.withColumn("_lettered", lettered())
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return rows.mapInArrow(run, f"{kept}, `{pred}` string, `{score}` double")
 
@@ -196,8 +201,8 @@ def languages(docs: DataFrame, pred: str = "lang_pred", score: str = "score") ->
 
 
 def drop_unknown(docs: DataFrame) -> DataFrame:
-    """`docs` with all its columns, without the rows whose language is `und`."""
-    return languages(docs, "_lang_pred", "_lang_score").where(F.col("_lang_pred") != UNKNOWN).drop("_lang_pred", "_lang_score")
+    """`docs` with all its columns, without the rows whose text is null or has no letter; none else go, even if no language was learned."""
+    return languages(docs, "_lang_pred", "_lang_score").where(lettered()).drop("_lang_pred", "_lang_score")
 
 
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

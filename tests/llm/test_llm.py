@@ -615,3 +615,19 @@ def test_pipeline(spark, tmp_path):
         if copies[d]:
             want[(d, len(enc.encode_ordinary(t)), sha(t))] = copies[d]
     assert out == want
+
+
+def test_pipeline_without_labels(spark, tmp_path):
+    """No label, so no language is learned: documents with a letter all reach the end."""
+    import corpus_pipeline
+
+    rng = random.Random(19)
+    rows = [(i, words(rng, 50), None) for i in range(30)] + [(100, "123", None), (101, None, None), (102, "一 é", None)]
+    docs = documents(spark, rows)
+    assert sorted(r["doc_id"] for r in langid.drop_unknown(docs).collect()) == [*range(30), 102]
+    thin = [(200 + i, f"{x} {x}", "aa") for i, x in enumerate("abc")]  # no n-gram twice, so still nothing is learned
+    assert not langid.learn(documents(spark, thin)).languages
+    assert sorted(r["doc_id"] for r in langid.drop_unknown(documents(spark, rows + thin)).collect()) == [*range(30), 102, 200, 201, 202]
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    copies = {r["doc_id"]: r["copies"] for r in mixing.mix(docs.where("doc_id not in (100, 101)")).collect()}
+    assert Counter(r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == Counter(copies)
