@@ -27,7 +27,7 @@ END = b"\r\n\r\n"
 _VERSION_LINE = re.compile(rb"WARC/\d\.\d\r?\n")
 #: Bytes read at a time.
 STEP = 1 << 18
-#: A header of more bytes isn't one.
+#: Bytes of a record that are read first to find its header's end; a longer header is read on in steps.
 HEAD = 1 << 16
 
 
@@ -63,7 +63,7 @@ def parse(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
     """(header, block, end) of the record at `at`; raises Broken if a check fails."""
     if not _VERSION_LINE.match(data, at):
         raise Broken("no version line")
-    stop = data.find(END, at, at + HEAD)
+    stop = data.find(END, at)
     if stop < 0:
         raise Broken("no end of header")
     lines = data[at:stop].decode("utf-8", "replace").split("\r\n")[1:]
@@ -127,7 +127,9 @@ class Salvage:
 
     def _plain(self, at: int):
         """The record at `at` of a plain archive."""
-        data = self.source.read_at(min(HEAD, self.size - at), at)
+        data = bytearray(self.source.read_at(min(HEAD, self.size - at), at))
+        while _VERSION_LINE.match(data) and data.find(END, max(0, len(data) - STEP - len(END))) < 0 and at + len(data) < self.size:
+            data += self.source.read_at(min(STEP, self.size - at - len(data)), at + len(data))
         length = re.search(rb"\r\ncontent-length:[ \t]*(\d{1,18})\r\n", data, re.I)
         head_end = data.find(END)
         if not _VERSION_LINE.match(data) or head_end < 0 or not length or length.start() > head_end:
@@ -266,13 +268,14 @@ def read_archives(archives: DataFrame, column: str = "archive") -> DataFrame:
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages written as archives and read back from them."""
+    """All pages written as archives and read back from them; a gap in an archive just written is an error."""
     archives = write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), work_dir(spark, "warc"))
     number = lambda c: F.expr(f"try_cast(regexp_extract({c}, ':(-?[0-9]+)>', 1) as long)")
     told = F.substring_index("digest", ":", -1)
+    gap = F.format_string("gap in %s, bytes %d to %d: %s", "archive", "start", "end", "reason")
     return (
         read_archives(archives)
-        .where("kind = 'record'")
+        .where(F.when(F.col("kind") == "record", F.lit(True)).otherwise(F.raise_error(gap).cast("boolean")))
         .select(
             number("record_id").alias("page_id"),
             "payload_bytes",

@@ -396,6 +396,39 @@ def test_warc_query(spark, tmp_path):
     assert warc.read_archives(warc.write_archives(pages.limit(0), work_dir(spark, "w"))).count() == 0
 
 
+@pytest.mark.parametrize("compressed", [False, True])
+def test_warc_long_headers(compressed):
+    """Headers of any length are read, whole steps and ends on their edges included."""
+    sizes = [10, warc.HEAD - 400, *range(warc.HEAD - 330, warc.HEAD - 300), warc.HEAD, warc.HEAD + warc.STEP, 3_000_000, 10]
+    data = b""
+    for i, n in enumerate(sizes):
+        one = warc.record("response", f"urn:page:{i}", "http://x/" + "y" * n, b"page", hashlib.sha256(b"page").hexdigest())
+        z = zlib.compressobj(6, zlib.DEFLATED, 31)
+        data += z.compress(one) + z.flush() if compressed else one
+    found = salvaged(data)
+    assert [(x[0], x[3]["warc-record-id"], len(x[3]["warc-target-uri"])) for x in found] == [("record", f"<urn:page:{i}>", 9 + n) for i, n in enumerate(sizes)]
+
+
+def test_warc_query_keeps_long_urls_and_raises_on_gaps(spark, tmp_path, monkeypatch):
+    rows = [(1, "http://x/" + "é" * 70_000, "<p>" * 50), (2, "u", "<p>" * 50), (3, "u", "other")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    out = warc.op7_warc(spark, str(tmp_path)).collect()
+    assert {(r["page_id"], r["record_type"], r["refers_to"]) for r in out} == {(1, "response", None), (2, "revisit", 1), (3, "response", None)}
+    write = warc.write_archives
+
+    def hurt(*args):
+        names = write(*args)
+        path = names.first()["archive"].removeprefix("file://").removeprefix("file:")
+        with open(path, "r+b") as f:
+            f.seek(40)
+            f.write(b"damage")
+        return names
+
+    monkeypatch.setattr(warc, "write_archives", hurt)
+    with pytest.raises(Exception, match="gap in "):
+        warc.op7_warc(spark, str(tmp_path)).collect()
+
+
 # --- 8 near dedup
 
 
