@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
@@ -27,8 +28,8 @@ END = b"\r\n\r\n"
 _VERSION_LINE = re.compile(rb"WARC/\d\.\d\r?\n")
 #: Bytes read at a time.
 STEP = 1 << 18
-#: Bytes of a record that are read first to find its header's end; a longer header is read on in steps.
-HEAD = 1 << 16
+#: Bytes handed to zlib at a time.
+PIECE = 1 << 16
 
 
 # --- records
@@ -59,109 +60,239 @@ class Broken(ValueError):
     """A record or member that fails a check."""
 
 
-def parse(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
-    """(header, block, end) of the record at `at`; raises Broken if a check fails."""
-    if not _VERSION_LINE.match(data, at):
+def _same(name: str, told: str, block: bytes) -> bool:
+    """Whether a digest (hex or base 32) is the block's; true for kinds of digests that aren't checked."""
+    if name not in ("sha1", "sha256"):
+        return True
+    own = hashlib.new(name, block).digest()
+    return told.lower() == own.hex() or told.upper().rstrip("=") == base64.b32encode(own).decode().rstrip("=")
+
+
+def parse(s: _Bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
+    """(header, block, end) of the record at position `at`; raises Broken if a check fails."""
+    s.reach(at + 16)
+    if not _VERSION_LINE.match(s.data, at - s.base):
         raise Broken("no version line")
-    stop = data.find(END, at)
+    stop = s.find(END, at)
     if stop < 0:
         raise Broken("no end of header")
-    lines = data[at:stop].decode("utf-8", "replace").split("\r\n")[1:]
+    lines = s.cut(at, stop).decode("utf-8", "replace").split("\r\n")[1:]
     head = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-    if "warc-type" not in head or not head.get("content-length", "").isdigit():
+    if "warc-type" not in head or not re.fullmatch("[0-9]{1,18}", head.get("content-length", "")):
         raise Broken("no type or length")
     start = stop + len(END)
     end = start + int(head["content-length"])
-    if data[end : end + len(END)] != END:
+    if end + len(END) > s.most or not s.reach(end + len(END)):
+        raise Broken("the record is cut off")
+    if s.cut(end, end + len(END)) != END:
         raise Broken("the block doesn't end where it should")
-    block = data[start:end]
-    name, _, digest = head.get("warc-block-digest", "").partition(":")
-    if name == "sha256" and hashlib.sha256(block).hexdigest() != digest:
+    block = s.cut(start, end)
+    name, _, told = head.get("warc-block-digest", "").partition(":")
+    if not _same(name, told, block):
         raise Broken("block digest differs")
     return head, block, end + len(END)
 
 
+class _Bytes:
+    """Bytes of an archive, read as they are asked for; `data` holds those from position `base` on.
+
+    grow() reads on and returns whether bytes came; low and high give where in the archive the bytes from a position on
+    begin, and where those before it end. No position beyond `most` can be reached.
+    """
+
+    def __init__(self, read, most: float):
+        self.read, self.most, self.data, self.base, self.found, self.over = read, most, bytearray(), 0, {}, None
+
+    def reach(self, stop: int) -> bool:
+        while self.base + len(self.data) < stop:
+            if not self.grow():
+                return False
+        return True
+
+    def cut(self, start: int, stop: int) -> bytes:
+        return bytes(self.data[start - self.base : stop - self.base])
+
+    def drop(self, stop: int) -> None:
+        del self.data[: stop - self.base]
+        self.base = stop
+
+    def find(self, mark: bytes, at: int, drop: bool = False) -> int:
+        """Where `mark` is next from `at` on, or -1; with `drop`, bytes before that aren't kept."""
+        first, place = self.found.get(mark, (at + 1, at))
+        if not (first <= at and (place < 0 or at <= place)):
+            first = at
+            while (place := self.data.find(mark, at - self.base)) < 0:
+                at = max(at, self.base + len(self.data) - len(mark) + 1)
+                if drop:
+                    self.drop(at)
+                if not self.grow():
+                    break
+            place = self.base + place if place >= 0 else -1
+            self.found[mark] = first, place
+        if drop and place >= 0:
+            self.drop(place)
+        return place
+
+
+class _Plain(_Bytes):
+    """A whole plain archive."""
+
+    def grow(self) -> bool:
+        data = self.read(self.base + len(self.data))
+        self.data += data
+        return bool(data)
+
+    def low(self, at: int) -> int:
+        return at
+
+    high = low
+
+
+class _Member(_Bytes):
+    """The gzip member at `start`, inflated a step at a time; zlib checks its CRC and length at its end.
+
+    Bytes inflated before damage are kept. `used` is where the next byte to inflate lies; `over` is None while more
+    may come, "" after a sound member's end, else the damage.
+    """
+
+    def __init__(self, read, start: int):
+        super().__init__(read, float("inf"))
+        self.start = self.used = start
+        self.inflate, self.rest, self.over = zlib.decompressobj(31), b"", None
+        self.steps = [(0, start)]  # (position, used) after each step whose bytes are held
+
+    def grow(self) -> bool:
+        while self.over is None:
+            piece = self.rest or self.read(self.used)
+            before = self.inflate.copy() if self.used > self.start else zlib.decompressobj(31)
+            try:
+                out = self.inflate.decompress(piece, STEP)
+                self.rest = b"" if self.inflate.eof else self.inflate.unconsumed_tail
+                self.used += len(piece) - len(self.rest) - len(self.inflate.unused_data)
+                if self.inflate.eof:
+                    self.over = ""
+                elif not piece and not out:
+                    self.over = "Broken: the member is cut off"
+            except zlib.error as e:
+                out, self.over = self._sound(before, piece), f"error: {e}"
+            self.data += out
+            if out:
+                self.steps.append((self.base + len(self.data), self.used))
+                return True
+            if self.steps[-1][0]:
+                self.steps[-1] = (self.steps[-1][0], self.used)
+        return False
+
+    def _sound(self, inflate, piece: bytes) -> bytes:
+        """What the bytes of `piece` before the damage give."""
+        out = []
+        for i in range(len(piece)):
+            try:
+                out.append(inflate.decompress(piece[i : i + 1]))
+            except zlib.error:
+                break
+            self.used += 1
+        return b"".join(out)
+
+    def drop(self, stop: int) -> None:
+        super().drop(stop)
+        while len(self.steps) > 1 and self.steps[1][0] <= stop:
+            del self.steps[0]
+
+    def low(self, at: int) -> int:
+        return next(used for end, used in reversed(self.steps) if end <= at)
+
+    def high(self, at: int) -> int:
+        return next(used for end, used in self.steps if end >= at)
+
+
 class Salvage:
     """Reads a plain or gzipped archive from a random-access file.
 
     Iterating gives ("record", offset, end, header, block) and ("gap", offset, end, reason). After a failed check the
-    next gzip member that begins with a version line, or the next version line of a valid record in a plain archive, is
-    searched for; the bytes between are a gap. Memory holds a record (or a damaged member's valid start) and a step.
+    next version line of a valid record is searched for, inside a gzip member among its inflated bytes; after damage that
+    stops zlib, the next member that begins with a version line. What was inflated before the damage is kept, and the
+    bytes between are a gap. Offsets of a record or gap inside a gzip member enclose it, as far as steps of reading
+    tell. Records are given as soon as their own checks pass; a member's CRC that fails later is a gap behind them (a member
+    of one record is a gap then), and what no digest covers, such as a header's text, is held to the format only. Memory holds a record, as long as its header says
+    (if that is damaged, at most the rest of the member), and a step.
     """
 
     def __init__(self, source):
         self.source, self.size = source, source.size()
+        self.window, self.at = b"", 0
+
+    def _read(self, at: int, size: int = STEP) -> bytes:
+        return self.source.read_at(min(size, self.size - at), at) if at < self.size else b""
+
+    def _piece(self, at: int) -> bytes:
+        """Some bytes from `at` on, cut from the step that was read last or a new one."""
+        if not self.at <= at < self.at + len(self.window):
+            self.window, self.at = self._read(at), at
+        return self.window[at - self.at : at - self.at + PIECE]
 
     def __iter__(self):
-        first = self.source.read_at(min(3, self.size), 0)
-        compressed = first == GZIP or (not _VERSION_LINE.match(self.source.read_at(min(16, self.size), 0)) and self._search(0, True) is not None)
+        if self._read(0, 3) != GZIP and (_VERSION_LINE.match(self._read(0, 16)) or self._search(0) is None):
+            lost, why = yield from self._records(_Plain(self._read, self.size))
+            if lost is not None:
+                yield "gap", lost, self.size, why
+            return
         at = 0
         while at < self.size:
+            lost, why = at, "Broken: no gzip member"
+            if self._piece(at)[:3] == GZIP or self._read(at, 3) == GZIP:
+                member = _Member(self._piece, at)
+                lost, why = yield from self._records(member)
+                if not member.over:
+                    at = member.used
+                    if lost is not None:
+                        yield "gap", lost, at, why
+                    continue
+                lost, why = member.steps[-1][1] if lost is None else lost, member.over
+            onward = self._search(lost + 1)
+            at = self.size if onward is None else onward
+            yield "gap", lost, at, why
+
+    def _records(self, s: _Bytes):
+        """The records of `s` and the gaps before them; returns the offset and the reason of a gap that ends with `s`, or None."""
+        at, lost, why = 0, None, None
+        while at >= 0 and s.reach(at + 1):
             try:
-                found, end = self._member(at) if compressed else self._plain(at)
-                for head, block in found:
-                    yield "record", at, end, head, block
-                at = end
-            except (Broken, zlib.error) as e:
-                onward = self._search(at + 1, compressed)
-                onward = self.size if onward is None else onward
-                yield "gap", at, onward, f"{type(e).__name__}: {e}"
-                at = onward
-
-    def _member(self, at: int):
-        """All records of the gzip member at `at`; zlib checks its CRC and length."""
-        if self.source.read_at(min(3, self.size - at), at) != GZIP:
-            raise Broken("no gzip member")
-        inflate, out, place = zlib.decompressobj(31), [], at
-        while not inflate.eof:
-            data = self.source.read_at(min(STEP, self.size - place), place) if place < self.size else b""
-            if not data:
-                raise Broken("the member is cut off")
-            out.append(inflate.decompress(data))
-            place += len(data)
-        data, found, pos = b"".join(out), [], 0
-        while pos < len(data):
-            head, block, pos = parse(data, pos)
-            found.append((head, block))
-        return found, place - len(inflate.unused_data)
-
-    def _plain(self, at: int):
-        """The record at `at` of a plain archive."""
-        data = bytearray(self.source.read_at(min(HEAD, self.size - at), at))
-        while _VERSION_LINE.match(data) and data.find(END, max(0, len(data) - STEP - len(END))) < 0 and at + len(data) < self.size:
-            data += self.source.read_at(min(STEP, self.size - at - len(data)), at + len(data))
-        length = re.search(rb"\r\ncontent-length:[ \t]*(\d{1,18})\r\n", data, re.I)
-        head_end = data.find(END)
-        if not _VERSION_LINE.match(data) or head_end < 0 or not length or length.start() > head_end:
-            raise Broken("no header")
-        whole = head_end + len(END) + int(length[1]) + len(END)
-        if at + whole > self.size:
-            raise Broken("the record is cut off")
-        head, block, end = parse(self.source.read_at(whole, at))
-        return [(head, block)], at + end
-
-    def _search(self, at: int, compressed: bool) -> int | None:
-        """Where the next member that begins with a version line, or the next valid record, begins."""
-        mark = GZIP if compressed else b"WARC/"
+                head, block, end = parse(s, at)
+            except Broken as e:
+                if lost is None:
+                    lost, why = s.low(at), f"Broken: {e}"
+                at = s.find(b"WARC/", at + 1, drop=True)
+                continue
+            more = s.reach(end + 1)  # so that a member's end is known
+            if at == 0 and not more and "data check" in (s.over or ""):
+                return s.low(0), s.over
+            if lost is not None:
+                yield "gap", lost, s.high(at), why
+                lost = why = None
+            yield "record", s.low(at), s.high(end), head, block
+            at = end
+            s.drop(at)
+        return lost, why
+
+    def _search(self, at: int) -> int | None:
+        """Where the next gzip member that begins with a version line begins."""
         while at < self.size:
-            data = self.source.read_at(min(STEP, self.size - at), at)
-            place = data.find(mark)
+            data = self._read(at)
+            place = data.find(GZIP)
             while place >= 0:
-                if self._good(at + place, compressed):
+                if self._good(at + place):
                     return at + place
-                place = data.find(mark, place + 1)
+                place = data.find(GZIP, place + 1)
             if at + len(data) >= self.size:
                 return None
-            at += len(data) - len(mark) + 1
+            at += len(data) - len(GZIP) + 1
         return None
 
-    def _good(self, at: int, compressed: bool) -> bool:
+    def _good(self, at: int) -> bool:
         try:
-            if compressed:
-                return bool(_VERSION_LINE.match(zlib.decompressobj(31).decompress(self.source.read_at(min(512, self.size - at), at), 64)))
-            self._plain(at)
-            return True
-        except (Broken, zlib.error):
+            return bool(_VERSION_LINE.match(zlib.decompressobj(31).decompress(self._read(at, 512), 64)))
+        except zlib.error:
             return False
 
 

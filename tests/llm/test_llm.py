@@ -396,10 +396,83 @@ def test_warc_query(spark, tmp_path):
     assert warc.read_archives(warc.write_archives(pages.limit(0), work_dir(spark, "w"))).count() == 0
 
 
+def test_salvage_inside_members():
+    """Many records in a member: damage costs the records that it hits, and no other."""
+    rng = random.Random(20)
+    payloads = [words(rng, 20 + 300 * (i % 7)).encode() for i in range(300)]
+    plain, at = archive(payloads, False)
+    ids = lambda found: [int(x[3]["warc-record-id"].rsplit(":", 1)[1][:-1]) for x in found if x[0] == "record"]
+    read = lambda data: list(warc.Salvage(pa.BufferReader(bytes(data))))
+
+    def member(data, level=6):
+        z = zlib.compressobj(level, zlib.DEFLATED, 31)
+        return z.compress(bytes(data)) + z.flush()
+
+    whole = member(plain)
+    found = read(whole)
+    assert len(whole) > 4 * warc.PIECE and ids(found) == list(range(300)) and len(found) == 300
+    assert all(x[4].endswith(p) for x, p in zip(found, payloads, strict=True))
+    assert all(0 <= x[1] < x[2] <= len(whole) for x in found) and found[-1][2] == len(whole)
+    # a record that fails its check in a sound member
+    hurt = bytearray(plain)
+    hurt[at[150] + 300] ^= 0xFF
+    hurt[at[200]] ^= 0xFF
+    found = read(member(hurt))
+    assert ids(found) == [i for i in range(300) if i not in (150, 200)] and [x[0] for x in found].count("gap") == 2
+    assert ids(read(member(hurt[: at[160]]) + member(plain[at[160] :]))) == [i for i in range(300) if i != 150]
+    # a byte of stored data: zlib goes on to the CRC, which fails
+    stored = bytearray(member(plain, 0))
+    stored[stored.index(payloads[100][:40]) + 5] ^= 0xFF
+    found = read(stored)
+    assert ids(found) == [i for i in range(300) if i != 100] and found[-1][0] == "gap"
+    # a cut tail: all records before it stay, and the next member is found
+    half = whole[: len(whole) // 2]
+    kept = ids(read(half))
+    assert kept == list(range(len(kept))) and 140 < len(kept) < 160 and read(half)[-1][0] == "gap"
+    assert ids(read(half + member(plain[: at[5]]))) == [*kept, *range(5)]
+    # zlib stops at a flipped byte
+    hurt = bytearray(whole)
+    hurt[len(whole) // 2] ^= 0xFF
+    found = read(hurt + member(plain[: at[5]]))
+    assert ids(found)[: len(kept) - 10] == kept[: len(kept) - 10] and ids(found)[-5:] == list(range(5)) and "gap" in [x[0] for x in found]
+    # the CRC only
+    hurt = bytearray(whole)
+    hurt[-6] ^= 0xFF
+    found = read(hurt)
+    assert ids(found) == list(range(300)) and [x[0] for x in found].count("gap") == 1 and found[-1][2] == len(whole)
+    hurt = bytearray(member(plain[: at[1]]))
+    hurt[-6] ^= 0xFF
+    assert [x[:3] for x in read(hurt)] == [("gap", 0, len(hurt))]
+
+
+def test_salvage_holds_a_record_and_a_step():
+    """A member that inflates to much more than a step is never held whole."""
+    import tracemalloc
+
+    one = warc.record("response", "urn:page:1", "http://x/", b"a" * 1000, hashlib.sha256(b"a" * 1000).hexdigest())
+    z = zlib.compressobj(6, zlib.DEFLATED, 31)
+    data = z.compress(one * 20_000) + z.flush()
+    tracemalloc.start()
+    n = sum(x[0] == "record" for x in warc.Salvage(pa.BufferReader(data)))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 20_000 and most < 8 * warc.STEP < len(one) * 20_000 / 10
+
+
+def test_salvage_checks_sha1_digests():
+    import base64
+
+    block = b"some text " * 20
+    for told in (base64.b32encode(hashlib.sha1(block).digest()).decode(), hashlib.sha1(block).hexdigest()):
+        for b, n in ((block, 1), (b"S" + block[1:], 0)):
+            data = f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Block-Digest: sha1:{told}\r\nContent-Length: {len(b)}\r\n\r\n".encode() + b + warc.END
+            assert sum(x[0] == "record" for x in warc.Salvage(pa.BufferReader(data))) == n
+
+
 @pytest.mark.parametrize("compressed", [False, True])
 def test_warc_long_headers(compressed):
     """Headers of any length are read, whole steps and ends on their edges included."""
-    sizes = [10, warc.HEAD - 400, *range(warc.HEAD - 330, warc.HEAD - 300), warc.HEAD, warc.HEAD + warc.STEP, 3_000_000, 10]
+    sizes = [10, warc.PIECE - 400, *range(warc.PIECE - 330, warc.PIECE - 300), warc.PIECE, warc.PIECE + warc.STEP, 3_000_000, 10]
     data = b""
     for i, n in enumerate(sizes):
         one = warc.record("response", f"urn:page:{i}", "http://x/" + "y" * n, b"page", hashlib.sha256(b"page").hexdigest())
