@@ -12,7 +12,7 @@ from ..functions import values as v
 from ..operators import extract
 from ..sources import web
 from ..sources.tables import table
-from .base import PARTS_SQL, configurations, query
+from .base import ORACLE_SQL, PARTS_SQL, configurations, query
 
 
 @query(r"""
@@ -84,7 +84,17 @@ f AS (SELECT *, CASE WHEN contains(lo::DECIMAL(12,2)::VARCHAR, '.') THEN rtrim(r
 SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN lo <> hi THEN a || '-' || b ELSE a END || ' in-lbf #2-56 (Metal shell) governing X inherited' || CASE WHEN l_partkey % 3 = 0 THEN ' needs review' WHEN l_partkey % 2 = 0 THEN ' verified' ELSE '' END AS effective FROM f
 """)
 def f_display(spark, d):
-    li = table(spark, d, "lineitem").where("l_orderkey < 200").withColumn("lo", F.col("l_discount") * 10).withColumn("hi", F.col("l_discount") * 10 + F.col("l_tax") * 5)
+    return _display(table(spark, d, "lineitem").where("l_orderkey < 200"))
+
+
+@query(ORACLE_SQL["f_display"].replace(" WHERE l_orderkey < 200", ""))
+def f_display_all(spark, d):
+    """f_display over the whole table."""
+    return _display(table(spark, d, "lineitem"))
+
+
+def _display(lineitem):
+    li = lineitem.withColumn("lo", F.col("l_discount") * 10).withColumn("hi", F.col("l_discount") * 10 + F.col("l_tax") * 5)
     k = F.col("l_partkey")
     text = v.effective_torque_text("lo", "hi", F.lit("#2-56"), F.lit("Metal shell"), F.lit("X"), F.lit(True), k % 3 == 0, k % 2 == 0)
     return li.select("l_orderkey", "l_linenumber", "l_partkey", text.alias("effective"))

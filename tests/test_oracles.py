@@ -47,3 +47,9 @@ def test_query(spark, db, name):
 
 def test_plain():
     assert plain(math.nan) is None
+
+
+def test_display_takes_every_line_item(spark):
+    got = QUERIES["f_display_all"](spark, FOLDER)
+    assert "where" not in ORACLE_SQL["f_display_all"].lower()
+    assert got.count() == spark.read.parquet(f"{FOLDER}/lineitem.parquet").count() > QUERIES["f_display"](spark, FOLDER).count() > 0
