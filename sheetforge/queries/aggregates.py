@@ -12,7 +12,7 @@ from ..operators import relational as r
 from ..operators import variants
 from ..plans import release
 from ..sources.tables import table
-from .base import PARTS_SQL, configurations, query
+from .base import ORACLE_SQL, PARTS_SQL, configurations, query
 from .joins import _no_shapes, _records
 
 
@@ -33,8 +33,18 @@ SELECT slash_sheet, count(*) AS base_rows, count(*) FILTER (example_pin = '') AS
 FROM parts LEFT JOIN w USING (slash_sheet) GROUP BY slash_sheet
 """)
 def a_multi_measure(spark, d):
-    c = configurations(spark, d).withColumn("insert_code", F.col("connector_type"))
-    li = table(spark, d, "lineitem").where("l_quantity > 45").select(F.col("l_partkey").cast("string").alias("config_id"))
+    return _measures(configurations(spark, d), table(spark, d, "lineitem").where("l_quantity > 45"))
+
+
+@query(ORACLE_SQL["a_multi_measure"].replace(" WHERE l_quantity > 45", ""))
+def a_multi_measure_all(spark, d):
+    """a_multi_measure with every line item as a wire."""
+    return _measures(configurations(spark, d), table(spark, d, "lineitem"))
+
+
+def _measures(parts, lineitem):
+    c = parts.withColumn("insert_code", F.col("connector_type"))
+    li = lineitem.select(F.col("l_partkey").cast("string").alias("config_id"))
     wires = li.join(c.select("config_id", "slash_sheet"), "config_id")
     return quality.summary_by_sheet(c, wires).select("slash_sheet", "base_rows", "without_example", "inserts", "finishes", "wire_rows")
 
@@ -218,8 +228,17 @@ SELECT case_id, array_to_string(list_filter(valid, lambda x: NOT list_contains(c
 FROM cases LEFT JOIN got USING (case_id)
 """)
 def q_golden(spark, d):
-    c = configurations(spark, d)
-    src = c.where("cavity_count = 7")
+    return _golden(configurations(spark, d), "cavity_count = 7")
+
+
+@query(ORACLE_SQL["q_golden"].replace(" WHERE cavity_count = 7", ""))
+def q_golden_all(spark, d):
+    """q_golden with every part as a case."""
+    return _golden(configurations(spark, d), "true")
+
+
+def _golden(c, cases):
+    src = c.where(cases)
     cases = src.select(F.col("config_id").alias("case_id"), F.array_sort(t.mate_sheets("mates_with")).alias("valid"), F.array(F.lit("05")).alias("invalid"))
     got = search.mates(src, c).select(F.col("source_config_id").alias("case_id"), "slash_sheet")
     return quality.golden_verdicts(cases, got).select("case_id", F.array_join("false_negatives", ",").alias("false_negatives"), "verdict")
@@ -251,8 +270,17 @@ WITH a AS (SELECT CASE WHEN p_size > 25 THEN 'large' ELSE 'small' END AS verdict
 SELECT verdict, count(*) AS n, string_agg(case_id, ',' ORDER BY case_id) AS case_ids FROM a GROUP BY verdict
 """)
 def a_verdict_summary(spark, d):
-    p = table(spark, d, "part").where("p_partkey < 40").select(F.when(F.col("p_size") > 25, "large").otherwise("small").alias("verdict"), F.col("p_partkey").cast("string").alias("case_id"))
-    return quality.verdict_summary(p)
+    return _verdicts(table(spark, d, "part").where("p_partkey < 40"))
+
+
+@query(ORACLE_SQL["a_verdict_summary"].replace(" WHERE p_partkey < 40", ""))
+def a_verdict_summary_all(spark, d):
+    """a_verdict_summary over the whole table."""
+    return _verdicts(table(spark, d, "part"))
+
+
+def _verdicts(part):
+    return quality.verdict_summary(part.select(F.when(F.col("p_size") > 25, "large").otherwise("small").alias("verdict"), F.col("p_partkey").cast("string").alias("case_id")))
 
 
 @query("SELECT name, status, details FROM (VALUES " + ", ".join(

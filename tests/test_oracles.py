@@ -53,3 +53,11 @@ def test_display_takes_every_line_item(spark):
     got = QUERIES["f_display_all"](spark, FOLDER)
     assert "where" not in ORACLE_SQL["f_display_all"].lower()
     assert got.count() == spark.read.parquet(f"{FOLDER}/lineitem.parquet").count() > QUERIES["f_display"](spark, FOLDER).count() > 0
+
+
+def test_summaries_take_every_row(spark):
+    part, lineitem = (spark.read.parquet(f"{FOLDER}/{t}.parquet").count() for t in ("part", "lineitem"))
+    out = QUERIES["a_verdict_summary_all"](spark, FOLDER).collect()
+    assert sum(x["n"] for x in out) == sum(len(x["case_ids"].split(",")) for x in out) == part > 40
+    assert QUERIES["q_golden_all"](spark, FOLDER).count() == part
+    assert sum(x["wire_rows"] for x in QUERIES["a_multi_measure_all"](spark, FOLDER).collect()) == lineitem
