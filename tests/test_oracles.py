@@ -61,3 +61,12 @@ def test_summaries_take_every_row(spark):
     assert sum(x["n"] for x in out) == sum(len(x["case_ids"].split(",")) for x in out) == part > 40
     assert QUERIES["q_golden_all"](spark, FOLDER).count() == part
     assert sum(x["wire_rows"] for x in QUERIES["a_multi_measure_all"](spark, FOLDER).collect()) == lineitem
+
+
+def test_gaps_reach_the_largest_part(spark):
+    seen = {}
+    for x in spark.read.parquet(f"{FOLDER}/lineitem.parquet").select("l_suppkey", "l_partkey").collect():
+        seen.setdefault(x[0], set()).add(x[1])
+    want = {(k, i) for k, v in seen.items() for i in range(min(v), max(v)) if i not in v}
+    got = [(x["l_suppkey"], x["l_partkey"]) for x in QUERIES["j_anti_gaps_all"](spark, FOLDER).collect()]
+    assert len(got) == len(want) and set(got) == want and max(i for _, i in want) > 40
