@@ -24,6 +24,8 @@ TILE_WIDTH, TILE_LENGTH, TILE_OFFSETS, TILE_COUNTS = 322, 323, 324, 325
 #: Bytes of one value of each field type.
 TYPE_SIZE = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8}
 TYPE_CODE = {1: "B", 3: "H", 4: "I"}
+#: What damage or a kind of page that isn't supported raises.
+ERRORS = (ValueError, KeyError, IndexError, TypeError, ArithmeticError, struct.error, zlib.error, MemoryError)
 
 #: Samples in a row of a page that holds a payload, and rows in a page.
 COLUMNS = 64
@@ -231,7 +233,11 @@ def write_tiff(pages: list[tuple[np.ndarray, int, bool, int]]) -> bytes:
 
 
 def read_tiff(data: bytes) -> Iterator[dict]:
-    """The pages of a file in order: page, width, height, channels, compression, predictor, tiled, samples (bytes)."""
+    """The pages of a file in order: page, width, height, channels, compression, predictor, tiled, samples (bytes).
+
+    A page that can't be decoded is given as page and error; those behind it follow. Raises ValueError or struct.error
+    where the file is none or the chain of directories breaks.
+    """
     order = {b"II": "<", b"MM": ">"}.get(data[:2])
     if order is None or len(data) < 8 or struct.unpack(f"{order}H", data[2:4])[0] != 42:
         raise ValueError("not a TIFF file")
@@ -240,37 +246,46 @@ def read_tiff(data: bytes) -> Iterator[dict]:
         if at in seen or at + 2 > len(data):
             raise ValueError("broken chain of directories")
         seen.add(at)
-        n = struct.unpack_from(f"{order}H", data, at)[0]
-        tags = {}
-        for k in range(n):
-            tag, kind, count = struct.unpack_from(f"{order}HHI", data, at + 2 + 12 * k)
-            if kind in TYPE_CODE:
-                size = TYPE_SIZE[kind] * count
-                place = at + 10 + 12 * k if size <= 4 else struct.unpack_from(f"{order}I", data, at + 10 + 12 * k)[0]
-                tags[tag] = struct.unpack_from(f"{order}{count}{TYPE_CODE[kind]}", data, place)
-        at = struct.unpack_from(f"{order}I", data, at + 2 + 12 * n)[0]
-        one = lambda tag, default=None: tags.get(tag, (default,))[0]  # noqa: B023, E731
-        width, height, depth, scheme, predictor = one(WIDTH), one(LENGTH), one(SAMPLES, 1), one(COMPRESSION, NONE), one(PREDICTOR, 1)
-        if set(tags.get(SAMPLE_BITS, (8,))) != {8} or predictor not in (1, 2):
-            raise ValueError("only 8-bit samples with predictor 1 or 2 are supported")
-        tiled = TILE_OFFSETS in tags
-        tall, wide = (one(TILE_LENGTH), one(TILE_WIDTH)) if tiled else (min(one(ROWS_PER_STRIP, height), height), width)
-        grid = np.zeros((height, width, depth), np.uint8)
-        across = -(-width // wide)
-        for k, (place, size) in enumerate(zip(tags[TILE_OFFSETS if tiled else STRIP_OFFSETS], tags[TILE_COUNTS if tiled else STRIP_COUNTS], strict=True)):
-            y, x = k // across * tall, k % across * wide
-            lines = tall if tiled else min(tall, height - y)
-            body = expand(data[place : place + size], scheme, lines * wide * depth)
-            if len(body) != lines * wide * depth:
-                raise ValueError("short strip or tile")
-            block = np.frombuffer(body, np.uint8).reshape(lines, wide, depth)
-            if predictor == 2:
-                block = np.add.accumulate(block, axis=1, dtype=np.uint8)
-            grid[y : y + tall, x : x + wide] = block[: height - y, : width - x]
-        yield {"page": page, "width": width, "height": height, "channels": depth, "compression": scheme, "predictor": predictor, "tiled": tiled, "samples": grid.tobytes()}
+        here, n = at, struct.unpack_from(f"{order}H", data, at)[0]
+        at = struct.unpack_from(f"{order}I", data, here + 2 + 12 * n)[0]
+        try:
+            found = _page(data, order, here, n)
+        except ERRORS as e:
+            found = {"error": f"{type(e).__name__}: {e}"}
+        yield {"page": page} | found
         page += 1
 
 
+def _page(data: bytes, order: str, at: int, n: int) -> dict:
+    """The page whose directory of n entries is at `at`."""
+    tags = {}
+    for k in range(n):
+        tag, kind, count = struct.unpack_from(f"{order}HHI", data, at + 2 + 12 * k)
+        if kind in TYPE_CODE:
+            size = TYPE_SIZE[kind] * count
+            place = at + 10 + 12 * k if size <= 4 else struct.unpack_from(f"{order}I", data, at + 10 + 12 * k)[0]
+            tags[tag] = struct.unpack_from(f"{order}{count}{TYPE_CODE[kind]}", data, place)
+    one = lambda tag, default=None: tags.get(tag, (default,))[0]
+    width, height, depth, scheme, predictor = one(WIDTH), one(LENGTH), one(SAMPLES, 1), one(COMPRESSION, NONE), one(PREDICTOR, 1)
+    if set(tags.get(SAMPLE_BITS, (8,))) != {8} or predictor not in (1, 2):
+        raise ValueError("only 8-bit samples with predictor 1 or 2 are supported")
+    tiled = TILE_OFFSETS in tags
+    tall, wide = (one(TILE_LENGTH), one(TILE_WIDTH)) if tiled else (min(one(ROWS_PER_STRIP, height), height), width)
+    grid = np.zeros((height, width, depth), np.uint8)
+    across = -(-width // wide)
+    for k, (place, size) in enumerate(zip(tags[TILE_OFFSETS if tiled else STRIP_OFFSETS], tags[TILE_COUNTS if tiled else STRIP_COUNTS], strict=True)):
+        y, x = k // across * tall, k % across * wide
+        lines = tall if tiled else min(tall, height - y)
+        body = expand(data[place : place + size], scheme, lines * wide * depth)
+        if len(body) != lines * wide * depth:
+            raise ValueError("short strip or tile")
+        block = np.frombuffer(body, np.uint8).reshape(lines, wide, depth)
+        if predictor == 2:
+            block = np.add.accumulate(block, axis=1, dtype=np.uint8)
+        grid[y : y + tall, x : x + wide] = block[: height - y, : width - x]
+    return {"width": width, "height": height, "channels": depth, "compression": scheme, "predictor": predictor, "tiled": tiled, "samples": grid.tobytes()}
+
+
 # --- columns
 
 PAGE = "page int, width int, height int, channels int, compression int, predictor int, tiled boolean, samples binary, error string"
@@ -281,7 +296,8 @@ BATCH = 1 << 22
 def tiff_pages(rows: DataFrame, column: str = "tiff") -> DataFrame:
     """One row per page of the files in the binary `column`, in order; the other columns are repeated.
 
-    A null or damaged file gives its pages before the damage and one row with page null and the reason in `error`.
+    A page that can't be decoded gives a row with its number and the reason in `error`, and the pages behind it follow. A null
+    file, or one whose chain of directories breaks, gives its pages before that and one row with page null and the reason.
     Rows of one file follow each other in one partition. An empty table gives no rows. A column of the table that
     has the name of a page column is left out.
     """
@@ -308,11 +324,11 @@ def tiff_pages(rows: DataFrame, column: str = "tiff") -> DataFrame:
                     for found in read_tiff(data):
                         pages.append(found)
                         taken.append(i)
-                        held += len(found["samples"])
+                        held += len(found.get("samples", b""))
                         if held > BATCH:
                             yield out()
                             taken, pages, held = [], [], 0
-                except (ValueError, KeyError, TypeError, struct.error, zlib.error, MemoryError) as e:
+                except ERRORS as e:
                     pages.append({"error": f"{type(e).__name__}: {e}"})
                     taken.append(i)
             if pages:

@@ -152,6 +152,20 @@ def test_tiff_damage_becomes_rows(spark):
     assert tiff.tiff_pages(df.limit(0)).count() == 0
 
 
+def test_tiff_pages_behind_a_bad_one(spark):
+    """A damaged page, and one of 16-bit samples, are rows with an error; the others are read."""
+    pages = [np.full((2, 64), i, np.uint8) for i in range(4)]
+    data = bytearray(tiff.write_tiff([(p, tiff.DEFLATE, False, 1) for p in pages]))
+    mark = struct.pack("<HHI", tiff.STRIP_OFFSETS, 4, 1)
+    strips = [struct.unpack_from("<I", data, i + 8)[0] for i in range(len(data)) if data[i : i + 8] == mark]
+    data[strips[1]] ^= 0xFF
+    bits = [i for i in range(len(data)) if data[i : i + 12] == struct.pack("<HHIHH", tiff.SAMPLE_BITS, 3, 1, 8, 0)]
+    data[bits[2] + 8] = 16
+    out = tiff.tiff_pages(spark.createDataFrame([(1, data)], "k int, tiff binary")).collect()
+    assert [r["page"] for r in out] == [0, 1, 2, 3] and [r["error"] is None for r in out] == [True, False, False, True]
+    assert [bytes(out[i]["samples"]) for i in (0, 3)] == [pages[i].tobytes() for i in (0, 3)]
+
+
 def test_tiff_query(spark, tmp_path):
     rng = random.Random(3)
     rows = [*ODD, (40, words(rng, 30_000)), (41, "x" * 64), (42, "x" * 64)]
