@@ -70,3 +70,14 @@ def test_gaps_reach_the_largest_part(spark):
     want = {(k, i) for k, v in seen.items() for i in range(min(v), max(v)) if i not in v}
     got = [(x["l_suppkey"], x["l_partkey"]) for x in QUERIES["j_anti_gaps_all"](spark, FOLDER).collect()]
     assert len(got) == len(want) and set(got) == want and max(i for _, i in want) > 40
+
+
+def test_chunks_of_a_long_text(spark, tmp_path):
+    """A text of more than 39 chunks; the query's own SQL ends there, so a range that follows the text stands here."""
+    docs = spark.createDataFrame([(1, "word  " * 20_000), (2, "short"), (3, "")], "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    whole = ORACLE_SQL["f_collapse_chunk"].replace("range(1, 40)", "range(1, len(t) // 1800 + 2)")
+    got = rows(QUERIES["f_collapse_chunk"](spark, str(tmp_path)).toPandas())
+    assert got == rows(con.execute(whole).df()) and sum(got[1].values()) > 40
