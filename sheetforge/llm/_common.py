@@ -38,6 +38,31 @@ def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+#: Rows of one value that are joined with one copy of its partner.
+PER_COPY = 512
+
+
+def hot_values(rows: DataFrame, column: str, per_copy: int = PER_COPY) -> DataFrame:
+    """(`column`, copies) of the values that more than `per_copy` rows have, for `dealt` and `copied`."""
+    counts = rows.groupBy(column).agg(F.count("*").alias("n")).where(F.col("n") > per_copy)
+    return small_side(materialize(counts.select(column, F.expr(f"cast((n + {per_copy - 1}) div {per_copy} as int)").alias("copies")), "hot"))
+
+
+def dealt(rows: DataFrame, column: str, hot: DataFrame, by: list[str]) -> DataFrame:
+    """`rows` with the column `copy`: those of a hot value are dealt over its copies by a hash of the columns `by`.
+
+    With the other side `copied`, a join on (`column`, copy) has no hot key.
+    """
+    own = F.pmod(F.xxhash64(*by), F.coalesce("copies", F.lit(1))).cast("int")
+    return rows.join(hot, column, "left").withColumn("copy", own).drop("copies")
+
+
+def copied(rows: DataFrame, column: str, hot: DataFrame) -> DataFrame:
+    """`rows` with the column `copy`: each row once, or once for each copy that `hot` gives its `column`."""
+    every = F.explode(F.expr("sequence(0, coalesce(copies, 1) - 1)"))
+    return rows.join(hot, column, "left").withColumn("copy", every).drop("copies")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

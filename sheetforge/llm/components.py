@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import materialize
+from ._common import PER_COPY, copied, dealt, materialize, small_side
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every neighbour above a vertex moves to the smallest vertex around it; edges may repeat. edges: u > v."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    return both.where("v > u").join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    around = materialize(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "around")
+    hot = small_side(around.where(F.col("n") > PER_COPY).select("u", F.expr(f"cast((n + {PER_COPY - 1}) div {PER_COPY} as int)").alias("copies")))
+    least = copied(around.select("u", F.least("u", "m").alias("m")), "u", hot)
+    return dealt(both.where("v > u"), "u", hot, ["v"]).join(least, ["u", "copy"]).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._bytes import mix, shingle_hashes, utf8, word_hashes
-from ._common import materialize, small_side
+from ._common import copied, dealt, hot_values, materialize, small_side
 from .components import connected_components
 
 WIDTH = 5
@@ -25,6 +25,10 @@ ERRORS = 1
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
 #: Buckets that aren't settled by their smallest member are compared in blocks of about so many members.
 PER_BLOCK = 1024
+#: Bits of a set's parity sketch, 64 a word. Bit i is the parity of the number of shingle hashes whose top bits are i, so
+#: two sketches differ in no more bits than their sets do in shingles: a bound that loses no link.
+SKETCH = 1024
+_WORDS = SKETCH // 64
 
 _LANE = [s * (BITS + 1) for s in range(PER_CHUNK)]
 _FULL = sum(((1 << BITS) - 1) << s for s in _LANE)
@@ -63,11 +67,24 @@ def _signatures_of(sets: list[np.ndarray]) -> np.ndarray:
     return packed.T.astype(np.int64)
 
 
+def _sketch(found: np.ndarray) -> np.ndarray:
+    """The parity sketch of one set of shingle hashes, as 64-bit words."""
+    odd = np.bincount((found >> np.uint64(64 - SKETCH.bit_length() + 1)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def _lists(values: np.ndarray) -> pa.ListArray:
+    """A list a row of a matrix."""
+    n, width = values.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, n * width + 1, width, np.int32)), pa.array(values.ravel()))
+
+
 def _signature_rows(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
             count, key, sig = np.zeros(n, np.int64), np.zeros((2, n), np.uint64), np.zeros((n, CHUNKS), np.int64)
+            sketch = np.zeros((n, _WORDS), np.int64)
             waiting, rows, held = [], [], 0
 
             def flush():
@@ -83,6 +100,7 @@ def _signature_rows(width: int):
                         continue
                     for k in range(2):
                         key[k, row] = mix(found ^ _SET[k]).sum(dtype=np.uint64)
+                    sketch[row] = _sketch(found)
                     if held + len(found) > _STEP:
                         flush()
                         held = 0
@@ -90,10 +108,9 @@ def _signature_rows(width: int):
                     rows.append(row)
                     held += len(found)
                 flush()
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * CHUNKS + 1, CHUNKS, np.int32)), pa.array(sig.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(count), pa.array(key[0].view(np.int64)), pa.array(key[1].view(np.int64)), lists],
-                names=["doc_id", "n_shingles", "set1", "set2", "sig"],
+                [batch.column("doc_id"), pa.array(count), pa.array(key[0].view(np.int64)), pa.array(key[1].view(np.int64)), _lists(sig), _lists(sketch)],
+                names=["doc_id", "n_shingles", "set1", "set2", "sig", "sketch"],
             )
 
     return run
@@ -118,8 +135,8 @@ def _set_rows(width: int):
 
 
 def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit hash of the whole set (set1, set2) and the packed signature of each row."""
-    schema = "doc_id long, n_shingles long, set1 long, set2 long, sig array<long>"
+    """doc_id, n_shingles, a 128-bit hash of the whole set (set1, set2), the packed signature and the parity sketch of each row."""
+    schema = "doc_id long, n_shingles long, set1 long, set2 long, sig array<long>, sketch array<long>"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_signature_rows(width), schema)
 
 
@@ -135,8 +152,9 @@ def _keys() -> Column:
 
 
 def _flat(side: str) -> list[Column]:
-    """The chunks of a signature as columns that can't be null, so that a join's condition stays small."""
-    return [F.coalesce(F.col("sig")[c], F.lit(0).cast("long")).alias(f"{side}{c}") for c in range(CHUNKS)]
+    """A signature's chunks and a sketch's words as columns that can't be null, so that a join's condition stays small."""
+    flat = lambda column, n, mark: [F.coalesce(F.col(column)[i], F.lit(0).cast("long")).alias(f"{side}{mark}{i}") for i in range(n)]
+    return flat("sig", CHUNKS, "") + flat("sketch", _WORDS, "p")
 
 
 def _wrong(chunk: int) -> Column:
@@ -145,9 +163,15 @@ def _wrong(chunk: int) -> Column:
 
 
 def _near(threshold: int) -> Column:
-    """Whether the sizes of x and y allow a link, and their signatures are within DISTANCE."""
+    """Whether the sizes and the parity sketches of x and y allow a link, and their signatures are within DISTANCE.
+
+    Sets of n shingles in all that are linked differ in n * (100 - threshold) / (100 + threshold) of them at most, and
+    their sketches in no more bits than that.
+    """
     sizes = F.least("xn", "yn") * 100 >= F.greatest("xn", "yn") * threshold
-    return sizes & (reduce(Column.__add__, [F.bit_count(_wrong(c)) for c in range(CHUNKS)]) <= DISTANCE)
+    bits = reduce(Column.__add__, [F.bit_count(F.col(f"xp{i}").bitwiseXOR(F.col(f"yp{i}"))) for i in range(_WORDS)])
+    differ = bits * (100 + threshold) <= (F.col("xn") + F.col("yn")) * (100 - threshold)
+    return sizes & differ & (reduce(Column.__add__, [F.bit_count(_wrong(c)) for c in range(CHUNKS)]) <= DISTANCE)
 
 
 def _meet_first() -> Column:
@@ -169,12 +193,13 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, threshold: int) ->
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(small_side(ids), "doc_id", "left_semi")
     sets = rows.mapInArrow(_set_rows(width), "doc_id long, shingles array<long>")
     sets = sets.groupBy("doc_id").agg(F.max("shingles").alias("s"))  # one row an id, also if rows repeat an id
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), "a").join(
-        sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")), "b"
-    )
+    hot = {side: hot_values(pairs, side) for side in ("a", "b")}
+    for side in hot:  # a document of very many pairs is copied, and its pairs are dealt over the copies
+        own = copied(sets.select(F.col("doc_id").alias(side), F.col("s").alias(f"s{side}")), side, hot[side])
+        pairs = dealt(pairs, side, hot[side], ["a", "b"]).join(own, [side, "copy"]).drop("copy")
     common = F.size(F.array_intersect("sa", "sb")).cast("long")
     union = F.size("sa").cast("long") + F.size("sb") - common
-    return materialize(both.where(common * 100 >= union * threshold).select("a", "b"), "links")
+    return materialize(pairs.where(common * 100 >= union * threshold).select("a", "b"), "links")
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
@@ -189,8 +214,10 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
        similarity 0.75 a symbol differs with probability 0.25, so a linked pair is farther apart about once in
        50,000 cases; more similar pairs far more rarely.
     3. In each bucket all members meet the smallest one first, never each other; confirmed links make components.
-    4. Pairs across components in buckets that still hold several are compared too, in blocks, with the size and
-       distance tests inside the join, each pair in the first bucket that it shares. So no bucket is capped, and no link that could join two components is left out.
+    4. Pairs across components in buckets that still hold several are compared too, in blocks, each pair in the first
+       bucket that it shares. So no bucket is capped, and no link that could join two components is left out.
+    In both, the tests of size, parity sketch and distance stand inside the join, so that pairs which can't be linked
+    aren't emitted. The first two of them lose no link at all.
 
     Null and wordless texts have an empty set and are linked with nothing. Rows without doc_id are linked with
     nothing: component_id is null and kept true. Rows that repeat a doc_id count as one document; one row stays
@@ -200,39 +227,39 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
     classes = materialize(
         sigs.where("n_shingles > 0 and doc_id is not null")
         .groupBy("set1", "set2")
-        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")),
+        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch")),
         "classes",
     )
-    doc = classes.select(F.col("rep").alias("id"), "n", "sig")
+    as_x = classes.select(F.col("rep").alias("x"), F.col("n").alias("xn"), *_flat("x"))
+    as_y = classes.select(F.col("rep").alias("y"), F.col("n").alias("yn"), *_flat("y"))
     keys = classes.select("rep", F.explode(_keys()).alias("e")).select("rep", "e.k", "e.key")
-    shared = keys.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("members")).where("members > 1")
-    stored = materialize(
-        keys.join(shared, "key").join(doc, F.col("rep") == F.col("id")).select("key", "k", "pivot", "members", "rep", "n", "sig"), "buckets"
-    )
-    place = [F.expr(f"shiftleft(1, k div {PER_CHUNK})").alias("bit"), (F.col("k") % PER_CHUNK == 0).alias("leading")]
-    others = stored.where("rep != pivot").select("pivot", F.col("rep").alias("y"), F.col("n").alias("yn"), *_flat("y"))
-    first = doc.select(F.col("id").alias("x"), F.col("n").alias("xn"), *_flat("x"))
-    near = others.join(first, (F.col("pivot") == F.col("x")) & _near(threshold)).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    shared = materialize(keys.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("members")).where("members > 1"), "shared")
+    stored = materialize(keys.join(shared, "key").select("key", "k", "pivot", "members", "rep"), "buckets")
+    meet = materialize(stored.where("rep != pivot").select(F.col("pivot").alias("x"), F.col("rep").alias("y")).distinct(), "meetings")
+    hot = hot_values(meet, "x")
+    near = dealt(meet, "x", hot, ["y"]).join(as_y, "y").join(copied(as_x, "x", hot), ["x", "copy"]).where(_near(threshold)).select(F.col("x").alias("a"), F.col("y").alias("b"))
     links = _confirmed(near, docs, width, threshold)
     found = connected_components(links)
 
     named = (
         stored.where("members > 2")
         .join(found, F.col("rep") == F.col("vertex"), "left")
-        .select("key", "k", "rep", "n", "sig", F.coalesce("component", "rep").alias("component"))
+        .select("key", "k", "rep", F.coalesce("component", "rep").alias("component"))
     )
-    unsettled = (
+    unsettled = materialize(
         named.groupBy("key")
         .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("g"))
         .where("lo < hi")
-        .select("key", F.expr(f"cast((g + {PER_BLOCK - 1}) div {PER_BLOCK} as int)").alias("blocks"))
+        .select("key", F.expr(f"cast((g + {PER_BLOCK - 1}) div {PER_BLOCK} as int)").alias("blocks")),
+        "blocks",
     )
     rows = materialize(
-        named.join(unsettled, "key").select(
-            "key", "k", "blocks", "component", "rep", "n", "sig", F.expr("cast(pmod(xxhash64(rep), blocks) as int)").alias("block")
-        ),
-        "unsettled",
+        named.join(unsettled, "key")
+        .join(classes.select("rep", "n", "sig", "sketch"), "rep")
+        .withColumn("block", F.expr("cast(pmod(xxhash64(rep), blocks) as int)")),
+        "members",
     )
+    place = [F.expr(f"shiftleft(1, k div {PER_CHUNK})").alias("bit"), (F.col("k") % PER_CHUNK == 0).alias("leading")]
     every = F.explode(F.expr("sequence(0, blocks - 1)"))
     left = rows.select("key", F.col("block").alias("i"), every.alias("j"), F.col("component").alias("cx"), F.col("rep").alias("x"), F.col("n").alias("xn"), *_flat("x"))
     right = rows.select("key", *place, every.alias("i"), F.col("block").alias("j"), F.col("component").alias("cy"), F.col("rep").alias("y"), F.col("n").alias("yn"), *_flat("y"))
