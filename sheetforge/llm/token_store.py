@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,10 +28,10 @@ from ._common import shuffle_partitions, work_dir
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-#: Words whose ids a worker remembers; then it starts afresh.
-REMEMBERED = 400_000
+#: Parts of words whose ids a worker remembers; then it starts afresh.
+REMEMBERED = 1_000_000
 #: Bytes of text whose words are looked up together.
-RUN = 1 << 20
+RUN = 1 << 23
 #: Ids in a batch that is handed on.
 BATCH = 1 << 20
 #: Bits of a level for each key it has to place.
@@ -40,22 +42,44 @@ _NULL, _AGAIN, _MARK = np.uint64(0x5851F42D4C957F2D), np.uint64(0xDA3E39CB94B95B
 
 # --- encoding
 
-#: Latin letters that are their own composed form, then ASCII marks without the apostrophe (which may begin a contraction).
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
-
-
-def _byte_letters() -> dict[int, str]:
-    """The printable letter that stands for each byte in a byte-level vocabulary: itself, or one from 256 on."""
-    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    rest = (b for b in range(256) if b not in plain)
-    return {b: chr(256 + i) for i, b in enumerate(rest)}
+# Fixed values of the tokenizer: how it normalises and splits. Only with these are texts taken apart into words here.
+NORMALIZER = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+PRE_TOKENIZER = [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
+#: Latin letters that are their own composed form, or ASCII marks without the apostrophe (which may begin a contraction).
+_ONE = r"^(?:[A-Za-zÀ-ÖØ-öø-ÿ]+|[!-&(-/:-@\[-`{-~]+)$"
+_LETTER, _SIGN, _TAIL = (np.zeros(256, bool) for _ in range(3))
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_SIGN[[*range(33, 39), *range(40, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+_TAIL[[*range(0x80, 0x97), *range(0x98, 0xB7), *range(0xB8, 0xC0)]] = True  # second bytes of such letters; the first is 0xC3
+_GAP = re.compile(rb"[\x20\x09-\x0d]")
+
+
+def segments(text: bytes, size: int) -> Iterator[bytes]:
+    """Cuts a text before the first ASCII white space behind every `size` bytes."""
+    at = 0
+    while len(text) - at > size:
+        found = _GAP.search(text, at + size)
+        if found is None:
+            break
+        yield text[at : found.start()]
+        at = found.start()
+    yield text[at:]
 
 
 class WordEncoder:
     """Encodes whole texts with the tokenizers library, each distinct word once.
 
-    The tokenizer drops white space and no token runs over it, nor does its normalisation change anything across it,
-    so a text's ids are those of its words in turn. Only words split at ASCII white space are taken apart here.
+    A tokenizer with the normaliser and splitter above drops white space, no token runs over it, and its normalisation
+    changes nothing across it, so a text's ids are those of its words in turn. It also splits between a letter and a
+    mark, so what is learned are mostly letters or marks alone. Any other tokenizer encodes every text as a whole.
     """
 
     def __init__(self, path: str):
@@ -63,75 +87,102 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.packed = [i.to_bytes(self.width, "little") for i in range(size)]
-        self.shown = _byte_letters()
-        self.known: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _piece(self, piece: str) -> bytes:
-        """The ids of one match of the pre-tokeniser: letters in lower case, or marks."""
-        raw = piece.encode().decode("latin-1").translate(self.shown)
-        return b"".join([self.packed[t.id] for t in self.tokenizer.model.tokenize(raw)])
-
-    def learn(self, words: list[bytes]) -> None:
-        """Encodes new words. Those of Latin letters and then marks go straight to the library's merges, as normalising
-        and splitting them is plain; all others go through the library's whole chain."""
-        other = []
-        known, pieces, match, piece = self.known, self.pieces, _PLAIN.fullmatch, self._piece
-        for w in words:
-            found = match(w.decode("utf-8", "replace"))
-            if found is None:
-                other.append(w)
-                continue
-            out = b""
-            for part in found.groups():
-                if part:
-                    part = part.lower()
-                    ids = pieces.get(part)
-                    if ids is None:
-                        ids = pieces[part] = piece(part)
-                    out += ids
-            known[w] = out
-        self._learn_others(other)
-
-    def _learn_others(self, words: list[bytes]) -> None:
-        """Words joined by spaces; the offset of each id tells its word."""
-        for at in range(0, len(words), 20_000):
-            some = words[at : at + 20_000]
-            texts = [w.decode("utf-8", "replace") for w in some]
-            starts = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
-            found = self.tokenizer.encode_batch([" ".join(texts)], add_special_tokens=False)[0]
-            ids = np.array(found.ids, f"<u{self.width}")
-            place = np.array([a for a, _ in found.offsets], np.int64)
-            cuts = np.searchsorted(place, starts[1:]) if len(place) else np.zeros(len(starts) - 1, np.int64)
-            raw, bounds = ids.tobytes(), [0, *(cuts * self.width).tolist(), len(ids) * self.width]
-            for w, a, b in zip(some, bounds, bounds[1:], strict=False):
-                self.known[w] = raw[a:b]
-
-    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
+        chain = json.loads(self.tokenizer.to_str())
+        suffix = chain["model"].get("end_of_word_suffix")
+        self.by_words = bool(suffix) and (chain["normalizer"] or {}).get("normalizers") == NORMALIZER and (chain["pre_tokenizer"] or {}).get("pretokenizers") == PRE_TOKENIZER
+        self.final = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
+        self.final[[i for x, i in self.tokenizer.get_vocab(False).items() if suffix and x.endswith(suffix)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        """Known parts and their ids as raw bytes of self.width each; the empty part has none."""
+        self.words, self.ids = pa.array([""], pa.string()), pa.array([b""], pa.binary())
+
+    def _raw(self, ids: list[int]) -> bytes:
+        return np.array(ids, f"<u{self.width}").tobytes()
+
+    def _cut(self, ids: list[int], ends: np.ndarray) -> pa.BinaryArray:
+        """The ids as raw bytes, cut at the places `ends`."""
+        offsets = np.concatenate(([0], ends * self.width)).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(self._raw(ids))])
+
+    def learn(self, new: pa.StringArray) -> None:
+        """Encodes new parts with the library, 20,000 at a time, and remembers them."""
+        one = pc.match_substring_regex(new, _ONE)
+        for some, take in ((new.filter(one), self._letters_or_marks), (new.filter(pc.invert(one)), self._others)):
+            for at in range(0, len(some), 20_000):
+                part = some.slice(at, 20_000)
+                self.ids = pa.concat_arrays([self.ids, take([w.decode("utf-8", "replace") for w in part.view(pa.binary()).to_pylist()])])
+                self.words = pa.concat_arrays([self.words, part])
+
+    def _letters_or_marks(self, words: list[str]) -> pa.BinaryArray:
+        """The ids of words that are one piece to the splitter: the last id of each, and no other, ends a word."""
+        ids = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids
+        ends = np.flatnonzero(self.final[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            raise ValueError("the tokenizer splits Latin letters or marks in another way")
+        return self._cut(ids, ends)
+
+    def _others(self, words: list[str]) -> pa.BinaryArray:
+        """The ids of any words; the offset of each id tells its word."""
+        starts = np.cumsum([0] + [len(w) + 1 for w in words])
+        found = self.tokenizer.encode_batch([" ".join(words)], add_special_tokens=False)[0]
+        place = np.array([a for a, _ in found.offsets], np.int64)
+        return self._cut(found.ids, np.searchsorted(place, starts[1:]))
+
+    def encode(self, texts: Iterable[bytes]) -> Iterator[bytes]:
         """The ids of each text as raw bytes of self.width each."""
-        run, size = [], 0
+        if not self.by_words:
+            for text in texts:
+                yield self._raw(self.tokenizer.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)[0].ids)
+            return
+        run, size, begun = [], 0, []
         for text in texts:
             # ASCII capitals may go first unless a mark that composes with them, or a special token, could be there
             plain = b"\xcc" not in text and b"\xcd" not in text and b"<|" not in text
-            run.append((text.lower() if plain else text).split())
-            size += len(text)
-            if size > RUN:
-                yield from self._run(run)
-                run, size = [], 0
-        yield from self._run(run)
-
-    def _run(self, run: list[list[bytes]]) -> Iterator[bytes]:
-        new = set().union(*run) - self.known.keys()
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            self.pieces.clear()
-            new = set().union(*run)
-        self.learn(list(new))
-        get = self.known.__getitem__
-        for words in run:
-            yield b"".join(map(get, words))
+            *some, last = segments(text.lower() if plain else text, RUN)
+            for part, ends in [*((x, False) for x in some), (last, True)]:
+                run.append((part, ends))
+                size += len(part)
+                if size > RUN:
+                    yield from self._ended(run, begun)
+                    run, size = [], 0
+        yield from self._ended(run, begun)
+
+    def _ended(self, run: list[tuple[bytes, bool]], begun: list[bytes]) -> Iterator[bytes]:
+        """The ids of the texts that end in a run of segments; `begun` holds those of the text that goes on."""
+        for (_, ends), ids in zip(run, self._run([part for part, _ in run]), strict=True):
+            begun.append(ids)
+            if ends:
+                yield b"".join(begun)
+                begun.clear()
+
+    def _run(self, parts: list[bytes]) -> list[bytes]:
+        words = pc.ascii_split_whitespace(spread(parts))
+        seen = words.flatten().dictionary_encode()
+        distinct = seen.dictionary
+        new = distinct.filter(pc.is_null(pc.index_in(distinct, self.words)))
+        if len(self.words) + len(new) > REMEMBERED:
+            self._forget()
+            new = distinct.filter(pc.is_null(pc.index_in(distinct, self.words)))
+        self.learn(new)
+        ids = self.ids.take(pc.index_in(distinct, self.words)).take(seen.indices)
+        return pc.binary_join(pa.ListArray.from_arrays(words.offsets, ids), b"").to_pylist()
+
+
+def spread(texts: list[bytes]) -> pa.StringArray:
+    """The texts with a space between each Latin letter and a mark behind it, save those that may hold a special token."""
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
+    letter = _LETTER[data]
+    letter[1:] |= _TAIL[data[1:]] & (data[:-1] == 0xC3)
+    places = np.flatnonzero(letter[:-1] & _SIGN[data[1:]]) + 1
+    plain = np.array([b"<|" not in t for t in texts], bool)
+    places = places[plain[np.searchsorted(offsets, places, "right") - 1]] if len(places) else places
+    out = np.full(len(data) + len(places), 32, np.uint8)
+    out[np.arange(len(data)) + np.cumsum(np.bincount(places, minlength=len(data) + 1)[: len(data)])] = data
+    moved = (offsets + np.searchsorted(places, offsets, "left")).astype(np.int32)
+    return pa.Array.from_buffers(pa.string(), len(texts), [None, pa.py_buffer(moved), pa.py_buffer(out)])
 
 
 @lru_cache(2)
@@ -351,10 +402,11 @@ def read_tokens(manifest: DataFrame, n_shards: int | None = None) -> DataFrame:
 
 
 class TokenStore:
-    """Keyed access: the ids of one document, by the manifest's ranges, the shard's index and one read."""
+    """Keyed access: the ids of one document, by the manifest's ranges (halved), the shard's index and one read."""
 
     def __init__(self, manifest: DataFrame):
-        self.shards = manifest.orderBy("shard").collect()  # a row a shard
+        rows = manifest.where("last_id is not null").orderBy("shard").collect()  # a row a shard
+        self.shards, self.ends = rows, [s["last_id"] for s in rows]
         self._open = lru_cache(64)(self._load)
 
     @staticmethod
@@ -363,13 +415,19 @@ class TokenStore:
             return Index.read(source)
 
     def get(self, doc_id: int, again: int = 0) -> np.ndarray | None:
-        for s in self.shards:
-            if s["first_id"] is not None and s["first_id"] <= doc_id <= s["last_id"]:
-                known, start, n = self._open(s["idx"]).find(np.array([doc_id]), again=np.array([again]))
-                if known[0]:
-                    with _files.reader(s["ids"]) as source:
-                        return np.frombuffer(source.read_at(int(n[0]) * s["width"], int(start[0]) * s["width"]), f"<u{s['width']}")
-        return None
+        """The ids of the document, or of the row `again` places after the first that has its doc_id; else None.
+
+        Rows of one doc_id stand in one shard: the first whose last_id isn't below it.
+        """
+        at = bisect_left(self.ends, doc_id)
+        if at == len(self.shards) or self.shards[at]["first_id"] > doc_id:
+            return None
+        s = self.shards[at]
+        known, start, n = self._open(s["idx"]).find(np.array([doc_id]), again=np.array([again]))
+        if not known[0]:
+            return None
+        with _files.reader(s["ids"]) as source:
+            return np.frombuffer(source.read_at(int(n[0]) * s["width"], int(start[0]) * s["width"]), f"<u{s['width']}")
 
 
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
