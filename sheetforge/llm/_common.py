@@ -4,18 +4,23 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: A join side with at most this many narrow rows may be broadcast; more rows are joined by shuffle.
 BROADCAST_ROWS = 200_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a new local one where it is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir. Only where it is unset and Spark runs in one process
+    (tests) a new local one is set; on a cluster that is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith(("local[", "local ")) and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="sheetforge-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
@@ -27,10 +32,48 @@ def work_dir(spark: SparkSession, what: str) -> str:
 
 
 def materialize(df: DataFrame, what: str) -> DataFrame:
-    """Cut the lineage: write `df` once as Parquet in the shared folder and read it back."""
+    """Cut the lineage: write `df` once as Parquet in the shared folder and read it back. `discard` deletes it."""
     path = work_dir(df.sparkSession, what)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete materialised tables that no later plan reads."""
+    for df in written:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def own_columns(df: DataFrame, but: tuple[str, ...] = ()) -> list[Column]:
+    """The columns of `df`, whatever their names, without those called `but`."""
+    return [F.col(quoted(c)) for c in df.columns if c.lower() not in {x.lower() for x in but}]
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that `df` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def map_arrow(rows: DataFrame, run: Callable, schema: StructType) -> DataFrame:
+    """mapInArrow for columns of any names, also with dots: Spark sees numbered ones."""
+    names, outs = rows.columns, [f"c{i}" for i in range(len(schema))]
+
+    def renamed(batches):
+        for out in run(b.rename_columns(names) for b in batches):
+            yield out.rename_columns(outs)
+
+    plain = StructType([StructField(o, f.dataType) for o, f in zip(outs, schema, strict=True)])
+    return rows.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(renamed, plain).toDF(*schema.names)
 
 
 def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
