@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import PER_COPY, copied, dealt, materialize, small_side
+from ._common import PER_COPY, copied, dealt, discard, materialize, small_side
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -31,9 +31,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     folder, and only two numbers (count and checksum of the edges) come to the driver.
     """
     now = edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    before = None
+    before = old = None
     while True:
         now = materialize(_small_star(_large_star(now)), "stars")
+        if old is not None:
+            discard(old)
+        old = now
         mark = now.agg(F.count("*"), F.sum(F.expr("xxhash64(u, v) div 4294967296"))).first()
         if mark == before:
             return now.select(F.col("u").alias("vertex"), F.col("v").alias("component"))

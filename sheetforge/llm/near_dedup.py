@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._bytes import mix, shingle_hashes, utf8, word_hashes
-from ._common import copied, dealt, hot_values, materialize, small_side
+from ._common import copied, dealt, discard, hot_values, materialize, own_columns, small_side
 from .components import connected_components
 
 WIDTH = 5
@@ -189,6 +189,8 @@ def _meet_first() -> Column:
 def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, threshold: int) -> DataFrame:
     """Those pairs (a, b) whose full shingle sets are similar enough. Only the texts of paired documents are read again."""
     pairs = materialize(pairs, "pairs")
+    if pairs.isEmpty():
+        return pairs
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(small_side(ids), "doc_id", "left_semi")
     sets = rows.mapInArrow(_set_rows(width), "doc_id long, shingles array<long>")
@@ -272,6 +274,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
         .distinct()
     )
     more = _confirmed(across, docs, width, threshold)
+    discard(shared, stored, meet, unsettled, rows)
     if not more.isEmpty():
         found = connected_components(links.unionByName(more))
 
@@ -286,10 +289,11 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """`docs` with all its columns, without the rows that aren't the smallest doc_id of their component."""
     lost = near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(small_side(materialize(lost, "lost")), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.join(small_side(materialize(lost, "lost")), "doc_id", "left_anti").select(*own_columns(docs))
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near duplicates of all documents; null, empty and repeated rows as in near_duplicates."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
