@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._bytes import utf8
-from ._common import small_side
+from ._common import fresh, own_columns, small_side
 
 #: Bytes in an n-gram.
 N = 4
@@ -159,35 +159,39 @@ def lettered() -> F.Column:
 
 
 def predict(docs: DataFrame, model: Model, pred: str = "lang_pred", score: str = "score") -> DataFrame:
-    """Adds the columns `pred` and `score` to every row of `docs`; whole texts are looked up.
+    """Adds the columns `pred` and `score` to every row of `docs`; whole texts are looked up, and only texts go to Python.
 
     `und` with score 0 if the text is null or has no letter, or if nothing was learned; a text with letters but
-    no n-gram of any language gets the first learned language with score 0. An empty table gives no rows.
+    no n-gram of any language gets the first learned language with score 0. An empty table gives no rows; a
+    column of `docs` that is called `pred` or `score` is replaced, all others stay, whatever their names.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for batch in batches:
-            n = batch.num_rows
-            data, offsets = utf8(batch.column("text"))
+    def of_batch(texts: pa.Array, known: pa.Array) -> pa.Array:
+        m, n = shared.value, len(texts)
+        preds, scores = [UNKNOWN] * n, np.zeros(n)
+        if m.languages:
+            data, offsets = utf8(texts)
             hits, total = np.zeros((len(m.languages), n), np.int64), np.zeros(n, np.int64)
-            if m.languages:
-                for rows, g in blocks(data, offsets):
-                    if len(g):
-                        first, last = rows[0], rows[-1] + 1
-                        hits[:, first:last] += m.hits(rows - first, g, last - first)
-                        total[first:last] += np.bincount(rows - first, minlength=last - first)
-                best, share = m.decide(hits, total)
-            known = [bool(x) and bool(m.languages) for x in batch.column("_lettered").to_pylist()]
-            preds = [m.languages[best[i]] if k else UNKNOWN for i, k in enumerate(known)]
-            scores = [float(share[i]) if k else 0.0 for i, k in enumerate(known)]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(preds, pa.string()), pa.array(scores, pa.float64())], names=[*names, pred, score])
-
-    rows = docs.withColumn("_lettered", lettered())
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return rows.mapInArrow(run, f"{kept}, `{pred}` string, `{score}` double")
+            for rows, g in blocks(data, offsets):
+                if len(g):
+                    first, last = rows[0], rows[-1] + 1
+                    hits[:, first:last] += m.hits(rows - first, g, last - first)
+                    total[first:last] += np.bincount(rows - first, minlength=last - first)
+            best, share = m.decide(hits, total)
+            lettered = np.array(known.to_pylist(), bool)
+            preds = [m.languages[i] if k else UNKNOWN for i, k in zip(best.tolist(), lettered.tolist(), strict=True)]
+            scores = np.where(lettered, share, 0.0)
+        return pa.StructArray.from_arrays([pa.array(preds, pa.string()), pa.array(scores, pa.float64())], names=["pred", "score"])
+
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, known in batches:
+            yield of_batch(texts, known)
+
+    found = fresh(docs, "found")
+    rows = docs.withColumn(found, F.arrow_udf(run, "pred string, score double", F.ArrowUDFType.SCALAR_ITER)(F.col("text"), lettered()))
+    own = own_columns(docs, (pred, score))
+    return rows.select(*own, F.col(f"{found}.pred").alias(pred), F.col(f"{found}.score").alias(score))
 
 
 def held_out() -> F.Column:
@@ -201,11 +205,17 @@ def languages(docs: DataFrame, pred: str = "lang_pred", score: str = "score") ->
 
 
 def drop_unknown(docs: DataFrame) -> DataFrame:
-    """`docs` with all its columns, without the rows whose text is null or has no letter; none else go, even if no language was learned."""
-    return languages(docs, "_lang_pred", "_lang_score").where(lettered()).drop("_lang_pred", "_lang_score")
+    """`docs` with all its columns, without the rows that are predicted `und`: text null or without a letter.
+
+    Where no language could be learned, the letter test alone decides, so no other row goes. An empty table gives no rows.
+    """
+    model, pred, score = learn(docs.where(~held_out())), fresh(docs, "lang_pred"), fresh(docs, "lang_score")
+    known = F.col(pred) != UNKNOWN if model.languages else lettered()
+    return predict(docs, model, pred, score).where(known).select(*own_columns(docs))
 
 
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learned from those that aren't held out; null, empty and unknown texts as in predict."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     lang = learn(docs.where(~held_out()))
     return predict(docs.select("doc_id", "text"), lang).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
