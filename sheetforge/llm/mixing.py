@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import materialize, prefix_sums, small_side
+from ._common import fresh, materialize, own_columns, prefix_sums, small_side
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -15,65 +15,77 @@ SEED = "mix-1"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def words() -> Column:
+    """The number of words in the column text; null: 0."""
+    return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def source_targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
     """Adds `target` to a table (source, source_size) with one row a source.
 
     All targets sum to the sum of all sizes and are in proportion to the weights, except that a target
     stops at `most` times its source's size; what that leaves is shared again by weight among the others.
-    The rank that gives a source its weight is found without a global window, so any number of sources will do.
+    Ranks and the level of sharing come from prefix sums without a global window, so any number of sources will do:
+    with the sources in the order of cap over weight, the level is the largest quotient of what the caps before
+    leave and the weights from there on.
     """
     cases = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("idx") % len(weights) + 1).cast("int"))
     ranked = materialize(
-        prefix_sums(sizes, [F.col("source").asc_nulls_last()], {"before": "source_size"})
-        .withColumn("weight", cases.cast("double"))
-        .withColumn("cap", F.col("source_size").cast("double") * most),
+        prefix_sums(sizes, [F.col("source").asc_nulls_last()], {"before": "source_size"}).select(
+            "source", "source_size", F.col("idx").alias("place"), F.col("before_total").alias("total"),
+            cases.cast("double").alias("weight"), (F.col("source_size").cast("double") * most).alias("cap"),
+        ),
         "sources",
-    )
-    level, full = 0.0, -1
-    while True:  # each pass adds sources that are full at this level; ends when none is new
-        capped = F.col("cap") <= F.col("weight") * level
-        row = ranked.agg(
-            F.sum("source_size").alias("total"),
-            F.sum(F.when(capped, F.col("cap")).otherwise(0)).alias("taken"),
-            F.sum(F.when(capped, 0).otherwise(F.col("weight"))).alias("left"),
-            F.count(F.when(capped, 1)).alias("full"),
-        ).first()
-        if row["full"] == full or not row["left"]:
-            break
-        full, level = row["full"], (row["total"] - row["taken"]) / row["left"]
+    )
+    ordered = prefix_sums(ranked, [F.col("cap") / F.col("weight"), F.col("place")], {"caps": "cap", "weights": "weight"})
+    level = ordered.agg(F.max((F.col("total") - F.col("caps")) / (F.col("weights_total") - F.col("weights"))).alias("level")).first()["level"] or 0.0
     return ranked.select("source", "source_size", F.least(F.col("cap"), F.col("weight") * level).alias("target"))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
-    """Adds size, source_size, target and copies to each row of `docs`, whose columns all stay.
+def _rated(docs: DataFrame, sizes: DataFrame, weights, most: int, seed: str) -> tuple[DataFrame, str]:
+    """`docs` with one more column, and its name: a struct of source, source_size, target and copies."""
+    name = fresh(docs, "mix")
+    targets = source_targets(sizes, weights, most)
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("rate")
+    targets = targets.select(F.struct("source", "source_size", "target", rate).alias(name))
+    draw = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13), 16, 10).cast("double") / float(16**13)
+    rate = F.col(f"{name}.rate")
+    copies = (F.floor(rate) + F.when(draw < rate - F.floor(rate), 1).otherwise(0)).cast("int")
+    out = docs.join(small_side(targets), docs["source"].eqNullSafe(F.col(f"{name}.source")))
+    return out.withColumn(name, F.col(name).withField("copies", copies)), name
+
+
+def _sizes(docs: DataFrame, size: Column) -> DataFrame:
+    return docs.select("source", size.alias("size")).groupBy("source").agg(F.sum("size").alias("source_size"))
+
 
-    Size: words in the text (null: 0). A source's repetition rate is its target over its size; a document
+def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: str = SEED, size: Column | None = None) -> DataFrame:
+    """Adds size, source_size, target and copies to each row of `docs`; a column that has one of these names is replaced.
+
+    Size: words in the text (null: 0), or the given column. A source's repetition rate is its target over its size; a document
     is taken floor(rate) times, and once more with a probability equal to the fraction, drawn from the MD5
     of the seed and its doc_id (so reruns agree, and rows that repeat a doc_id draw alike). Null is a source
     of its own, the last; a source without words has target 0 and no copies; an empty table gives no rows.
+    All other columns stay, whatever their names.
     """
-    sized = docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
-    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = source_targets(sizes, weights, most).withColumnRenamed("source", "_source")
-    draw = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13), 16, 10).cast("double") / float(16**13)
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    out = sized.join(small_side(targets), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    return out.withColumn("copies", (F.floor(rate) + F.when(draw < rate - F.floor(rate), 1).otherwise(0)).cast("int"))
+    size = words() if size is None else size
+    out, name = _rated(docs, _sizes(docs, size), weights, most, seed)
+    added = [F.col(f"{name}.{c}").alias(c) for c in ("source_size", "target", "copies")]
+    return out.select(*own_columns(docs, ("size", "source_size", "target", "copies")), size.alias("size"), *added)
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: every row of `docs` as often as it is taken, with its own columns."""
-    return (
-        mix(docs, **options)
-        .where("copies > 0")
-        .withColumn("_copy", F.explode(F.expr("sequence(1, copies)")))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
-    )
+def mixed_documents(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: str = SEED, size: Column | None = None) -> DataFrame:
+    """The mix itself: every row of `docs` as often as it is taken, with its own columns as they are."""
+    out, name = _rated(docs, _sizes(docs, words() if size is None else size), weights, most, seed)
+    every = F.explode(F.sequence(F.lit(1), F.col(f"{name}.copies"))).alias(name)
+    return out.where(F.col(f"{name}.copies") > 0).select(*own_columns(docs), every).select(*own_columns(docs))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
-    return mix(docs).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+    """What the mix takes of all documents. Texts are read once; what follows reads doc_id, source and size."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    sized = materialize(docs.select("doc_id", "source", words().alias("size")), "sizes")
+    return mix(sized, size=F.col("size")).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 ORACLE = f"""
