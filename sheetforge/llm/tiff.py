@@ -15,6 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ._common import map_arrow, quoted
 
 # Fixed values of the format: compression schemes and tags.
 NONE, LZW, DEFLATE, DEFLATE_OLD, PACKBITS = 1, 5, 8, 32946, 32773
@@ -32,7 +35,7 @@ COLUMNS = 64
 PAGE_ROWS = 512
 STRIP_ROWS = 128
 TILE = 64
-#: (compression, tiled, predictor) of a payload's pages in turn.
+#: (compression, tiled, predictor) of a payload's pages in turn, from the one that its CRC-32 picks.
 LAYOUTS = ((DEFLATE, False, 2), (PACKBITS, False, 1), (DEFLATE, True, 2), (LZW, False, 2))
 
 
@@ -334,8 +337,8 @@ def tiff_pages(rows: DataFrame, column: str = "tiff") -> DataFrame:
             if pages:
                 yield out()
 
-    own = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rest)
-    return rows.select(*[f"`{n}`" for n in names], f"`{column}`").mapInArrow(run, own + PAGE)
+    pages_too = StructType([*rest, *StructType.fromDDL(PAGE)])
+    return map_arrow(rows.select(*[F.col(quoted(n)) for n in (*names, column)]), run, pages_too)
 
 
 def payload(text: bytes) -> bytes:
@@ -344,7 +347,11 @@ def payload(text: bytes) -> bytes:
 
 
 def payload_tiffs(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, tiff: each whole text (null: empty) in a file of PAGE_ROWS rows of COLUMNS samples a page, LAYOUTS in turn."""
+    """doc_id, n_bytes, tiff: each whole text (null: empty) in a file of PAGE_ROWS rows of COLUMNS samples a page.
+
+    The pages take LAYOUTS in turn; the payload's CRC-32 says which comes first, so texts of every size use them all
+    and equal texts have equal files.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -352,8 +359,9 @@ def payload_tiffs(docs: DataFrame) -> DataFrame:
             at, files, sizes, held = 0, [], [], 0
             for i in range(batch.num_rows):
                 text = texts[i].as_py() or b""
-                rows = np.frombuffer(payload(text), np.uint8).reshape(-1, COLUMNS)
-                pages = [(rows[y : y + PAGE_ROWS], *LAYOUTS[k % len(LAYOUTS)]) for k, y in enumerate(range(0, len(rows), PAGE_ROWS))]
+                body = payload(text)
+                rows, first = np.frombuffer(body, np.uint8).reshape(-1, COLUMNS), zlib.crc32(body)
+                pages = [(rows[y : y + PAGE_ROWS], *LAYOUTS[(first + k) % len(LAYOUTS)]) for k, y in enumerate(range(0, len(rows), PAGE_ROWS))]
                 files.append(write_tiff(pages))
                 sizes.append(len(text))
                 held += len(files[-1])
