@@ -10,6 +10,9 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
+
+from ._common import map_arrow, own_columns
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Longer texts are encoded in pieces of about so many characters.
@@ -71,21 +74,22 @@ def _replaced(batch: pa.RecordBatch, column: str, values: list[bytes]) -> pa.Rec
 
 
 def _map(rows: DataFrame, column: str, to: str, make) -> DataFrame:
-    """Rewrites one column with `make(list of values) -> list of bytes` as the binary column `to`."""
+    """Rewrites one column with `make(list of values) -> list of bytes` as the binary column `to`, in place of any that is called so."""
 
     def run(batches):
         for batch in _batches(batches, column):
             yield _replaced(batch, column, make(batch.column(column).to_pylist()))
 
-    schema = ", ".join(f"`{f.name}` {'binary' if f.name == column else f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(run, schema).withColumnRenamed(column, to)
+    rows = rows.select(*own_columns(rows, (to,) if to != column else ()))
+    schema = StructType([StructField(to, BinaryType()) if f.name == column else f for f in rows.schema])
+    return map_arrow(rows, run, schema)
 
 
 def encode_documents(rows: DataFrame, ranks: str, pattern: str, column: str = "text") -> DataFrame:
     """Replaces the text `column` by `ids`: its token ids as little-endian unsigned 32-bit numbers.
 
     Every whole text is encoded as tiktoken's encode_ordinary does, without special tokens. A null text is an
-    empty one and gives no ids; other columns stay. Ids are numbers under 2**32 in the order of the text.
+    empty one and gives no ids; other columns stay, whatever their names, but for one that is called ids. Ids are numbers under 2**32 in the order of the text.
     """
 
     def make(texts):
@@ -117,4 +121,5 @@ def round_trip(docs: DataFrame, ranks: str | None = None, pattern: str | None =
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded again; a null or empty text has no tokens, rows that repeat give the same row."""
     return round_trip(spark.read.parquet(f"{sf_dir}/documents.parquet"))
