@@ -193,6 +193,7 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts among all documents; null, empty and repeated rows as in exact_duplicates."""
     return exact_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
