@@ -64,8 +64,20 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Rows in a batch that goes to Python, so that a batch of long texts stays small on both sides.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Sets Spark's rows a batch for Python to BATCH_ROWS, unless the session has a number of its own."""
+    key, default = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+    if spark.conf.get(key, default) == default:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def map_arrow(rows: DataFrame, run: Callable, schema: StructType) -> DataFrame:
     """mapInArrow for columns of any names, also with dots: Spark sees numbered ones."""
+    bounded_batches(rows.sparkSession)
     names, outs = rows.columns, [f"c{i}" for i in range(len(schema))]
 
     def renamed(batches):

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from ._common import map_arrow, own_columns
@@ -110,14 +110,32 @@ def decode_documents(rows: DataFrame, ranks: str, pattern: str, column: str = "i
 
 
 def round_trip(docs: DataFrame, ranks: str | None = None, pattern: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row; the tokens are decoded again from the ids."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row; the tokens are decoded again from the ids.
+
+    One worker does both, piece by piece, so a task needs one worker only and memory holds one piece's ids.
+    """
     import public_tokenizers
 
     ranks, pattern = ranks or public_tokenizers.path(RANKS), pattern or public_tokenizers.PATTERN
-    ids = encode_documents(docs.select("doc_id", "text"), ranks, pattern).select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), "ids"
-    )
-    return decode_documents(ids, ranks, pattern).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    schema = StructType([docs.schema["doc_id"], *StructType.fromDDL("n_tokens long, ids_sha256 string, decoded_sha256 string")])
+
+    def digests(text: str, enc) -> tuple[int, str, str]:
+        n, ids_sha, decoded_sha = 0, hashlib.sha256(), hashlib.sha256()
+        for piece in pieces(text):
+            ids = enc.encode_ordinary(piece)
+            n += len(ids)
+            ids_sha.update(array("I", ids))
+            decoded_sha.update(enc.decode_bytes(ids))
+        return n, ids_sha.hexdigest(), decoded_sha.hexdigest()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoding(ranks, pattern)
+        for batch in batches:
+            found = [digests(t.as_py() or "", enc) for t in batch.column("text")]
+            n, ids, decoded = zip(*found, strict=True) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], names=schema.names)
+
+    return map_arrow(docs.select("doc_id", "text"), run, schema)
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._bytes import utf8
-from ._common import materialize, small_side
+from ._common import bounded_batches, materialize, small_side
 
 #: (modulus, base) of the two fingerprints; both moduli are primes under 2**31.
 FIELDS = ((2147483647, 1306215917), (2147483629, 1822093481))
@@ -95,6 +95,7 @@ def fingerprints(rows: DataFrame, fields=FIELDS, huge: int = HUGE) -> DataFrame:
 
     Texts over `huge` bytes are dealt out as chunks, hashed in parallel and combined by a sum.
     """
+    bounded_batches(rows.sparkSession)
     rest = [c for c in rows.columns if c != "text"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
     rows = rows.withColumn("text", F.coalesce("text", F.lit("")))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._bytes import utf8
-from ._common import fresh, own_columns, small_side
+from ._common import bounded_batches, fresh, own_columns, small_side
 
 #: Bytes in an n-gram.
 N = 4
@@ -133,6 +133,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE, most: int = GRAMS) -> Model:
     The fit is bounded: about `sample` documents of each language, picked by a hash of doc_id, and at most
     `most` n-grams of each language come to the driver. Whole texts are counted.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.where("text is not null and lang is not null").select("doc_id", "text", "lang")
     share = rows.groupBy("lang").count().select("lang", (F.lit(float(sample)) / F.col("count")).alias("share"))
     draw = F.pmod(F.xxhash64(F.lit("lang-sample"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
@@ -165,6 +166,7 @@ def predict(docs: DataFrame, model: Model, pred: str = "lang_pred", score: str =
     no n-gram of any language gets the first learned language with score 0. An empty table gives no rows; a
     column of `docs` that is called `pred` or `score` is replaced, all others stay, whatever their names.
     """
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def of_batch(texts: pa.Array, known: pa.Array) -> pa.Array:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._bytes import mix, shingle_hashes, utf8, word_hashes
-from ._common import copied, dealt, discard, hot_values, materialize, own_columns, small_side
+from ._common import bounded_batches, copied, dealt, discard, hot_values, materialize, own_columns, small_side
 from .components import connected_components
 
 WIDTH = 5
@@ -136,6 +136,7 @@ def _set_rows(width: int):
 
 def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, a 128-bit hash of the whole set (set1, set2), the packed signature and the parity sketch of each row."""
+    bounded_batches(docs.sparkSession)
     schema = "doc_id long, n_shingles long, set1 long, set2 long, sig array<long>, sketch array<long>"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_signature_rows(width), schema)
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ._common import map_arrow, quoted
+from ._common import bounded_batches, map_arrow, quoted
 
 # Fixed values of the format: compression schemes and tags.
 NONE, LZW, DEFLATE, DEFLATE_OLD, PACKBITS = 1, 5, 8, 32946, 32773
@@ -370,6 +370,7 @@ def payload_tiffs(docs: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(files, pa.binary())], names=["doc_id", "n_bytes", "tiff"])
                     at, files, sizes, held = i + 1, [], [], 0
 
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_bytes long, tiff binary")
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from . import _files
 from ._bytes import mix
-from ._common import shuffle_partitions, work_dir
+from ._common import bounded_batches, shuffle_partitions, work_dir
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -355,6 +355,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end
     import public_tokenizers
 
     spark = docs.sparkSession
+    bounded_batches(spark)
     path = tokenizer or public_tokenizers.path(TOKENIZER)
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     key = F.col("doc_id").asc_nulls_first()
