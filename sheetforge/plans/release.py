@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from ..operators.relational import last_wins, table_counts
 from ..operators.torque import resolve
 
 POINTER = "publish.active_releases"
+POINTER_ROW = "spec_family string, release_id string, published_at timestamp, sequence long"
 
 
 def documents(records: DataFrame, metadata: DataFrame | None = None) -> DataFrame:
@@ -86,23 +89,37 @@ def write_release(tables: dict[str, DataFrame], root: str, release_id: str, appl
     return counts
 
 
-def publish(spark: SparkSession, root: str, family: str, release_id: str, status: str, gates: DataFrame) -> DataFrame:
-    """Moves the family's pointer to a release, last of all: only for published releases whose gates all pass.
+def publish(spark: SparkSession, root: str, family: str, release_id: str, status: str, gates: DataFrame, published_at: datetime, sequence: int) -> DataFrame:
+    """Moves the family's pointer to a release, last of all: only for published releases with gates that all pass.
 
-    The pointer is one small row a family; it is written anew beside the old one, and the newest file counts.
+    No gates at all, or a gate without status, is refused too. The pointer is one small row a family; it is written anew
+    beside the old one. The row with the highest sequence number counts, which must be above all the family's earlier
+    ones, so neither a clock that steps back nor a publisher who comes late revives an old release.
     """
     if status != "published":
         raise ValueError("only a published release can be active")
-    if not gates.where("status != 'pass'").isEmpty():
+    passed = F.col("status").eqNullSafe(F.lit("pass"))
+    n = gates.agg(F.count("*").alias("gates"), F.count_if(passed).alias("passed")).first()
+    if not n["gates"] or n["passed"] != n["gates"]:
         raise ValueError("not every gate passes")
-    row = spark.createDataFrame([(family, release_id)], "spec_family string, release_id string").withColumn("published_at", F.current_timestamp())
+    last = _pointer(spark, root).where(F.col("spec_family") == family).agg(F.max("sequence")).first()[0]
+    if last is not None and sequence <= last:
+        raise ValueError(f"sequence {sequence} isn't above {last}")
+    row = spark.createDataFrame([(family, release_id, published_at, sequence)], POINTER_ROW)
     row.coalesce(1).write.mode("append").parquet(f"{root}/{POINTER}")
     return active(spark, root)
 
 
+def _pointer(spark: SparkSession, root: str) -> DataFrame:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{POINTER}")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], POINTER_ROW)
+    return spark.read.schema(POINTER_ROW).parquet(f"{root}/{POINTER}")
+
+
 def active(spark: SparkSession, root: str) -> DataFrame:
-    rows = spark.read.parquet(f"{root}/{POINTER}")
-    return last_wins(rows, ["spec_family"], "published_at").select("spec_family", "release_id")
+    """The active release of each family; of rows with one sequence number the later, then the larger release_id counts."""
+    return last_wins(_pointer(spark, root), ["spec_family"], "sequence", "published_at", "release_id").select("spec_family", "release_id")
 
 
 def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -17,8 +18,11 @@ from .texts import _pages
 
 
 def scratch(spark) -> str:
-    """A new folder in the one that all executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sheetforge-")
+    """A new folder in the one that all executors share; a local one only where Spark runs in one process (tests)."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not (spark.sparkContext.master + "[").startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    base = base or tempfile.mkdtemp(prefix="sheetforge-")
     return f"{base.rstrip('/')}/plans-{uuid.uuid4().hex}"
 
 
@@ -42,8 +46,8 @@ def k_publish_pointer(spark, d):
     """The pointer moves from one release to the next; rows of the old one leave the serving view."""
     root = scratch(spark)
     green = spark.createDataFrame([("all", "pass")], "name string, status string")
-    for r in ("r1", "r2"):
-        pointer = release.publish(spark, root, "83513", r, "published", green)
+    for n, r in enumerate(("r1", "r2")):
+        pointer = release.publish(spark, root, "83513", r, "published", green, datetime(2024, 1, 1 + n), n)
     old = release.current(_release(spark)["configurations"], pointer).agg(F.count("*").cast("int").alias("n_old_rows"))
     return pointer.crossJoin(F.broadcast(old))  # one row
 

@@ -2,6 +2,8 @@
 
 import uuid
 
+from datetime import datetime
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -210,12 +212,18 @@ def test_publish(spark, tmp_path):
     dry = release.write_release({"documents": docs, "configurations": c}, root, "r1")
     assert {x["table_name"]: x["n_rows"] for x in dry.collect()} == {"documents": 8, "configurations": 244} and not list(tmp_path.iterdir())
     release.write_release({"documents": docs, "configurations": c}, root, "r1", apply=True)
-    for status, gates in (("staged", green), ("published", red)):
+    empty, unknown = green.limit(0), spark.createDataFrame([("a", "pass"), ("b", None)], "name string, status string")
+    late, early = datetime(2024, 2, 2), datetime(2024, 1, 1)
+    for status, gates in (("staged", green), ("published", red), ("published", empty), ("published", unknown)):
         with pytest.raises(ValueError):
-            release.publish(spark, root, "83513", "r1", status, gates)
-    release.publish(spark, root, "83513", "r1", "published", green)
-    pointer = release.publish(spark, root, "83513", "r2", "published", green)
+            release.publish(spark, root, "83513", "r1", status, gates, early, 1)
+    release.publish(spark, root, "83513", "r1", "published", green, late, 1)
+    pointer = release.publish(spark, root, "83513", "r2", "published", green, early, 2)  # the clock stepped back
     assert [x["release_id"] for x in pointer.collect()] == ["r2"]
+    for n in (1, 2):
+        with pytest.raises(ValueError, match="sequence"):
+            release.publish(spark, root, "83513", "r1", "published", green, late, n)
+    assert [x["release_id"] for x in release.active(spark, root).collect()] == ["r2"]
     old = spark.createDataFrame([("83513", "r1")], "spec_family string, release_id string")
     assert release.current(c, old).count() == 244 and release.current(c, pointer).count() == 0
     assert release.current_documents(docs, c, old).count() == 8
