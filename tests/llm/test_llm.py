@@ -182,6 +182,13 @@ def test_tiff_query(spark, tmp_path):
     assert by[40]["feature"].startswith("pages=") and int(by[40]["feature"].split(";")[0][6:]) > 4
 
 
+def test_tiff_layouts_do_not_depend_on_size(spark):
+    rng = random.Random(31)
+    docs = documents(spark, [(i, words(rng, rng.randrange(1, 60))) for i in range(400)])
+    pages = tiff.tiff_pages(tiff.payload_tiffs(docs)).groupBy("compression", "tiled").count().collect()
+    assert len(pages) == 4 and all(r["count"] > 0.15 * 400 for r in pages)
+
+
 # --- 4 token store
 
 
@@ -232,6 +239,25 @@ def test_token_store(spark):
     assert token_store.read_tokens(token_store.write_tokens(documents(spark, []), work_dir(spark, "t"))).count() == 0
 
 
+def test_word_encoder_matches_the_library(monkeypatch):
+    import public_tokenizers
+
+    enc = token_store.WordEncoder(public_tokenizers.path(token_store.TOKENIZER))
+    assert enc.by_words
+    rng = random.Random(32)
+    bits = [*"aAzZéÉñÇß İıÀÿ÷×'’`´<|>0 12٣漢字кΣﬁ!?.,;:#\t\n\x0b\x1c\x85", "e\u0301", "\u0338", "<|startoftext|>", "'s", " 'LL", "don't", "  ", "ab", "Cd."]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(0, 80))) for _ in range(1500)]
+    want = [np.array(e.ids, "<u2").tobytes() for e in enc.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert list(enc.encode([t.encode() for t in texts])) == want
+    monkeypatch.setattr(token_store, "RUN", 300)  # long texts come in segments
+    monkeypatch.setattr(token_store, "REMEMBERED", 50)  # and what is known is forgotten
+    assert list(enc.encode([t.encode() for t in texts[:200]])) == want[:200]
+    long = " ".join(texts[:50])
+    assert list(enc.encode([long.encode()])) == [np.array(enc.tokenizer.encode(long, add_special_tokens=False).ids, "<u2").tobytes()]
+    enc.by_words = False  # as with a tokenizer that splits in another way
+    assert list(enc.encode([t.encode() for t in texts[:200]])) == want[:200]
+
+
 # --- 5 mixing
 
 
@@ -585,6 +611,24 @@ def test_near_duplicates_odd(spark):
     assert kept.columns == documents(spark, []).columns and kept.count() == len(rows) - 2
 
 
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(36)
+    for n in (1, 5, 50, 2000):
+        a, b = (np.unique(rng.integers(0, 2**64, n, dtype=np.uint64)) for _ in range(2))
+        both = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        x, y = np.union1d(a, both), np.union1d(b, both)
+        bits = np.bitwise_count(near_dedup._sketch(x) ^ near_dedup._sketch(y)).sum()
+        assert 0 < bits <= len(np.setxor1d(x, y)) and len(near_dedup._sketch(x)) * 64 == near_dedup.SKETCH
+        assert not (near_dedup._sketch(x) ^ near_dedup._sketch(x.copy())).any()
+
+
+def test_hot_members_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup.hot_values, "__defaults__", (3,))
+    rows = near_rows(random.Random(37))
+    out = near_dedup.near_duplicates(documents(spark, rows)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == brute_near(rows)
+
+
 def test_signature_join_finds_all_within_the_distance():
     rng = np.random.default_rng(11)
     for _ in range(200):
@@ -707,6 +751,61 @@ def test_grams_do_not_cross_rows(monkeypatch):
     assert count() == whole
 
 
+def test_langid_query(spark, tmp_path):
+    rng = random.Random(33)
+    rows = [(i, speech(rng, lang, 30), lang) for i in range(300) for lang in [rng.choice(["aa", "bb", "cc"])]] + [(900, None, "aa"), (901, "12 !", None)]
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    out = langid.op10_langid(spark, str(tmp_path))
+    assert out.columns == ["doc_id", "held_out", "lang_pred", "score"]
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert len(got) == len(rows) and all(r["held_out"] == (zlib.crc32(str(d).encode()) % 5 == 0) for d, r in got.items())
+    held = [r for r in rows[:300] if got[r[0]]["held_out"]]
+    assert sum(got[d]["lang_pred"] == lang for d, _, lang in held) / len(held) > 0.97
+    assert got[900]["lang_pred"] == got[901]["lang_pred"] == "und"
+
+
+def test_toxicity_query(spark, tmp_path):
+    rng = random.Random(34)
+    rows = [(i, words(rng, 60, 300) + (" vile rotten gross" if i % 4 == 0 else "")) for i in range(400)] + [(900, None)]
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(400)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    out = toxicity.op6_toxicity(spark, str(tmp_path))
+    assert out.columns == ["doc_id", "held_out", "score", "predicted"]
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert len(got) == len(rows) and all(r["predicted"] == int(r["score"] >= 0.5) and 0 <= r["score"] <= 1 for r in got.values())
+    held = [d for d in range(400) if got[d]["held_out"]]
+    assert sum(got[d]["predicted"] == int(d % 4 == 0) for d in held) / len(held) > 0.95
+
+
+# --- columns that clash
+
+EXTRA = ["a.b", "size", "source_size", "copies", "target", "mix", "_source", "found", "lang_pred", "_lettered", "ids", "c0", "_part", "idx", "copy"]
+
+
+@pytest.mark.parametrize("operator", ["language", "exact", "near", "mixing", "encoding"])
+def test_other_columns_stay(spark, operator):
+    import public_tokenizers
+
+    rng = random.Random(35)
+    rows = [(i, words(rng, 30), "en", "s") for i in range(20)] + [(50, None, None, None)]
+    docs = documents(spark, rows)
+    for i, name in enumerate(EXTRA):
+        docs = docs.withColumns({name: F.lit(1000 + i)})
+    make = {
+        "language": langid.drop_unknown,
+        "exact": exact_dedup.drop_exact_duplicates,
+        "near": near_dedup.drop_near_duplicates,
+        "mixing": mixing.mixed_documents,
+        "encoding": lambda d: bpe.encode_documents(d, public_tokenizers.path(bpe.RANKS), public_tokenizers.PATTERN),
+    }[operator]
+    out = make(docs)
+    names = [n for n in EXTRA if operator != "encoding" or n != "ids"]
+    if operator != "encoding":
+        assert out.columns == docs.columns
+    seen = out.select(*[F.col(f"`{n}`").alias(f"x{i}") for i, n in enumerate(names)]).distinct().collect()
+    assert [tuple(r) for r in seen] == [tuple(1000 + EXTRA.index(n) for n in names)]
+
+
 # --- pipeline
 
 
