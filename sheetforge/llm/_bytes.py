@@ -18,7 +18,7 @@ _BYTE_VALUE = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 #: Texts are hashed in blocks of about so many bytes, cut between words.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 _powers = {}
 
 

@@ -32,7 +32,7 @@ _FOLD[128:] = np.arange(128, 256)
 _FOLD[97:123] = np.arange(97, 123)
 _FOLD[65:91] = np.arange(97, 123)
 #: Bytes worked on at a time.
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 
 
 def grams(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._bytes import BLOCK, SPACE, _hash_block, mix, powers, utf8
+from ._bytes import SPACE, _hash_block, mix, powers, utf8
 
 #: Words in a window; windows begin every STRIDE words, and the last one ends with the text.
 WINDOW, STRIDE = 32, 16
@@ -30,6 +30,8 @@ WORD_BUCKETS, GRAM_BUCKETS, EMBED = 4096, 4096, 4
 HIDDEN, ATTEND = 8, 8
 STATIC = 4
 INPUT = STATIC + 2 * EMBED
+#: Texts are worked on in blocks of about so many bytes.
+BLOCK = 1 << 20
 #: Windows scored at a time.
 CHUNK = 1024
 _EDGE = np.uint8(0)
