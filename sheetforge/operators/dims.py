@@ -22,6 +22,9 @@ CONFIG_COUNTS = {"01": 48, "02": 60, "03": 48, "04": 60, "06": 7, "07": 7, "08":
 WIRE_COUNTS = {"03": 2784, "04": 3480, "08": 154, "09": 406}
 CLASS_P = ["06", "07", "08", "09"]
 CLASS_M = ["01", "02", "03", "04"]
+#: Sheets that take their torque from /05, and board sheets that share one profile.
+INHERITING = CLASS_M + ["06", "07", "09"]
+BOARD = [str(n) for n in range(10, 34)]
 #: context, thread, scope, low, high of the audited torque tables.
 TORQUE_TABLE = [
     ("mounting_torque", "#2-56", "Metal shell", 3.0, 4.0),

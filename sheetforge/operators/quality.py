@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as t
 from .dims import CAVITIES
+from .relational import only_left
 
 CHECK = "struct<status:string,code:string,details:string>"
 
@@ -218,6 +219,39 @@ def source_checks(documents: DataFrame, extracted: DataFrame, sheet: str = "02")
     )
 
 
+def parity_checks(legacy: DataFrame, resolved: DataFrame, effective: DataFrame) -> DataFrame:
+    """The seven checks before serving changes over to resolved torque.
+
+    legacy (slash_sheet): rows of the old values; resolved (slash_sheet, profile_id, fact_count, values_verified, profile_status, needs_review);
+    effective (slash_sheet, fact_key). A sheet that isn't there fails the check that names it.
+    """
+    from . import dims
+
+    spark = resolved.sparkSession
+    sheets = lambda names: F.broadcast(spark.createDataFrame([(s,) for s in names], "slash_sheet string"))
+    facts = effective.groupBy("slash_sheet").agg(F.count("*").alias("n_facts"), F.array_sort(F.collect_set("fact_key")).alias("facts"))  # a profile has a handful
+    counted = resolved.groupBy("slash_sheet").agg(F.sum("fact_count").alias("want")).join(facts, "slash_sheet", "left")
+    main = facts.where(F.col("slash_sheet") == "05").agg(F.first("facts").alias("main"))
+    flags = resolved.groupBy("slash_sheet").agg(
+        F.bool_and(F.coalesce("values_verified", F.lit(False))).alias("verified"), F.bool_and(F.coalesce(F.col("profile_status") == "provisional", F.lit(False))).alias("provisional")
+    )
+    named = lambda names: sheets(names).join(facts, "slash_sheet", "left").join(flags, "slash_sheet", "left")
+    inheriting = named(dims.INHERITING).crossJoin(F.broadcast(main))  # one row
+    six = (F.size("facts") == 6) & F.col("facts").eqNullSafe(F.col("main")) & F.col("verified")
+    two = (F.size("facts") == 2) & F.col("provisional")
+    own = resolved.where("slash_sheet = '08'").select("profile_id")
+    out = [
+        gate(only_left(legacy, resolved, ["slash_sheet"]), "old values are all resolved", F.count("*") == 0, F.count("*")),
+        gate(counted, "fact counts are those of the effective facts", F.count_if(F.coalesce("n_facts", F.lit(0)) != F.col("want")) == 0),
+        gate(inheriting, "inheriting sheets have the six verified facts of /05", F.count_if(six) == len(dims.INHERITING), F.count_if(six)),
+        gate(named(dims.BOARD), "board sheets share two provisional facts", (F.count_if(two) == len(dims.BOARD)) & (F.count_distinct("facts") == 1), F.count_if(two)),
+        gate(resolved.join(own.distinct(), "profile_id", "left_semi"), "/08 is isolated", F.count_distinct("slash_sheet") == 1),
+        gate(resolved.where("slash_sheet = '08'"), "/08 needs review", F.bool_and("needs_review")),
+        gate(effective.where("slash_sheet = 'base'"), "base has no effective facts", F.count("*") == 0, F.count("*")),
+    ]
+    return reduce(DataFrame.unionByName, out)
+
+
 def no_regression(live: DataFrame, staged: DataFrame, field: str = "wire_range") -> DataFrame:
     """One check: staged rows miss the field no more often than live ones. Both sides: (field, n_missing)."""
     a = live.where(F.col("field") == field).agg(F.coalesce(F.sum("n_missing"), F.lit(0)).alias("live"))

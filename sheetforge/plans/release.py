@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import text as t
 from ..functions import values as v
@@ -89,6 +91,66 @@ def write_release(tables: dict[str, DataFrame], root: str, release_id: str, appl
     return counts
 
 
+#: A release's tables, parents before children and the pointer last.
+LOAD_ORDER = (
+    "publish.releases", "ingest.documents", "ingest.document_chunks", "extract.extraction_runs", "extract.extraction_outputs", "extract.extraction_evidence",
+    "catalog.configurations", "catalog.wire_options", "catalog.hardware_options", "catalog.torque_profiles", "catalog.torque_profile_values",
+    "catalog.document_profile_links", "catalog.mating_relationships", "catalog.fact_evidence", "publish.active_releases",
+)
+
+
+def load_key(name: str) -> str:
+    """The column by which a table is upserted."""
+    return "spec_family" if name == POINTER else "id"
+
+
+def load_release(payloads: dict[str, DataFrame], root: str, sequence: int, apply: bool = False) -> DataFrame:
+    """(position, table_name, n_rows) of a whole load; with `apply` every table is upserted, in LOAD_ORDER.
+
+    Rows are appended with the load's sequence number and `loaded` reads the last of each key, so a load rewrites nothing, a
+    reader sees the old release until the pointer is there, and a load that was cut off is done again under the same
+    number. A missing or unknown table, a key that is null or occurs twice, and a load below one that is stored are
+    errors, before anything is written.
+    """
+    if set(payloads) != set(LOAD_ORDER):
+        raise ValueError(f"missing or unknown tables: {sorted(set(payloads) ^ set(LOAD_ORDER))}")
+    counts = []
+    for n, name in enumerate(LOAD_ORDER):
+        key = load_key(name)
+        by_key = payloads[name].groupBy(key).agg(F.count("*").alias("n"))
+        wrong = F.count_if((F.col("n") > 1) | F.col(key).isNull())
+        counts.append(by_key.agg(F.lit(n).alias("position"), F.lit(name).alias("table_name"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), wrong.alias("wrong")))
+    found = reduce(DataFrame.unionByName, counts)
+    if bad := [x["table_name"] for x in found.where("wrong > 0").collect()]:  # a row a table
+        raise ValueError(f"keys are null or occur twice in {bad}")
+    if apply:
+        spark = found.sparkSession
+        for name in LOAD_ORDER:
+            last = _stored(spark, root, name, payloads[name].schema).agg(F.max("load_sequence")).first()[0]
+            if last is not None and last > sequence:
+                raise ValueError(f"load {sequence} is below {last} of {name}")
+        for name in LOAD_ORDER:
+            payloads[name].withColumn("load_sequence", F.lit(sequence).cast("long")).write.mode("append").parquet(f"{root}/{name}")
+    return found.drop("wrong")
+
+
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def _stored(spark: SparkSession, root: str, name: str, schema: StructType) -> DataFrame:
+    schema = StructType([f for f in schema if f.name != "load_sequence"]).add("load_sequence", "long")
+    if not _exists(spark, f"{root}/{name}"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{root}/{name}")
+
+
+def loaded(spark: SparkSession, root: str, name: str, schema: StructType) -> DataFrame:
+    """The rows of a loaded table: of each key that of the highest load. A load that was done again repeats equal rows."""
+    return last_wins(_stored(spark, root, name, schema), [load_key(name)], "load_sequence").drop("load_sequence")
+
+
 def publish(spark: SparkSession, root: str, family: str, release_id: str, status: str, gates: DataFrame, published_at: datetime, sequence: int) -> DataFrame:
     """Moves the family's pointer to a release, last of all: only for published releases with gates that all pass.
 
@@ -111,8 +173,7 @@ def publish(spark: SparkSession, root: str, family: str, release_id: str, status
 
 
 def _pointer(spark: SparkSession, root: str) -> DataFrame:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{POINTER}")
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+    if not _exists(spark, f"{root}/{POINTER}"):
         return spark.createDataFrame([], POINTER_ROW)
     return spark.read.schema(POINTER_ROW).parquet(f"{root}/{POINTER}")
 
@@ -160,8 +221,10 @@ def current_torque(links: DataFrame, docs: DataFrame, profiles: DataFrame, facts
 
 
 def current_documents(docs: DataFrame, configs: DataFrame, pointer: DataFrame) -> DataFrame:
-    """Documents with a configuration in the active release: a semi join, no distinct."""
-    return docs.join(current(configs, pointer).select("document_id"), "document_id", "left_semi")
+    """Documents with a configuration in their family's active release: a semi join, no distinct."""
+    keys = ["spec_family", "document_id"]
+    listed = configs.select("document_id", "release_id").join(F.broadcast(pointer.select("spec_family", "release_id")), "release_id")
+    return docs.join(listed, keys, "left_semi")
 
 
 def register_views(tables: dict[str, DataFrame], prefix: str = "v_catalog_") -> None:

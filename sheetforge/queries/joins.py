@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import values as v
-from ..operators import dims, extract, search, torque, variants
-from ..operators.relational import changed, count_diff, gaps, is_subset, only_left
-from ..plans import release
+from ..operators import dims, extract, quality, search, torque, variants
+from ..operators.relational import changed, count_diff, gaps, is_subset, only_left, table_counts
+from ..plans import release, views
 from ..sources.tables import table
 from .base import ORACLE_SQL, PARTS_SQL, configurations, query
 
@@ -90,6 +93,110 @@ def q_review_queue(spark, d):
     )
 
 
+def _dated_tables(spark, d):
+    """The torque tables with days of extraction and approval and with revisions."""
+    status, mapping, profiles, facts, evidence = _torque_tables(spark, d)
+    n = F.regexp_extract("spec_sheet", "([0-9]+)$", 1).cast("int")
+    status = status.withColumn("last_extracted_at", n % 7).withColumn("current_revision", F.when(n % 2 == 0, "A").otherwise("B"))
+    profiles = profiles.withColumn("approved_at", F.col("profile_id") % 5).withColumn("governing_revision", F.when(F.col("profile_id") % 3 == 0, "A").otherwise("B"))
+    return status, mapping, profiles, facts, evidence
+
+
+@query(f"""
+WITH {_TORQUE_SQL}, q AS (SELECT spec_sheet, profile_id, concat_ws('; ', CASE WHEN needs_review THEN 'needs review' END, CASE WHEN profile_status = 'provisional' THEN 'provisional profile' END,
+  CASE WHEN substr(spec_sheet, 10)::INT % 7 > profile_id % 5 THEN 'evidence changed after approval' END, CASE WHEN profile_id IS NULL AND torque_mode NOT IN ('none', 'no_torque') THEN 'unresolved mapping' END,
+  CASE WHEN CASE WHEN profile_id % 3 = 0 THEN 'A' WHEN profile_id IS NOT NULL THEN 'B' END <> CASE WHEN substr(spec_sheet, 10)::INT % 2 = 0 THEN 'A' ELSE 'B' END THEN 'governing revision differs' END) AS why FROM resolved)
+SELECT * FROM q WHERE why <> ''
+""")
+def q_review_conditions(spark, d):
+    """Documents to look at, with the conditions that put them there."""
+    queue = torque.review_queue(torque.resolve(*_dated_tables(spark, d)))
+    return queue.select("spec_sheet", "profile_id", F.array_join("why", "; ").alias("why"))
+
+
+@query(f"""
+WITH {_TORQUE_SQL}, r AS (SELECT *, CASE WHEN substr(spec_sheet, 10)::INT = 1 THEN 'base' ELSE lpad((substr(spec_sheet, 10)::INT - 1)::VARCHAR, 2, '0') END AS sheet FROM resolved),
+legacy AS (SELECT DISTINCT CASE WHEN o_custkey % 80 = 1 THEN 'base' ELSE lpad((o_custkey % 80 - 1)::VARCHAR, 2, '0') END AS sheet FROM orders),
+e AS (SELECT r.sheet, f.fact_key FROM r JOIN profiles p ON p.profile_id = r.profile_id AND p.is_active JOIN facts f ON f.profile_id = r.profile_id),
+s AS (SELECT sheet, list_sort(list_distinct(list(fact_key))) AS facts, count(*) AS n FROM e GROUP BY sheet),
+g AS (SELECT sheet, bool_and(coalesce(values_verified, FALSE)) AS verified, bool_and(coalesce(profile_status = 'provisional', FALSE)) AS provisional, sum(fact_count) AS want FROM r GROUP BY sheet),
+main AS (SELECT (SELECT facts FROM s WHERE sheet = '05') AS main),
+c AS (
+  SELECT 'old values are all resolved' AS name, (SELECT count(*) = 0 FROM legacy WHERE sheet NOT IN (SELECT sheet FROM r)) AS ok
+  UNION ALL SELECT 'fact counts are those of the effective facts', (SELECT count(*) = 0 FROM g LEFT JOIN s USING (sheet) WHERE coalesce(n, 0) <> want)
+  UNION ALL SELECT 'inheriting sheets have the six verified facts of /05', (SELECT count(*) = 7 FROM g JOIN s USING (sheet), main WHERE sheet IN ('01', '02', '03', '04', '06', '07', '09') AND verified AND len(facts) = 6 AND facts = main)
+  UNION ALL SELECT 'board sheets share two provisional facts', (SELECT count(*) = 24 AND count(DISTINCT facts) = 1 FROM g JOIN s USING (sheet) WHERE sheet BETWEEN '10' AND '33' AND len(sheet) = 2 AND provisional AND len(facts) = 2)
+  UNION ALL SELECT '/08 is isolated', (SELECT count(DISTINCT sheet) = 1 FROM r WHERE profile_id IN (SELECT profile_id FROM r WHERE sheet = '08'))
+  UNION ALL SELECT '/08 needs review', coalesce((SELECT bool_and(needs_review) FROM r WHERE sheet = '08'), FALSE)
+  UNION ALL SELECT 'base has no effective facts', (SELECT count(*) = 0 FROM e WHERE sheet = 'base'))
+SELECT name, CASE WHEN ok THEN 'pass' ELSE 'fail' END AS status FROM c
+""")
+def q_parity(spark, d):
+    """The seven checks before serving changes over; suppliers stand for sheets, the first for the base document."""
+    status, mapping, profiles, facts, evidence = _torque_tables(spark, d)
+    n = F.regexp_extract("spec_sheet", "([0-9]+)$", 1).cast("int") - 1
+    sheet = F.when(n == 0, "base").otherwise(F.lpad(n.cast("string"), 2, "0"))
+    resolved = torque.resolve(status, mapping, profiles, facts, evidence).withColumn("slash_sheet", sheet).drop("is_active")
+    effective = torque.effective(resolved, profiles, facts)
+    return quality.parity_checks(evidence.select(sheet.alias("slash_sheet")).distinct(), resolved, effective).select("name", "status")
+
+
+@query(f"""
+WITH {PARTS_SQL}, w AS (SELECT l_partkey::VARCHAR AS config_id, string_agg(l_linenumber || '/' || l_returnflag, ',' ORDER BY l_linenumber, l_returnflag) AS wires FROM lineitem GROUP BY 1),
+e AS (SELECT 'Brand#' || n_nationkey AS spec_sheet, string_agg(n_name, ',' ORDER BY n_name) AS torque FROM nation WHERE n_nationkey % 2 = 0 GROUP BY 1)
+SELECT p.config_id, w.wires, coalesce(e.torque, (SELECT string_agg(s_name, ',' ORDER BY s_name) FROM supplier WHERE lpad(s_nationkey::VARCHAR, 2, '0') = p.slash_sheet OR (p.hardware_ref IS NOT NULL AND s_nationkey = 5)), '') AS torque, p.finish_code AS hardware
+FROM parts p LEFT JOIN w ON w.config_id = p.config_id LEFT JOIN e ON e.spec_sheet = p.spec_sheet WHERE p.config_id IN ('7', '8', '9', '10')
+""")
+def g_part_detail(spark, d):
+    """Four parts by id, each with wires, torque and hardware options; an id that isn't there gives no row."""
+    c = configurations(spark, d).withColumn("attributes", F.concat(F.lit('{"hardware_options":[{"code":"'), "finish_code", F.lit('"},{"x":1}]}')))
+    wires = table(spark, d, "lineitem").select(F.col("l_partkey").cast("string").alias("config_id"), F.col("l_linenumber").alias("wire_code"), F.col("l_returnflag").alias("wire_spec"))
+    effective = table(spark, d, "nation").where("n_nationkey % 2 = 0").select(F.concat(F.lit("Brand#"), F.col("n_nationkey").cast("string")).alias("spec_sheet"), F.col("n_name").alias("torque_text"))
+    raw = table(spark, d, "supplier").select(F.lpad(F.col("s_nationkey").cast("string"), 2, "0").alias("slash_sheet"), F.col("s_name").alias("torque_text"))
+    parts = [search.part_detail(c, wires, effective, raw, one) for one in ("7", "8", "9", "10", "unknown")]
+    shown = F.array_join(F.transform("wires", lambda w: F.concat(w["wire_code"].cast("string"), F.lit("/"), w["wire_spec"])), ",")
+    return reduce(DataFrame.unionByName, parts).select(
+        "config_id", shown.alias("wires"), F.array_join("torque", ",").alias("torque"), F.array_join(F.transform("hardware_options", lambda o: o["code"]), ",").alias("hardware")
+    )
+
+
+@query(f"""
+WITH {_TORQUE_SQL}, {PARTS_SQL}, k AS (SELECT *, config_id::BIGINT % 2 = 0 AS live, config_id::BIGINT % 100 + 1 AS document_id FROM parts WHERE config_id::BIGINT % 4 <> 3),
+li AS (SELECT l_partkey::VARCHAR AS config_id FROM lineitem), docs AS (SELECT s_suppkey, s_nationkey FROM supplier WHERE s_name NOT LIKE '%0')
+SELECT 'documents' AS view_name, count(*) AS n_rows FROM docs
+UNION ALL SELECT 'configurations', count(*) FROM k
+UNION ALL SELECT s || '_configurations', count(config_id) FROM (VALUES ('01'), ('02'), ('03'), ('04'), ('base')) t(s) LEFT JOIN k ON slash_sheet = s GROUP BY s
+UNION ALL SELECT 'extraction_runs', count(*) FROM orders WHERE o_orderkey % 3 <> 0
+UNION ALL SELECT '03_wire_options', count(*) FROM k JOIN li USING (config_id) WHERE slash_sheet = '03'
+UNION ALL SELECT 'torque_values', count(*) FROM customer WHERE c_custkey % 5 <> 0
+UNION ALL SELECT 'torque_document_summary', count(*) FROM status WHERE spec_sheet NOT LIKE '%0'
+UNION ALL SELECT 'torque_profile_values', count(*) FROM profiles JOIN facts USING (profile_id) WHERE kind = 'canonical'
+UNION ALL SELECT 'torque_resolution', count(*) FROM resolved WHERE spec_sheet NOT LIKE '%0'
+UNION ALL SELECT 'torque_effective_facts', count(*) FROM resolved r JOIN profiles p ON p.profile_id = r.profile_id AND p.is_active JOIN facts f ON f.profile_id = r.profile_id WHERE r.spec_sheet NOT LIKE '%0'
+UNION ALL SELECT 'configurations_current', count(*) FROM k WHERE live
+UNION ALL SELECT 'wire_options_current', count(*) FROM k JOIN li USING (config_id) WHERE live
+UNION ALL SELECT 'torque_effective_current', count(*) FROM docs JOIN profiles p ON p.profile_id = s_nationkey JOIN facts f ON f.profile_id = p.profile_id WHERE s_suppkey % 3 = 0
+UNION ALL SELECT 'documents_current', count(*) FROM docs WHERE s_suppkey IN (SELECT document_id FROM k WHERE live)
+""")
+def g_views(spark, d):
+    """Rows of all 18 serving views by name, over two families and two releases."""
+    other = lambda c: F.when(c, "other").otherwise("83513").alias("spec_family")
+    k, s = F.col("config_id").cast("long"), F.col("spec_sheet").endswith("0")
+    status, mapping, profiles, facts, evidence = _torque_tables(spark, d)
+    tables = {
+        "documents": table(spark, d, "supplier").select(F.col("s_suppkey").alias("document_id"), F.col("s_name").alias("spec_sheet"), F.col("s_nationkey").cast("string").alias("slash_sheet")).select("*", other(s)),
+        "configurations": configurations(spark, d).select("*", other(k % 4 == 3), F.when(k % 2 == 0, "r1").otherwise("r2").alias("release_id"), (k % 100 + 1).alias("document_id")),
+        "extraction_runs": table(spark, d, "orders").select("o_orderkey", other(F.col("o_orderkey") % 3 == 0)),
+        "wire_options": table(spark, d, "lineitem").select(F.col("l_partkey").cast("string").alias("config_id"), "l_linenumber"),
+        "torque_values": table(spark, d, "customer").select("c_custkey", other(F.col("c_custkey") % 5 == 0)),
+        "torque_status": status.select("*", other(s)), "torque_map": mapping, "torque_facts": facts, "torque_evidence": evidence,
+        "torque_profiles": profiles.withColumn("profile_code", F.when(F.col("kind") == "canonical", F.concat(F.lit("m83513_"), "profile_id")).otherwise("x")),
+        "profile_links": table(spark, d, "supplier").select(F.col("s_suppkey").alias("document_id"), F.col("s_nationkey").alias("profile_id"), F.when(F.col("s_suppkey") % 3 == 0, "r1").otherwise("r2").alias("release_id")),
+    }
+    pointer = spark.createDataFrame([("83513", "r1")], "spec_family string, release_id string")
+    return table_counts(views.family_views(tables) | views.current_views(tables, pointer)).withColumnRenamed("table_name", "view_name")
+
+
 @query("""
 WITH pointer AS (SELECT 1 AS n_regionkey)
 SELECT r_name, n_name, s_suppkey, c.n_customers FROM pointer JOIN region ON r_regionkey = pointer.n_regionkey JOIN nation ON nation.n_regionkey = r_regionkey

@@ -13,7 +13,7 @@ from sheetforge.functions import text as t
 from sheetforge.functions import values as v
 from sheetforge.operators import dims, extract, quality, search, torque, variants
 from sheetforge.operators import relational as r
-from sheetforge.plans import release
+from sheetforge.plans import release, views
 from sheetforge.queries.joins import _no_shapes, _records
 from sheetforge.sources import pdf, tables, web
 from sheetforge.streaming import events
@@ -179,6 +179,53 @@ def test_torque_model(spark):
     assert all(counts[f"S{n}"] == 6 for n in (1, 2, 3, 4, 6, 7, 9)) and counts["S33"] == 2 and "S0" not in counts
 
 
+def test_parity_checks(spark):
+    docs, rows = torque_tables(spark)
+    status = torque.classify(docs, rows, dims.profile_rules(spark))
+    facts = torque.profile_values(rows, status).withColumn("profile_id", F.col("profile_code"))
+    profiles = spark.createDataFrame([(c, k, lv, s, a, f"S{int(g)}", True) for c, k, lv, s, a, g in dims.PROFILES], "profile_id string, kind string, truth_level string, profile_status string, approval_status string, source_spec_sheet string, is_active boolean")
+    mapping = status.where("profile_code is not null").select("spec_sheet", F.col("profile_code").alias("profile_id"), "mapping_type")
+    resolved = torque.resolve(status.select("spec_sheet", "torque_mode", "audit_status"), mapping, profiles, facts, rows).drop("is_active").join(docs, "spec_sheet")
+    effective = torque.effective(resolved, profiles, facts)
+    legacy = rows.join(docs, "spec_sheet").select("slash_sheet")
+    state = lambda *a: {x["name"] for x in quality.parity_checks(*a).collect() if x["status"] != "pass"}
+    assert quality.parity_checks(legacy, resolved, effective).count() == 7 and state(legacy, resolved, effective) == set()
+    few = effective.where("slash_sheet != '07' or fact_key not like '%mating%'")
+    assert state(legacy, resolved, few) == {"inheriting sheets have the six verified facts of /05", "fact counts are those of the effective facts"}
+    assert state(legacy, resolved.where("slash_sheet != '08'"), effective) >= {"/08 is isolated", "/08 needs review", "old values are all resolved"}
+    more = effective.unionByName(effective.limit(1).withColumn("slash_sheet", F.lit("base")))
+    assert "base has no effective facts" in state(legacy, resolved, more)
+
+
+def payloads(spark, version, keys=("a", "b")):
+    return {n: spark.createDataFrame([(k, version) for k in keys], f"{release.load_key(n)} string, version int") for n in release.LOAD_ORDER}
+
+
+def test_load_release(spark, tmp_path):
+    root = f"file://{tmp_path}/load"
+    dry = release.load_release(payloads(spark, 1), root, 1)
+    assert [(x["position"], x["n_rows"]) for x in dry.orderBy("position").collect()] == [(i, 2) for i in range(15)] and not (tmp_path / "load").exists()
+    release.load_release(payloads(spark, 1), root, 1, apply=True)
+    release.load_release(payloads(spark, 2, ("b", "c")), root, 2, apply=True)
+    release.load_release(payloads(spark, 2, ("b", "c")), root, 2, apply=True)  # done again
+    for name in ("publish.releases", release.POINTER):
+        got = release.loaded(spark, root, name, payloads(spark, 1)[name].schema)
+        assert sorted(map(tuple, got.collect())) == [("a", 1), ("b", 2), ("c", 2)]
+    none = payloads(spark, 3)
+    none.pop("ingest.documents")
+    for wrong, sequence, why in ((none, 3, "ingest.documents"), (payloads(spark, 3, ("a", "a")), 3, "twice"), (payloads(spark, 3, ("a", None)), 3, "null"), (payloads(spark, 1), 1, "below")):
+        with pytest.raises(ValueError, match=why):
+            release.load_release(wrong, root, sequence, apply=True)
+
+
+def test_documents_of_another_family_are_not_current(spark):
+    docs = spark.createDataFrame([(1, "83513"), (2, "other"), (3, "83513")], "document_id int, spec_family string")
+    configs = spark.createDataFrame([(1, "r1"), (2, "r1"), (3, "r2"), (1, "r1")], "document_id int, release_id string")
+    pointer = spark.createDataFrame([("83513", "r1")], "spec_family string, release_id string")
+    assert [x["document_id"] for x in release.current_documents(docs, configs, pointer).collect()] == [1]
+    assert len(views.SHEETS) == 5
+
+
 def test_release_gates(spark):
     docs, rows = torque_tables(spark)
     c = variants.configurations(_records(spark), _no_shapes(spark))
