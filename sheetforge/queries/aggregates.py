@@ -12,7 +12,7 @@ from ..operators import relational as r
 from ..operators import variants
 from ..plans import release
 from ..sources.tables import table
-from .base import ORACLE_SQL, PARTS_SQL, configurations, query
+from .base import PARTS_SQL, configurations, query
 from .joins import _no_shapes, _records
 
 
@@ -27,24 +27,15 @@ def a_having_dup(spark, d):
 
 
 @query(f"""
-WITH {PARTS_SQL}, w AS (SELECT lpad(substr(p_brand, 7), 2, '0') AS slash_sheet, count(*) AS n FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_quantity > 45 GROUP BY 1)
+WITH {PARTS_SQL}, w AS (SELECT lpad(substr(p_brand, 7), 2, '0') AS slash_sheet, count(*) AS n FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1)
 SELECT slash_sheet, count(*) AS base_rows, count(*) FILTER (example_pin = '') AS without_example, string_agg(DISTINCT connector_type, ',' ORDER BY connector_type) AS inserts,
   string_agg(DISTINCT finish_code, ',' ORDER BY finish_code) AS finishes, coalesce(any_value(n), 0) AS wire_rows
 FROM parts LEFT JOIN w USING (slash_sheet) GROUP BY slash_sheet
 """)
 def a_multi_measure(spark, d):
-    return _measures(configurations(spark, d), table(spark, d, "lineitem").where("l_quantity > 45"))
-
-
-@query(ORACLE_SQL["a_multi_measure"].replace(" WHERE l_quantity > 45", ""))
-def a_multi_measure_all(spark, d):
-    """a_multi_measure with every line item as a wire."""
-    return _measures(configurations(spark, d), table(spark, d, "lineitem"))
-
-
-def _measures(parts, lineitem):
-    c = parts.withColumn("insert_code", F.col("connector_type"))
-    li = lineitem.select(F.col("l_partkey").cast("string").alias("config_id"))
+    """Measures of every sheet, with every line item as a wire."""
+    c = configurations(spark, d).withColumn("insert_code", F.col("connector_type"))
+    li = table(spark, d, "lineitem").select(F.col("l_partkey").cast("string").alias("config_id"))
     wires = li.join(c.select("config_id", "slash_sheet"), "config_id")
     return quality.summary_by_sheet(c, wires).select("slash_sheet", "base_rows", "without_example", "inserts", "finishes", "wire_rows")
 
@@ -221,27 +212,20 @@ def q_gates(spark, d):
 
 
 @query(f"""
-WITH {PARTS_SQL}, cases AS (SELECT config_id AS case_id, list_sort(list_transform(mate_numbers, lambda x: lpad(x::VARCHAR, 2, '0'))) AS valid, ['05'] AS invalid FROM parts WHERE cavity_count = 7),
+WITH {PARTS_SQL}, cases AS (SELECT config_id AS case_id, list_sort(list_transform(mate_numbers, lambda x: lpad(x::VARCHAR, 2, '0'))) AS valid, ['05'] AS invalid FROM parts),
 got AS (SELECT case_id, list_sort(list_distinct(list(p.slash_sheet))) AS got, count(*) AS n FROM cases c JOIN parts s ON s.config_id = c.case_id JOIN parts p ON p.cavity_count = s.cavity_count AND list_contains(list_transform(s.mate_numbers, lambda x: lpad(x::VARCHAR, 2, '0')), p.slash_sheet) AND (s.shell_letter IS NULL OR s.shell_letter = p.shell_letter) GROUP BY case_id)
 SELECT case_id, array_to_string(list_filter(valid, lambda x: NOT list_contains(coalesce(got, []), x)), ',') AS false_negatives, CASE WHEN got IS NULL THEN 'unresolved'
   WHEN len(list_filter(valid, lambda x: NOT list_contains(got, x))) + len(list_filter(got, lambda x: list_contains(invalid, x))) > 0 THEN 'fail' WHEN n > len(got) THEN 'noisy_pass' ELSE 'pass' END AS verdict
 FROM cases LEFT JOIN got USING (case_id)
 """)
 def q_golden(spark, d):
-    return _golden(configurations(spark, d), "cavity_count = 7")
-
-
-@query(ORACLE_SQL["q_golden"].replace(" WHERE cavity_count = 7", ""))
-def q_golden_all(spark, d):
-    """q_golden with every part as a case."""
-    return _golden(configurations(spark, d), "true")
-
-
-def _golden(c, cases):
-    src = c.where(cases)
-    cases = src.select(F.col("config_id").alias("case_id"), F.array_sort(t.mate_sheets("mates_with")).alias("valid"), F.array(F.lit("05")).alias("invalid"))
-    got = search.mates(src, c).select(F.col("source_config_id").alias("case_id"), "slash_sheet")
-    return quality.golden_verdicts(cases, got).select("case_id", F.array_join("false_negatives", ",").alias("false_negatives"), "verdict")
+    """Every part as a case; parts of one profile share a verdict."""
+    c = configurations(spark, d)
+    keyed, each = search.profiles(c)
+    cases = each.select(F.col("profile").alias("case_id"), F.array_sort(t.mate_sheets("mates_with")).alias("valid"), F.array(F.lit("05")).alias("invalid"))
+    got = search.mates(each, c).select(F.col("source_profile").alias("case_id"), "slash_sheet")
+    verdicts = quality.golden_verdicts(cases, got).select(F.col("case_id").alias("profile"), F.array_join("false_negatives", ",").alias("false_negatives"), "verdict")
+    return keyed.select(F.col("config_id").alias("case_id"), "profile").join(verdicts, "profile").drop("profile")
 
 
 @query("""
@@ -266,21 +250,11 @@ def m_score(spark, d):
 
 
 @query("""
-WITH a AS (SELECT CASE WHEN p_size > 25 THEN 'large' ELSE 'small' END AS verdict, p_partkey::VARCHAR AS case_id FROM part WHERE p_partkey < 40)
+WITH a AS (SELECT CASE WHEN p_size > 25 THEN 'large' ELSE 'small' END AS verdict, p_partkey::VARCHAR AS case_id FROM part)
 SELECT verdict, count(*) AS n, string_agg(case_id, ',' ORDER BY case_id) AS case_ids FROM a GROUP BY verdict
 """)
 def a_verdict_summary(spark, d):
-    return _verdicts(table(spark, d, "part").where("p_partkey < 40"))
-
-
-@query(ORACLE_SQL["a_verdict_summary"].replace(" WHERE p_partkey < 40", ""))
-def a_verdict_summary_all(spark, d):
-    """a_verdict_summary over the whole table."""
-    return _verdicts(table(spark, d, "part"))
-
-
-def _verdicts(part):
-    return quality.verdict_summary(part.select(F.when(F.col("p_size") > 25, "large").otherwise("small").alias("verdict"), F.col("p_partkey").cast("string").alias("case_id")))
+    return quality.verdict_summary(table(spark, d, "part").select(F.when(F.col("p_size") > 25, "large").otherwise("small").alias("verdict"), F.col("p_partkey").cast("string").alias("case_id")))
 
 
 @query("SELECT name, status, details FROM (VALUES " + ", ".join(

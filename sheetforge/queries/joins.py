@@ -12,7 +12,7 @@ from ..operators import dims, extract, quality, search, torque, variants
 from ..operators.relational import changed, count_diff, gaps, is_subset, only_left, table_counts
 from ..plans import release, views
 from ..sources.tables import table
-from .base import ORACLE_SQL, PARTS_SQL, configurations, query
+from .base import PARTS_SQL, configurations, query
 
 
 @query("SELECT l_orderkey, l_linenumber, p_partkey, p_brand, l_quantity FROM part JOIN lineitem ON l_partkey = p_partkey WHERE p_size > 40")
@@ -278,7 +278,7 @@ pairs AS (
 @query(f"WITH {_MATES_SQL} SELECT source_config_id, config_id, pairing, shell_match, place::INT AS place FROM ranked")
 def j_mates(spark, d):
     c = configurations(spark, d)
-    return search.ranked(search.mates(c, c)).select("source_config_id", "config_id", "pairing", "shell_match", "place")
+    return search.mates_of_all(c, c).select("source_config_id", "config_id", "pairing", "shell_match", "place")
 
 
 @query(f"""
@@ -287,7 +287,7 @@ WITH {_MATES_SQL} SELECT source_config_id, config_id, 'Listed as a mating sheet;
 """)
 def f_reasons(spark, d):
     c = configurations(spark, d)
-    return search.ranked(search.mates(c, c)).select("source_config_id", "config_id", F.array_join("reasons", "; ").alias("reasons"))
+    return search.mates_of_all(c, c).select("source_config_id", "config_id", F.array_join("reasons", "; ").alias("reasons"))
 
 
 @query(f"""
@@ -297,7 +297,7 @@ WITH {_MATES_SQL} SELECT source_config_id, concat_ws(':', slash_sheet, cavity_co
 def a_mate_family(spark, d):
     """Mates of every part by family, best first: the flagship query."""
     c = configurations(spark, d)
-    f = search.mate_families(search.mates(c, c))
+    f = search.mate_families(c, c)
     return f.select("source_config_id", "family_key", "best", "n_variants", "pairing", F.array_join("variants", ",").alias("variants"))
 
 
@@ -345,14 +345,9 @@ def j_full_diff(spark, d):
 
 @query("""
 WITH s AS (SELECT l_suppkey, min(l_partkey) AS lo, max(l_partkey) AS hi FROM lineitem GROUP BY 1), f AS (SELECT l_suppkey, unnest(range(lo, hi + 1)) AS l_partkey FROM s)
-SELECT * FROM f WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_suppkey = f.l_suppkey AND l.l_partkey = f.l_partkey) AND l_partkey < 40
+SELECT * FROM f WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_suppkey = f.l_suppkey AND l.l_partkey = f.l_partkey)
 """)
 def j_anti_gaps(spark, d):
-    return gaps(table(spark, d, "lineitem"), "l_suppkey", "l_partkey").where("l_partkey < 40")
-
-
-@query(ORACLE_SQL["j_anti_gaps"].replace(" AND l_partkey < 40", ""))
-def j_anti_gaps_all(spark, d):
     """All gaps of every supplier."""
     return gaps(table(spark, d, "lineitem"), "l_suppkey", "l_partkey")
 

@@ -12,12 +12,12 @@ from ..functions import values as v
 from ..operators import extract
 from ..sources import web
 from ..sources.tables import table
-from .base import ORACLE_SQL, PARTS_SQL, configurations, query
+from .base import PARTS_SQL, configurations, query
 
 
 @query(r"""
 WITH c AS (SELECT doc_id, trim(regexp_replace(text, '[ \t\n\r\f\v]+', ' ', 'g')) AS t FROM documents)
-SELECT doc_id, i::INT AS chunk_index, sha256(substr(t, (i - 1) * 1800 + 1, 1800)) AS chunk_sha FROM c, range(1, 40) r(i) WHERE (i - 1) * 1800 < len(t)
+SELECT doc_id, i::INT AS chunk_index, sha256(substr(t, (i - 1) * 1800 + 1, 1800)) AS chunk_sha FROM c, range(1, len(t) // 1800 + 2) r(i) WHERE (i - 1) * 1800 < len(t)
 """)
 def f_collapse_chunk(spark, d):
     one = table(spark, d, "documents").select("doc_id", F.explode(t.chunks("text")).alias("c"))
@@ -79,22 +79,12 @@ def f_fact_key(spark, d):
 
 
 @query("""
-WITH s AS (SELECT l_orderkey, l_linenumber, l_partkey, l_discount * 10 AS lo, l_discount * 10 + l_tax * 5 AS hi FROM lineitem WHERE l_orderkey < 200),
+WITH s AS (SELECT l_orderkey, l_linenumber, l_partkey, l_discount * 10 AS lo, l_discount * 10 + l_tax * 5 AS hi FROM lineitem),
 f AS (SELECT *, CASE WHEN contains(lo::DECIMAL(12,2)::VARCHAR, '.') THEN rtrim(rtrim(lo::DECIMAL(12,2)::VARCHAR, '0'), '.') END AS a, rtrim(rtrim(hi::DECIMAL(12,2)::VARCHAR, '0'), '.') AS b FROM s)
 SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN lo <> hi THEN a || '-' || b ELSE a END || ' in-lbf #2-56 (Metal shell) governing X inherited' || CASE WHEN l_partkey % 3 = 0 THEN ' needs review' WHEN l_partkey % 2 = 0 THEN ' verified' ELSE '' END AS effective FROM f
 """)
 def f_display(spark, d):
-    return _display(table(spark, d, "lineitem").where("l_orderkey < 200"))
-
-
-@query(ORACLE_SQL["f_display"].replace(" WHERE l_orderkey < 200", ""))
-def f_display_all(spark, d):
-    """f_display over the whole table."""
-    return _display(table(spark, d, "lineitem"))
-
-
-def _display(lineitem):
-    li = lineitem.withColumn("lo", F.col("l_discount") * 10).withColumn("hi", F.col("l_discount") * 10 + F.col("l_tax") * 5)
+    li = table(spark, d, "lineitem").withColumn("lo", F.col("l_discount") * 10).withColumn("hi", F.col("l_discount") * 10 + F.col("l_tax") * 5)
     k = F.col("l_partkey")
     text = v.effective_torque_text("lo", "hi", F.lit("#2-56"), F.lit("Metal shell"), F.lit("X"), F.lit(True), k % 3 == 0, k % 2 == 0)
     return li.select("l_orderkey", "l_linenumber", "l_partkey", text.alias("effective"))
