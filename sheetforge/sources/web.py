@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from urllib.parse import urljoin
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.types import StructType
 
 from ..functions import text as t
 from ..functions.values import month_date
 from ..operators.relational import latest, pick
+from . import store
 
 RETRIED = (403, 429, 500, 502, 503, 504)
 ATTEMPTS = 3
+PAUSE = 0.75
 
 
 def fetch(url: str, timeout: float = 60, attempts: int = ATTEMPTS, opener=None, wait=time.sleep, headers: dict | None = None) -> bytes | None:
@@ -46,7 +51,7 @@ class _PageReader(DataSourceReader):
     def __init__(self, options: dict):
         self.urls = options["urls"].split()
         self.size = int(options.get("urlsPerPartition", 16))
-        self.pause = float(options.get("pause", 0.75))
+        self.pause = float(options.get("pause", PAUSE))
 
     def partitions(self) -> list[InputPartition]:
         return [_Url(self.urls[i : i + self.size]) for i in range(0, len(self.urls), self.size)]
@@ -128,5 +133,79 @@ def require_revision(row_count: Column) -> Column:
 
 
 def redirect_target(html: Column | str) -> Column:
-    """Where a redirecting page leads."""
+    """Where a redirecting page leads: its link to the file service, else a redirection; null where there is neither."""
+    service = r'href="(\.\./\.\./WMX/Default\.aspx\?token=\d+)"'  # a fixed value
+    return F.coalesce(t.blank_to_null(F.regexp_extract(t.col(html), service, 1)), _redirection(html))
+
+
+def _redirection(html: Column | str) -> Column:
     return t.blank_to_null(F.regexp_extract(t.col(html), r"""(?i)(?:location(?:\.href)?\s*=\s*|url=)['"]?([^'"\s>;]+)""", 1))
+
+
+def _each(rows: DataFrame, more: str, one: Callable[..., tuple], columns: tuple[str, ...], pause: float) -> DataFrame:
+    """The rows with the columns `more`, that `one` gives for the values of `columns`; a task pauses between its rows."""
+    added = StructType.fromDDL(more)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = 0
+        for batch in batches:
+            for i in range(len(batch)):
+                if n:
+                    time.sleep(pause)
+                n += 1
+                row = batch.iloc[[i]]
+                values = one(*(None if pd.isna(row[c].iat[0]) else row[c].iat[0] for c in columns))
+                yield row.assign(**{f.name: pd.array([x], dtype="Int64" if isinstance(x, int) else object) for f, x in zip(added, values, strict=True)})
+
+    return rows.mapInPandas(run, StructType(rows.schema.fields + added.fields))
+
+
+def fetched(rows: DataFrame, base: str, link: str, pause: float = PAUSE, get: Callable[[str], bytes | None] = fetch) -> DataFrame:
+    """Adds url and html, the page of each row, its link read against its base; html is null for pages that don't exist, both
+    for rows without link."""
+
+    def one(b: str | None, x: str | None) -> tuple:
+        url = None if x is None else urljoin(b or "", x)
+        body = None if url is None else get(url)
+        return url, None if body is None else body.decode("utf-8", "replace")
+
+    return _each(rows, "url string, html string", one, (base, link), pause)
+
+
+def landed(rows: DataFrame, base: str, link: str, folder: str, pause: float = PAUSE, get: Callable[[str], bytes | None] = fetch) -> DataFrame:
+    """Adds pdf_url, saved_to, checksum, n_bytes and error: executors fetch each link and put the file into the folder under the
+    row's file_name, one at a time in memory. What isn't there, has no link or isn't a PDF is an error and leaves no file."""
+
+    def one(b: str | None, x: str | None, name: str | None) -> tuple:
+        if x is None or name is None:
+            return None, None, None, None, "no link"
+        url = urljoin(b or "", x)
+        body = get(url)
+        if body is None:
+            return url, None, None, None, "not found"
+        if not body.startswith(b"%PDF"):
+            return url, None, None, None, "not a PDF"
+        place = f"{folder.rstrip('/')}/{name}"
+        return url, place, store.put(place, iter([body])), len(body), None
+
+    return _each(rows, "pdf_url string, saved_to string, checksum string, n_bytes long, error string", one, (base, link, "file_name"), pause)
+
+
+def download_family(docs: DataFrame, folder: str, report: str, letter: str | None = None, pause: float = PAUSE, get: Callable[[str], bytes | None] = fetch) -> DataFrame:
+    """Downloads the latest revision of each document (document_key, details_url) and writes what became of it as a report.
+
+    From the details page to the newest revision, by its token to the page that redirects, from there to the file. A document
+    without revision, without link or whose file isn't a PDF has an error in the report; the others aren't held up. The report
+    is written once and read from there, so looking at it fetches nothing; each page is fetched once a document.
+    """
+    keyed = docs.select("document_key", "details_url")
+    details = fetched(keyed.withColumn("_base", F.lit("")), "_base", "details_url", pause, get)
+    newest = latest_revision(revision_entries(details.select(F.col("document_key").alias("page"), "html")), letter)
+    asked = keyed.join(newest.select(F.col("page").alias("document_key"), "revision_letter", "document_date", "token"), "document_key", "left")
+    pages = fetched(asked.withColumn("_link", F.concat(F.lit("./ImageRedirector.aspx?token="), "token")), "details_url", "_link", pause, get)
+    name = F.concat(F.lit("MIL-DTL-83513_"), t.sheet_key("document_key"), F.lit("_rev_"), "revision_letter", F.lit(".pdf"))
+    named = pages.select("document_key", "details_url", "revision_letter", "document_date", F.col("url").alias("redirector_url"), redirect_target("html").alias("target"), name.alias("file_name"))
+    out = landed(named, "redirector_url", "target", folder, pause, get).drop("target")
+    out = out.withColumn("error", F.when(F.col("revision_letter").isNull(), "no revision").otherwise(F.col("error")))
+    store.write_report(out, report)
+    return docs.sparkSession.read.schema(out.schema).json(report)

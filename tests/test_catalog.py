@@ -15,7 +15,7 @@ from sheetforge.operators import dims, extract, quality, search, torque, variant
 from sheetforge.operators import relational as r
 from sheetforge.plans import release, views
 from sheetforge.queries.joins import _no_shapes, _records
-from sheetforge.sources import pdf, tables, web
+from sheetforge.sources import pdf, store, tables, web
 from sheetforge.streaming import events
 
 
@@ -322,6 +322,74 @@ def test_fetch_retries():
     assert web.fetch("http://x/", opener=gone) is None
 
 
+def test_download_family(spark, tmp_path):
+    """Details page to redirecting page to file; what fails is an error of its own row."""
+    history = "<tr><td><a onclick=\"open('./ImageRedirector.aspx?token={0}.5',1);\">x</a></td><td>Revision H</td><td>A</td><td>08-MAR-2023</td></tr>"
+    site = {
+        "https://host/q/d.aspx?ident_number=1": history.format(11), "https://host/q/d.aspx?ident_number=2": history.format(12), "https://host/q/d.aspx?ident_number=3": "<table></table>",
+        "https://host/q/d.aspx?ident_number=5": history.format(15), "https://host/q/ImageRedirector.aspx?token=15.5": "<a>nothing</a>",
+        "https://host/q/ImageRedirector.aspx?token=11.5": '<a href="../../WMX/Default.aspx?token=7">x</a>', "https://host/q/ImageRedirector.aspx?token=12.5": '<a href="../../WMX/Default.aspx?token=8">x</a>',
+        "https://host/WMX/Default.aspx?token=7": "%PDF-1.7 one", "https://host/WMX/Default.aspx?token=8": "<html>sorry</html>",
+    }
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def get(url):
+        (calls / uuid.uuid4().hex).write_text(url)
+        return site[url].encode() if url in site else None
+
+    keys = [("base", 1), ("2", 2), ("3", 3), ("4", 4), ("5", 5)]
+    docs = spark.createDataFrame([(k, f"https://host/q/d.aspx?ident_number={n}") for k, n in keys], "document_key string, details_url string")
+    out = web.download_family(docs, str(tmp_path / "pdf"), str(tmp_path / "report"), pause=0, get=get)
+    got = {x["document_key"]: x for x in out.collect()}
+    assert {k: x["error"] for k, x in got.items()} == {"base": None, "2": "not a PDF", "3": "no revision", "4": "no revision", "5": "no link"}
+    assert got["base"]["n_bytes"] == 12 and (tmp_path / "pdf" / "MIL-DTL-83513_base_rev_H.pdf").read_bytes() == b"%PDF-1.7 one"
+    assert len(list((tmp_path / "pdf").glob("*.pdf"))) == 1
+    seen = [f.read_text() for f in calls.iterdir()]
+    assert len(seen) == len(set(seen)) == 10
+
+
+def test_store(spark, tmp_path):
+    """Uploads archive what they replace, moves and removals; dry runs, conflicts and plans done twice."""
+    import hashlib
+
+    root, landing = tmp_path / "store", tmp_path / "landing"
+    (root / "03").mkdir(parents=True)
+    landing.mkdir()
+    for name, body in (("a.pdf", b"old a"), ("b.pdf", b"same b"), ("03/m.pdf", b"m")):
+        (root / name).write_bytes(body)
+    arriving = []
+    for path, name, body in (("a.pdf", "1", b"new a"), ("b.pdf", "2", b"same b"), ("02/c.pdf", "3", b"c"), ("d.pdf", "4", b"d1"), ("d.pdf", "5", b"d2")):
+        (landing / name).write_bytes(body)
+        arriving.append((path, str(landing / name), hashlib.sha256(body).hexdigest()))
+    rows = spark.createDataFrame([*arriving, ("e.pdf", None, None)], "path string, source string, checksum string")
+    listed = lambda: {x["path"]: x["n_bytes"] for x in store.stored(spark, str(root)).collect()}
+    # a plan reads the store only when it is looked at, so it is written before anything changes
+    kept = lambda plan, name: (plan.write.parquet(str(tmp_path / name)), spark.read.parquet(str(tmp_path / name)))[1]
+    before = listed()
+    plan = kept(store.upload_plan(rows, store.stored(spark, str(root))), "plan")
+    assert sorted((x["path"], x["action"]) for x in plan.collect()) == [("02/c.pdf", "add"), ("a.pdf", "replace"), ("b.pdf", "keep"), ("d.pdf", "conflict"), ("d.pdf", "conflict"), ("e.pdf", "missing")]
+    assert {x["outcome"] for x in store.apply_plan(plan, str(root), str(tmp_path / "dry")).collect()} == {"planned"} and listed() == before
+    for attempt in ("r1", "r2"):
+        out = {x["path"]: x["outcome"] for x in store.apply_plan(plan, str(root), str(tmp_path / attempt), apply=True).collect()}
+        assert out == {"02/c.pdf": "done", "a.pdf": "done", "b.pdf": "skipped", "d.pdf": "skipped", "e.pdf": "skipped"}
+    old = hashlib.sha256(b"old a").hexdigest()[:12]
+    assert (root / "a.pdf").read_bytes() == b"new a" and (root / f"archive/a.{old}.pdf").read_bytes() == b"old a"
+    (root / "a.pdf").write_bytes(b"meanwhile")
+    assert {x["path"]: x["outcome"] for x in store.apply_plan(plan, str(root), str(tmp_path / "r3"), apply=True).collect()}["a.pdf"] == "changed since"
+    docs = spark.createDataFrame([("03/m.pdf", "04/m.pdf"), ("b.pdf", "02/c.pdf"), ("gone.pdf", "x.pdf"), ("a.pdf", "a.pdf")], "at string, want string")
+    moves = kept(store.move_plan(docs, "at", "want", store.stored(spark, str(root))), "moves")
+    assert sorted((x["source"], x["action"]) for x in moves.collect()) == [("03/m.pdf", "move"), ("b.pdf", "conflict"), ("gone.pdf", "missing")]
+    for attempt in ("m1", "m2"):
+        assert {x["source"]: x["outcome"] for x in store.apply_plan(moves, str(root), str(tmp_path / attempt), apply=True).collect()}["03/m.pdf"] == "done"
+    assert "04/m.pdf" in listed() and "03/m.pdf" not in listed()
+    gone = kept(store.remove_plan(spark.createDataFrame([("04/m.pdf",), ("zz",)], "path string"), store.stored(spark, str(root))), "gone")
+    assert sorted(x["outcome"] for x in store.apply_plan(gone, str(root), str(tmp_path / "g1"), apply=True).collect()) == ["done", "skipped"]
+    assert "04/m.pdf" not in listed() and not list(root.rglob("_*"))
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        store.apply_plan(gone, str(root), str(tmp_path / "g1"), apply=True)
+
+
 def test_files_and_metadata(spark, tmp_path):
     (tmp_path / "a.pdf").write_bytes(b"%PDF-1.7 x")
     (tmp_path / "b.pdf").write_bytes(b"no")
