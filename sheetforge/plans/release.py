@@ -183,13 +183,18 @@ def active(spark: SparkSession, root: str) -> DataFrame:
     return last_wins(_pointer(spark, root), ["spec_family"], "sequence", "published_at", "release_id").select("spec_family", "release_id")
 
 
-def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
-    """Rewrites only those partitions that `df` has rows of; other documents, runs or profiles stay."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+def replace_partitions(df: DataFrame, path: str, by: list[str], apply: bool = False) -> DataFrame:
+    """Rows of each partition; with `apply` only those partitions that `df` has rows of are written anew, others stay."""
+    if apply:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    return df.groupBy(*by).agg(F.count("*").alias("n_rows"))
 
 
-def append_evidence(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def append_evidence(df: DataFrame, path: str, apply: bool = False) -> DataFrame:
+    """The number of rows; with `apply` they are appended."""
+    if apply:
+        df.write.mode("append").parquet(path)
+    return table_counts({path.rstrip("/").rpartition("/")[2]: df})
 
 
 def wrong_paths(docs: DataFrame, actual: str, desired) -> DataFrame:
@@ -197,9 +202,12 @@ def wrong_paths(docs: DataFrame, actual: str, desired) -> DataFrame:
     return docs.withColumn("desired_path", desired).where(~F.col(actual).eqNullSafe(F.col("desired_path")))
 
 
-def snapshot(tables: dict[str, DataFrame], folder: str) -> None:
-    for name, df in tables.items():
-        df.write.mode("errorifexists").parquet(f"{folder}/{name}")
+def snapshot(tables: dict[str, DataFrame], folder: str, apply: bool = False) -> DataFrame:
+    """Row counts of the tables; with `apply` each is written to a new folder."""
+    if apply:
+        for name, df in tables.items():
+            df.write.mode("errorifexists").parquet(f"{folder}/{name}")
+    return table_counts(tables)
 
 
 # --- serving views

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..operators import variants
 from ..operators.relational import table_counts
 from ..plans import extraction, release
-from ..sources import tables
+from ..sources import store, tables
 from .base import query
 from .joins import _no_shapes, _records
 from .texts import _pages
@@ -78,8 +78,8 @@ def k_publish_pointer(spark, d):
 def k_partition_overwrite(spark, d):
     """Rows of one partition are written again, the others stay."""
     path, n = scratch(spark), tables.table(spark, d, "nation")
-    release.replace_partitions(n, path, ["n_regionkey"])
-    release.replace_partitions(n.where("n_regionkey = 1").withColumn("n_name", F.lit("new")), path, ["n_regionkey"])
+    release.replace_partitions(n, path, ["n_regionkey"], apply=True)
+    release.replace_partitions(n.where("n_regionkey = 1").withColumn("n_name", F.lit("new")), path, ["n_regionkey"], apply=True)
     return spark.read.parquet(path).select("n_nationkey", "n_name", F.col("n_regionkey").cast("int").alias("n_regionkey"))
 
 
@@ -94,6 +94,66 @@ def s_json_records(spark, d):
     return back.select("r_regionkey", "r_name", F.coalesce(F.array_size("nations"), F.lit(0)).cast("long").alias("n"))
 
 
+_STORE_SQL = """
+arriving AS (SELECT 'docs/' || doc_id || '.pdf' AS path, sha256(coalesce(text, '')) AS checksum, doc_id FROM documents),
+stored AS (SELECT 'docs/' || doc_id || '.pdf' AS path, CASE WHEN doc_id % 3 = 0 THEN sha256(coalesce(text, '')) ELSE sha256(coalesce(text, '') || 'old') END AS old_checksum FROM documents WHERE doc_id % 4 <> 0)
+"""
+
+
+def _arriving(spark, d):
+    """A file for each document, and what a store has of them: none, the same or older bytes."""
+    docs = tables.table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    path = F.concat(F.lit("docs/"), F.col("doc_id").cast("string"), F.lit(".pdf")).alias("path")
+    old = F.when(F.col("doc_id") % 3 == 0, F.col("text")).otherwise(F.concat("text", F.lit("old")))
+    stored = docs.where("doc_id % 4 <> 0").select(path, F.sha2(old, 256).alias("checksum"))
+    return docs.select(path, F.concat(F.lit("landing/"), F.col("doc_id").cast("string")).alias("source"), F.sha2("text", 256).alias("checksum")), stored
+
+
+@query(f"""
+WITH {_STORE_SQL}, p AS (SELECT path, CASE WHEN old_checksum IS NULL THEN 'add' WHEN old_checksum = checksum THEN 'keep' ELSE 'replace' END AS action, 'landing/' || doc_id AS source, doc_id, old_checksum FROM arriving LEFT JOIN stored USING (path))
+SELECT path, action, source, CASE WHEN action = 'replace' THEN 'archive/docs/' || doc_id || '.' || old_checksum[1:12] || '.pdf' END AS archive FROM p
+""")
+def k_upload_plan(spark, d):
+    """What an upload of every document would do: add, keep, or replace after archiving the old bytes."""
+    return store.upload_plan(*_arriving(spark, d)).select("path", "action", "source", "archive")
+
+
+@query(f"""
+WITH {_STORE_SQL} SELECT path AS source, CASE WHEN substr(path, 6, 1) IN ('1', '2') THEN 'moved/' || substr(path, 6, 1) || '/' || substr(path, 6) ELSE 'moved/' || substr(path, 6) END AS path,
+  CASE WHEN old_checksum IS NULL THEN 'missing' ELSE 'move' END AS action FROM arriving LEFT JOIN stored USING (path)
+""")
+def k_move_plan(spark, d):
+    """Every document asked to a folder by its first digit; those without a file are missing."""
+    arriving, stored = _arriving(spark, d)
+    name, first = F.substr("path", F.lit(6)), F.substr("path", F.lit(6), F.lit(1))
+    want = F.when(first.isin("1", "2"), F.concat(F.lit("moved/"), first, F.lit("/"), name)).otherwise(F.concat(F.lit("moved/"), name))
+    return store.move_plan(arriving.select("path", want.alias("want")), "path", "want", stored).select("source", "path", "action")
+
+
+@query("""
+SELECT * FROM (VALUES ('a first upload', 'add', 'done', 2), ('the same again', 'keep', 'skipped', 2), ('a file is moved', 'move', 'done', 1), ('two files are removed', 'remove', 'done', 2), ('a dry run', 'add', 'planned', 2)) t(step, action, outcome, n)
+""")
+def k_store_steps(spark, d):
+    """The files of two small tables through a store: uploaded, uploaded again, moved, removed, and a plan not carried out."""
+    root, kept = scratch(spark), []
+    files = tables.files(spark, d, "{region,nation}*")
+    name = F.substring_index("path", "/", -1)
+    arriving = files.select(name.alias("path"), F.col("path").alias("source"), "checksum")
+
+    def step(title, plan, apply=True):
+        out = store.apply_plan(plan, f"{root}/store", f"{root}/report{len(kept)}", apply)
+        kept.append(out.groupBy("action", "outcome").agg(F.count("*").cast("int").alias("n")).select(F.lit(title).alias("step"), "action", "outcome", "n"))
+
+    have = lambda: store.stored(spark, f"{root}/store")
+    empty = spark.createDataFrame([], "path string, n_bytes long, checksum string")
+    step("a first upload", store.upload_plan(arriving, empty))
+    step("the same again", store.upload_plan(arriving, have()))
+    step("a file is moved", store.move_plan(spark.createDataFrame([("region.parquet", "r/region.parquet")], "a string, b string"), "a", "b", have()))
+    step("two files are removed", store.remove_plan(spark.createDataFrame([("r/region.parquet",), ("nation.parquet",)], "path string"), have()))
+    step("a dry run", store.upload_plan(arriving, empty), apply=False)
+    return reduce(DataFrame.unionByName, kept)
+
+
 @query()
 def s_files_manifest(spark, d):
     """Names, sizes and checksums of the small tables' files."""

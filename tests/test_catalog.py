@@ -283,8 +283,9 @@ def test_merge_and_partitions(spark, tmp_path):
     b = spark.createDataFrame([(2, "c", 1), (2, "d", 2), (3, "e", 1)], "k int, v string, ordinal int")
     assert sorted(map(tuple, release.merge(a, b, ["k"]).collect())) == [(1, "a"), (2, "d"), (3, "e")]
     path = str(tmp_path / "t")
-    release.replace_partitions(a, path, ["k"])
-    release.replace_partitions(spark.createDataFrame([(2, "z")], "k int, v string"), path, ["k"])
+    assert {x["k"]: x["n_rows"] for x in release.replace_partitions(a, path, ["k"]).collect()} == {1: 1, 2: 1} and not (tmp_path / "t").exists()
+    release.replace_partitions(a, path, ["k"], apply=True)
+    release.replace_partitions(spark.createDataFrame([(2, "z")], "k int, v string"), path, ["k"], apply=True)
     assert sorted((x["k"], x["v"]) for x in spark.read.parquet(path).collect()) == [(1, "a"), (2, "z")]
 
 
