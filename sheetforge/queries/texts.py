@@ -215,20 +215,50 @@ def x_attributes(spark, d):
     return configurations(spark, d).select("config_id", *[a[k].alias(k) for k in ("gender", "contact_type", "shell_material", "board_mount_style", "row_count", "current_rating")], F.array_join(extract.hardware_scopes(body), ",").alias("scopes"))
 
 
-# --- nested results, held by tests only
+# --- nested results, shown as strings
 
 
-@query()
+def _listed(array, shown, sep=","):
+    return F.coalesce(F.array_join(F.transform(array, shown), sep), F.lit(""))
+
+
+@query("""
+SELECT * FROM (VALUES
+  ('2', 1, 251, 'MIL-DTL-83513/2H|REQUIREMENTS|A = 31|DIMENSION A .250 AND B = 1.125, A = 9.99. FIGURE 1. RECEPTACLE. FIGURE 2.', 'A=9.99,B=1.125', '9,15,21,25,31', 'M83513/02-AN', 'MIL-DTL-83513/2', 'Figure 1:Receptacle,Figure 2:'),
+  ('2', 6, 123, '', '', '', '', '', ''), ('10', 1, 134, 'NUMBER OF|CONTACTS A B D', '', '9,15', '', '', ''), ('1', 1, 62, '9 A .785 .408 .300 .299 .1', '', '9,15,51', '', '', '')
+) t(doc_key, page_number, text_length, headers, dimensions, cavities, parts, mates, figures)
+""")
 def x_page_summary(spark, d):
-    return extract.page_summary(_pages(spark))
+    """What a page holds: headers, dimensions, cavity counts, part numbers, mating sheets and figures."""
+    dims_ = F.array_sort(F.map_entries("dimensions"))
+    return extract.page_summary(_pages(spark)).select(
+        "doc_key", "page_number", "text_length", F.array_join("headers", "|").alias("headers"), _listed(dims_, lambda x: F.concat(x["key"], F.lit("="), x["value"].cast("string"))).alias("dimensions"),
+        _listed("cavity_counts", lambda x: x.cast("string")).alias("cavities"), F.array_join("example_parts", ",").alias("parts"), F.array_join("mates_with", ",").alias("mates"),
+        _listed("figures", lambda x: F.concat(x["label"], F.lit(":"), F.coalesce(x["title"], F.lit("")))).alias("figures"),
+    )
 
 
-@query()
+@query("""
+SELECT * FROM (VALUES
+  ('2', 'solder', 'M83513/02', 'insert_arrangement,shell_finish_code', 'A=9,B=15,C=21', 'C=Cadmium,A=Pure electrodeposited aluminum,K=Zinc nickel', '', ''),
+  ('10', 'pcb', 'M83513/10', 'insert_arrangement,termination_length_code,shell_finish_code,hardware_code', '', 'N=Electroless nickel', '01=0.109,02=0.14', 'N=No hardware or threaded insert,P=jackpost attach'),
+  ('1', 'solder', 'M83513/01', 'insert_arrangement,shell_finish_code', '', '', '', '')
+) t(doc_key, class, prefix, components, inserts, finishes, terminations, hardware)
+""")
 def x_pin_components(spark, d):
-    return extract.pin_components(_pages(spark))
+    """How a document's part numbers are made up, with the codes of each place."""
+    pair = lambda code, value: lambda x: F.concat(x[code], F.lit("="), x[value].cast("string"))
+    return extract.pin_components(_pages(spark)).select(
+        "doc_key", "class", "prefix", F.array_join("components", ",").alias("components"), _listed("insert_arrangements", pair("insert_arrangement", "cavity_count")).alias("inserts"),
+        _listed("finishes", pair("code", "description")).alias("finishes"), _listed("termination_options", pair("code", "length_inches")).alias("terminations"),
+        _listed("hardware_options", pair("code", "description")).alias("hardware"),
+    )
 
 
-@query()
+@query("""
+WITH w AS (SELECT item_id, unnest(string_split(text, ' ')) AS word, generate_subscripts(string_split(text, ' '), 1) AS i FROM benchmark)
+SELECT item_id::VARCHAR AS doc_key, 1 AS page_number, ((i - 1) // 5)::INT AS line_no, string_agg(word, ' ' ORDER BY i) AS line FROM w GROUP BY ALL
+""")
 def x_word_lines(spark, d):
     """Benchmark words placed on a page, read back as lines."""
     w = table(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("doc_key"), F.lit(1).alias("page_number"), F.posexplode(F.split("text", " ")).alias("i", "word"))
@@ -236,9 +266,9 @@ def x_word_lines(spark, d):
     return extract.word_lines(placed)
 
 
-@query()
+@query("SELECT * FROM (VALUES ('2', '12.1', 'Revision H, Amendment 4', '2023-03-08', 'H', 1), ('2', '11.1', 'Revision H', '2019-01-01', 'H', 0)) t(page, token, description, document_date, revision_letter, ordinal)")
 def x_revisions(spark, d):
-    """Revision rows of a page of history, the newest first."""
+    """Revision rows of a page of history; the notice isn't one."""
     html = "".join(f"<tr><td><a href=\"r?token={k}.1\">x</a></td><td>{text}</td><td>A</td><td>{date}</td></tr>" for k, text, date in ((11, "Revision H", "01-JAN-2019"), (12, "Revision H, Amendment 4", "08-MAR-2023"), (13, "Notice 1 - Validation", "02-FEB-2024")))
     pages = spark.createDataFrame([("2", f"<table>{html}</table>")], "page string, html string")
-    return web.revision_entries(pages).orderBy(F.desc("document_date"))
+    return web.revision_entries(pages).withColumn("document_date", F.col("document_date").cast("string"))
