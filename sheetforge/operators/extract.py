@@ -30,6 +30,9 @@ TORQUE_RANGE = rf"(?i){NUMBER}\s*(?:to|-)\s*{NUMBER}\s*{POUNDS}"
 TORQUE_FOR_THREAD = rf"(?i){NUMBER}\s*{POUNDS}\s+for\s+#\d+-\d+(?:\s*\([^)]+\))?"
 TORQUE_REFERENCE = r"(?i)(?:mating|mounting)\s+hardware\s+torque\s*:.*?in accordance with\s+MIL-DTL-\d{5}/5"
 HARDWARE_REFERENCE = r"(?i)mounting\s+and\s+mating\s+hardware\s*:.*?MIL-DTL-\d{5}/5(?:,\s*configurations?\s*[A-C](?:\s+and\s+[A-C])?)?"
+PIN_BEGIN = r"(?i)part or identifying number|\bM83513/\d{1,2}\s*-"
+PIN_END = r"(?i)\b(?:referenced documents|concluding material|amendment notations|changes from previous issue)\b"
+APART = 3.0
 SOLDER_CUP = r"(?i)(?:(\d{2})\s+AWG\s+wire\s+is\s+the\s+maximum\s+wire\s+size[^.]*solder\s+cup|solder\s+cup\s+will\s+accept\s+size\s+(\d{2})\s+AWG\s+maximum)"
 
 
@@ -433,20 +436,27 @@ def truthy_json(**fields: Column) -> Column:
     return F.to_json(F.struct(*[c.alias(k) for k, c in fields.items()]))
 
 
-def word_lines(words: DataFrame, apart: float = 3.0) -> DataFrame:
-    """Lines of (doc_key, page_number, word, top, x0): in order of the rounded top and x0, a word more than `apart` below the
-    line's first word begins a new line. A fold, as each line's anchor is its first word."""
-    ordered = F.array_sort(F.collect_list(F.struct(F.round("top", 1).alias("t"), F.col("x0"), F.col("top"), "word")))
-    zero = F.array().cast("array<struct<anchor:double,words:array<string>>>")
+def _lines(words: Column) -> Column:
+    """array<string>: lines of array<struct<top, x0, word>>. In order of the rounded top and x0, a word more than APART below the
+    line's first word begins a new line; a line reads from left to right. A fold, as each line's anchor is its first word."""
+    ordered = F.array_sort(F.transform(words, lambda w: F.struct(F.round(w["top"], 1).alias("t"), w["x0"].alias("x0"), w["top"].alias("top"), w["word"].alias("word"))))
+    zero = F.array().cast("array<struct<anchor:double,words:array<struct<x0:double,n:int,word:string>>>>")
 
     def step(acc, w):
         last = F.element_at(acc, -1)
-        fresh = F.concat(acc, F.array(F.struct(w["top"].cast("double").alias("anchor"), F.array(w["word"]).alias("words"))))
-        grown = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(last["anchor"].alias("anchor"), F.concat(last["words"], F.array(w["word"])).alias("words"))))
-        return F.when(F.size(acc) == 0, fresh).when(F.abs(w["top"] - last["anchor"]) > apart, fresh).otherwise(grown)
+        placed = lambda n: F.array(F.struct(w["x0"].cast("double").alias("x0"), n.cast("int").alias("n"), w["word"].alias("word")))
+        fresh = F.concat(acc, F.array(F.struct(w["top"].cast("double").alias("anchor"), placed(F.lit(0)).alias("words"))))
+        grown = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(last["anchor"].alias("anchor"), F.concat(last["words"], placed(F.size(last["words"]))).alias("words"))))
+        return F.when(F.size(acc) == 0, fresh).when(F.abs(w["top"] - last["anchor"]) > APART, fresh).otherwise(grown)
 
-    folded = words.groupBy("doc_key", "page_number").agg(F.aggregate(ordered, zero, step).alias("lines"))
-    return folded.select("doc_key", "page_number", F.posexplode("lines").alias("line_no", "l")).select("doc_key", "page_number", "line_no", F.array_join("l.words", " ").alias("line"))
+    shown = lambda line: F.array_join(F.transform(F.array_sort(line["words"]), lambda x: x["word"]), " ")
+    return F.aggregate(ordered, zero, step, lambda acc: F.transform(acc, shown))
+
+
+def word_lines(words: DataFrame) -> DataFrame:
+    """(doc_key, page_number, line_no, line) of (doc_key, page_number, word, top, x0)."""
+    folded = words.groupBy("doc_key", "page_number").agg(_lines(F.collect_list(F.struct("top", "x0", "word"))).alias("lines"))
+    return folded.select("doc_key", "page_number", F.posexplode("lines").alias("line_no", "line"))
 
 
 def block(lines_: Column | str, begin: str, end: str, most: int = 90) -> Column:
@@ -454,5 +464,16 @@ def block(lines_: Column | str, begin: str, end: str, most: int = 90) -> Column:
     c = t.col(lines_)
     at = F.array_position(F.transform(c, lambda x: x.rlike(begin)), True)
     tail = F.slice(c, F.greatest(at, F.lit(1)), most)
-    stop = F.array_position(F.transform(tail, lambda x: x.rlike(end)), True)
-    return F.when(at == 0, F.array().cast("array<string>")).when(stop > 1, F.slice(tail, F.lit(1), F.greatest(stop - 1, F.lit(0)))).otherwise(tail)
+    stop = F.array_position(F.transform(F.slice(tail, 2, most), lambda x: x.rlike(end)), True)
+    return F.when(at == 0, F.array().cast("array<string>")).when(stop > 0, F.slice(tail, F.lit(1), stop)).otherwise(tail)
+
+
+def with_pin_block(pages: DataFrame, words: str, columns: list[str], text: str = "text") -> DataFrame:
+    """The columns of pages (`words`: array<struct<word, top, x0>>); a part-number block that the words give and the text doesn't
+    have goes to the text's end under a heading. Null or empty words change nothing."""
+    lines = _lines(F.coalesce(words, F.array().cast("array<struct<word:string,top:double,x0:double>>")))
+    found = F.array_join(block("_lines", PIN_BEGIN, PIN_END), "\n")
+    rows = pages.withColumn("_lines", lines).withColumn("_block", found)
+    more = (F.col("_block") != "") & ~F.contains(F.coalesce(text, F.lit("")), F.col("_block"))
+    whole = F.when(more, F.concat(F.coalesce(text, F.lit("")), F.lit("\nWORD-LEVEL PIN BLOCK:\n"), F.col("_block"))).otherwise(F.col(text))
+    return rows.select(*[whole.alias(c) if c == text else F.col(c) for c in columns])

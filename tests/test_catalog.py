@@ -391,6 +391,48 @@ def test_store(spark, tmp_path):
         store.apply_plan(gone, str(root), str(tmp_path / "g1"), apply=True)
 
 
+def _fake_pdf():
+    """A reader of PDF bytes for workers, so its classes are local."""
+
+    class _Page:
+        def __init__(self, text, rows):
+            self.text, self.rows = text, rows
+
+        def extract_text(self):
+            return self.text
+
+        def extract_words(self, **tolerance):
+            assert tolerance == {"x_tolerance": 1.5, "y_tolerance": 3, "keep_blank_chars": False}
+            return [{"text": w, "top": top, "x0": x} for top, x, w in self.rows]
+
+    class _Document:
+        def __init__(self, content):
+            rows = [(100.0, 50.0, "B"), (101.9, 10.0, "A"), (110.0, 30.0, "Identifying"), (110.4, 10.0, "Part"), (110.2, 20.0, "or"), (110.0, 40.0, "Number:"), (120.0, 10.0, "A"), (120.0, 20.0, "="), (120.0, 30.0, "9"), (130.0, 10.0, "Referenced"), (130.0, 20.0, "documents"), (140.0, 1.0, "z")]
+            known = "x\nPart or Identifying Number:\nA = 9\ny"
+            self.pages = [_Page(content.decode(), rows), _Page(None, []), _Page("no block", rows[:2]), _Page(known, rows)]
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *error):
+            return None
+
+    return _Document
+
+
+def test_page_text(spark):
+    """Words of a line are read from left to right, and a part-number block that the text lacks goes to its end."""
+    files = spark.createDataFrame([("f.pdf", bytearray(b"scrambled A 9"))], "path string, content binary")
+    opened = _fake_pdf()
+    got = [x["text"] for x in pdf.page_text(files, opened).orderBy("page_number").collect()]
+    assert got == ["scrambled A 9\nWORD-LEVEL PIN BLOCK:\nPart or Identifying Number:\nA = 9", "", "no block", "x\nPart or Identifying Number:\nA = 9\ny"]
+    words = pdf.words(files, opened).where("page_number = 1").withColumnRenamed("path", "doc_key")
+    lines = [x["line"] for x in extract.word_lines(words).orderBy("line_no").collect()]
+    assert lines == ["A B", "Part or Identifying Number:", "A = 9", "Referenced documents", "z"]
+    parts = extract.pin_components(spark.createDataFrame([("2", 1, got[0])], "doc_key string, page_number int, text string")).first()
+    assert [(x["insert_arrangement"], x["cavity_count"]) for x in parts["insert_arrangements"]] == [("A", 9)]
+
+
 def test_files_and_metadata(spark, tmp_path):
     (tmp_path / "a.pdf").write_bytes(b"%PDF-1.7 x")
     (tmp_path / "b.pdf").write_bytes(b"no")
@@ -513,5 +555,6 @@ def test_text_functions(spark):
     assert one(t.trim_bleed, "note text MIL-DTL-83513/3H 7") == "note text" and one(t.has_bleed, "supersedes page 3")
     assert one(lambda c: v.month_date("x"), "08-MAR-2023").isoformat() == "2023-03-08"
     assert one(lambda c: extract.block(F.split(c, "\n"), "^PIN", "^END"), "a\nPIN x\nb\nEND\nc") == ["PIN x", "b"]
+    assert one(lambda c: extract.block(F.split(c, "\n"), "^PIN", "END"), "a\nPIN END\nb\nEND\nc") == ["PIN END", "b"]
     assert one(extract.solder_cup_limit, "The solder cup will accept size 26 AWG maximum wire") == 26
     assert one(extract.connector_notes, "Interfacial seal: silicone. x")["interfacial_seal"] == "silicone"
