@@ -23,7 +23,7 @@ def documents(records: DataFrame, metadata: DataFrame | None = None) -> DataFram
     d = records.withColumn("slash_sheet", t.sheet_key("doc_key"))
     if metadata is not None:
         m = metadata.select(F.col("key").alias("slash_sheet"), *[F.col(c).alias(f"m_{c}") for c in ("spec_sheet", "revision", "title", "source_url")])
-        d = d.join(F.broadcast(m), "slash_sheet", "left")  # a row a document of one family
+        d = d.join(m, "slash_sheet", "left")
         d = d.withColumns({c: F.coalesce(c, f"m_{c}") for c in ("spec_sheet", "revision", "title", "source_url")})
     ident = v.stable_id("document", F.lit("83513"), F.col("slash_sheet"), F.col("revision"))
     return d.select(ident.alias("document_id"), F.lit("83513").alias("spec_family"), "slash_sheet", "spec_sheet", "revision", "title", "source_url", "document_type", F.lit("active").alias("status"))

@@ -83,6 +83,16 @@ def k_partition_overwrite(spark, d):
     return spark.read.parquet(path).select("n_nationkey", "n_name", F.col("n_regionkey").cast("int").alias("n_regionkey"))
 
 
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 'CHANGED' ELSE o_orderstatus END AS o_orderstatus, o_orderpriority FROM orders WHERE NOT (o_orderstatus = 'F' AND o_orderpriority <> '1-URGENT')
+""")
+def k_table_chain(spark, d):
+    """Urgent orders are upserted with another status, then those with status F are deleted."""
+    orders = tables.TableQuery(tables.table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority"))
+    urgent = orders.eq("o_orderpriority", "1-URGENT").select("o_orderkey", F.lit("CHANGED").alias("o_orderstatus"), "o_orderpriority")
+    return tables.TableQuery(orders.upsert(urgent, "o_orderkey")).eq("o_orderstatus", "F").delete()
+
+
 @query("SELECT r_regionkey, r_name, coalesce(n, 0) AS n FROM region LEFT JOIN (SELECT n_regionkey, count(*) AS n FROM nation GROUP BY 1) ON n_regionkey = r_regionkey")
 def s_json_records(spark, d):
     """Nested records written as JSON and read back with their schema."""

@@ -7,14 +7,13 @@ from pyspark.sql import functions as F
 from ..functions import text as t
 from ..operators import quality, search
 from ..operators.relational import page, semi_by_values
-from ..sources.tables import sheet_order, table
+from ..sources.tables import TableQuery, sheet_order, table
 from .base import PARTS_SQL, configurations, query
 
 
 @query("SELECT p_partkey, p_name, p_brand, p_type FROM part WHERE p_brand = 'Brand#5'")
 def p_select_view(spark, d):
-    view = table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    return view.where(F.col("p_brand") == "Brand#5").select("p_partkey", "p_name", "p_brand", "p_type")
+    return TableQuery(table(spark, d, "part")).eq("p_brand", "Brand#5").select("p_partkey", "p_name", "p_brand", "p_type")
 
 
 @query(f"""

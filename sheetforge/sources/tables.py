@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +17,39 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@dataclass(frozen=True)
+class TableQuery:
+    """A chain over a table: equalities, then what is done with the rows that meet them all.
+
+    Every end of a chain is a lazy DataFrame: the rows asked for, or the table as it is afterwards, which a writer stores. Null equals nothing.
+    """
+
+    rows: DataFrame
+    met: tuple[Column, ...] = ()
+
+    def eq(self, column: str, value) -> TableQuery:
+        return replace(self, met=(*self.met, F.coalesce(F.col(column) == F.lit(value), F.lit(False))))
+
+    def _where(self) -> Column:
+        return reduce(lambda a, b: a & b, self.met, F.lit(True))
+
+    def select(self, *columns: Column | str) -> DataFrame:
+        return self.rows.where(self._where()).select(*(columns or ("*",)))
+
+    def insert(self, more: DataFrame) -> DataFrame:
+        return self.rows.unionByName(more)
+
+    def upsert(self, arriving: DataFrame, *keys: str) -> DataFrame:
+        """Arriving rows, one a key, take the place of those with their key."""
+        return self.rows.join(arriving.select(*keys), list(keys), "left_anti").unionByName(arriving)
+
+    def delete(self) -> DataFrame:
+        """What stays; a chain without an equality is refused."""
+        if not self.met:
+            raise ValueError("a removal needs an equality")
+        return self.rows.where(~self._where())
+
+
 def extractions(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Extraction records, one JSON object a file, with their numeric sheet key as `sheet_order`."""
     df = spark.read.schema(schema).option("multiLine", True).json(path)

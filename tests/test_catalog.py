@@ -289,6 +289,17 @@ def test_merge_and_partitions(spark, tmp_path):
     assert sorted((x["k"], x["v"]) for x in spark.read.parquet(path).collect()) == [(1, "a"), (2, "z")]
 
 
+def test_table_chain(spark):
+    q = tables.TableQuery(spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "k int, v string"))
+    ids = lambda df: sorted((x["k"], x["v"]) for x in df.collect())
+    assert ids(q.eq("v", "a").select()) == [(1, "a")] and ids(q.eq("v", "a").eq("k", 3).select()) == [] and q.select("k").count() == 3
+    assert sorted(x["k"] for x in q.eq("v", "a").delete().collect()) == [2, 3]
+    more = spark.createDataFrame([(3, "z"), (4, "y")], "k int, v string")
+    assert q.insert(more).count() == 5 and sorted(x["v"] or "" for x in q.upsert(more, "k").collect()) == ["", "a", "y", "z"]
+    with pytest.raises(ValueError):
+        q.delete()
+
+
 def test_revisions(spark):
     def row(token, text, date):
         return f'<tr><td><a href="javascript:open(\'r.aspx?token={token}\')">x</a></td><td>{text}</td><td>A</td><td>{date}</td></tr>'
