@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, filter_audit, langid, mixing, near_dedup, sharding, spelling, tiff, token_store, toxicity, warc
+from . import bpe, exact_dedup, filter_audit, langid, lm, mixing, near_dedup, sharding, spelling, tiff, token_store, toxicity, warc
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_near_dedup": near_dedup.op8_near_dedup,
     "op9_bpe": bpe.op9_bpe,
     "op10_langid": langid.op10_langid,
+    "op11_lm": lm.op11_lm,
     "op12_filter_audit": filter_audit.op12_filter_audit,
     "op13_spelling": spelling.op13_spelling,
 }
@@ -25,6 +26,7 @@ ORACLE_SQL = {
     "op5_mixing": mixing.ORACLE,
     "op7_warc": warc.ORACLE,
     "op8_near_dedup": near_dedup.ORACLE,
+    "op11_lm": lm.op11_lm,
     "op12_filter_audit": filter_audit.ORACLE,
     "op13_spelling": spelling.ORACLE,
 }
