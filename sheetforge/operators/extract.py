@@ -212,9 +212,9 @@ def geometry_rows(pages: DataFrame) -> DataFrame:
     """
     is_cavity = lambda x: F.regexp_replace(x, r"\.+$", "").rlike(f"^{_CAVITY}$")
     decimals = lambda a: F.filter(F.transform(a, _decimal), lambda x: x.isNotNull())
-    ln = lines(pages).where(is_cavity(F.col("tokens")[0])).withColumn("d", decimals(F.slice("tokens", 2, 10_000))).where(F.size("d") >= 4)
+    ln = lines(pages).where(is_cavity(F.col("tokens")[0])).withColumn("d", decimals(F.slice("tokens", F.lit(2), F.size("tokens")))).where(F.size("d") >= 4)
     n = F.regexp_replace(F.col("tokens")[0], r"\.+$", "").cast("int")
-    letter = F.get(F.filter(F.slice("tokens", 2, 10_000), lambda x: x.rlike("^[A-Z]$")), F.lit(0))
+    letter = F.get(F.filter(F.slice("tokens", F.lit(2), F.size("tokens")), lambda x: x.rlike("^[A-Z]$")), F.lit(0))
     by_line = ln.select("doc_key", "page_number", F.lit(0).alias("branch"), F.col("line_no").alias("place"), n.alias("cavity_count"), F.coalesce(letter, _default_shell(n)).alias("shell_letter"), _dimensions(F.col("d")).alias("dimensions"))
     stream = pages.withColumn("tokens", F.split(t.collapse("text"), " "))
     hit = F.filter(F.transform("tokens", lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: is_cavity(s["x"]))
@@ -249,7 +249,7 @@ def pcb_rows(pages: DataFrame, valid: list[int] | None = None) -> DataFrame:
     ln = ln.withColumn("own", _labels(header)).withColumn("labels", F.last("own", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).where("labels is not null")
     hits = F.filter(F.transform("tokens", lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: s["x"].rlike(f"^{_CAVITY}$"))
     r = ln.select("doc_key", "page_number", "line_no", "labels", "tokens", F.explode(hits).alias("h"))
-    plain = F.transform(F.slice("tokens", F.col("h.i") + 2, 10_000), lambda x: F.regexp_replace(x, "^[,;]+|[,;]+$", ""))
+    plain = F.transform(F.slice("tokens", F.col("h.i") + 2, F.size("tokens")), lambda x: F.regexp_replace(x, "^[,;]+|[,;]+$", ""))
     r = r.withColumn("d", F.filter(plain, lambda x: x.rlike(r"^\d*\.\d+$"))).where(F.size("d") >= F.size("labels"))
     r = r.withColumn("cavity_count", F.col("h.x").cast("int"))
     if valid:

@@ -48,11 +48,16 @@ def is_subset(part: DataFrame, whole: DataFrame, keys: list[str], name: str = "i
     return only_left(part, whole, keys).agg((F.count("*") == 0).alias(name), F.count("*").alias("n_missing"))
 
 
+def gap_runs(df: DataFrame, key: str, value: str, first: str = "first_missing", last: str = "last_missing") -> DataFrame:
+    """(key, first, last): the runs of integers between each key's smallest and largest value that don't occur; one row a run."""
+    follows = F.lead(value).over(Window.partitionBy(key).orderBy(value))
+    steps = df.select(key, value).where(F.col(value).isNotNull()).distinct().withColumn("_next", follows)
+    return steps.where(F.col("_next") > F.col(value) + 1).select(key, (F.col(value) + 1).alias(first), (F.col("_next") - 1).alias(last))
+
+
 def gaps(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Integers between each key's smallest and largest value that don't occur."""
-    bounds = df.groupBy(key).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    full = bounds.select(key, F.explode(F.sequence("_lo", "_hi")).alias(value))
-    return full.join(df.select(key, value).distinct(), [key, value], "left_anti")
+    """Integers between each key's smallest and largest value that don't occur: the runs, spelled out."""
+    return gap_runs(df, key, value, "_first", "_last").select(key, F.explode(F.sequence("_first", "_last")).alias(value))
 
 
 def count_diff(live: DataFrame, staged: DataFrame, keys: list[str]) -> DataFrame:
@@ -121,7 +126,7 @@ def envelope(run_id: str, tables: dict[str, tuple[DataFrame, Column]]) -> DataFr
 
 
 def page(df: DataFrame, order: list[Column], limit: int = 25, offset: int = 0, total: str | None = "total") -> DataFrame:
-    """A page in `order`, with the number of all rows beside it.
+    """A page in `order`, with the number of all rows beside it; past the end one row with the total, all else null.
 
     The page is a top-k (no full sort) and the total an aggregate of its own, so no window gathers all rows.
     """
@@ -130,7 +135,11 @@ def page(df: DataFrame, order: list[Column], limit: int = 25, offset: int = 0, t
     if offset < 0:
         raise ValueError("offset must be 0 or more")
     rows = df.orderBy(*order).offset(offset).limit(limit) if offset else df.orderBy(*order).limit(limit)
-    return rows.crossJoin(F.broadcast(df.agg(F.count("*").alias(total)))) if total else rows  # one row
+    if not total:
+        return rows
+    counted = df.agg(F.count("*").alias(total))  # one row
+    shown = rows.crossJoin(F.broadcast(counted))
+    return shown.unionByName(counted.where(F.col(total) <= offset), allowMissingColumns=True) if offset else shown
 
 
 # --- windows

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import reduce
 
@@ -13,7 +16,9 @@ from ..functions import text as t
 from ..functions import values as v
 from ..operators.relational import last_wins, table_counts
 from ..operators.torque import resolve
+from ..sources.log import Log
 
+#: The one pointer table: a row a family, kept as a log of small entries.
 POINTER = "publish.active_releases"
 POINTER_ROW = "spec_family string, release_id string, published_at timestamp, sequence long"
 
@@ -99,88 +104,174 @@ LOAD_ORDER = (
 )
 
 
+#: After so many loads each table's folders are merged into one.
+MOST_LOADS = 8
+#: Tables of a load that are written at a time.
+WRITERS = 4
+
+
 def load_key(name: str) -> str:
     """The column by which a table is upserted."""
     return "spec_family" if name == POINTER else "id"
 
 
-def load_release(payloads: dict[str, DataFrame], root: str, sequence: int, apply: bool = False) -> DataFrame:
-    """(position, table_name, n_rows) of a whole load; with `apply` every table is upserted, in LOAD_ORDER.
+def require_gates(gates: DataFrame | None) -> None:
+    """An error unless there are gates and all pass; a gate without status doesn't."""
+    if gates is None:
+        raise ValueError("not every gate passes: there are none")
+    passed = F.col("status").eqNullSafe(F.lit("pass"))
+    n = gates.agg(F.count("*").alias("gates"), F.count_if(passed).alias("passed")).first()
+    if not n["gates"] or n["passed"] != n["gates"]:
+        raise ValueError("not every gate passes")
+
+
+def _loads(spark: SparkSession, root: str) -> Log:
+    return Log(spark, f"{root}/_loads")
+
 
-    Rows are appended with the load's sequence number and `loaded` reads the last of each key, so a load rewrites nothing, a
-    reader sees the old release until the pointer is there, and a load that was cut off is done again under the same
-    number. A missing or unknown table, a key that is null or occurs twice, and a load below one that is stored are
-    errors, before anything is written.
+def _below(entry: dict | None, sequence: int) -> list[dict]:
+    """The loads that a new one comes behind; an equal number is the same load done again."""
+    loads = entry["loads"] if entry else []
+    if loads and loads[-1]["sequence"] > sequence:
+        raise ValueError(f"load {sequence} is below {loads[-1]['sequence']}")
+    return [x for x in loads if x["sequence"] < sequence]
+
+
+def _checked(tables: dict[str, DataFrame]) -> DataFrame:
+    """(position, table_name, n_rows) of all tables; keys that are null or occur twice are an error."""
+    keys = [tables[name].select(F.lit(n).alias("position"), F.col(load_key(name)).cast("string").alias("key")) for n, name in enumerate(LOAD_ORDER)]
+    by_key = reduce(DataFrame.unionByName, keys).groupBy("position", "key").agg(F.count("*").alias("n"))
+    counted = by_key.groupBy("position").agg(F.sum("n").alias("n_rows"), F.count_if((F.col("n") > 1) | F.col("key").isNull()).alias("wrong"))
+    spark = tables[LOAD_ORDER[0]].sparkSession
+    found = {x["position"]: x for x in counted.collect()}  # a row a table
+    if bad := [LOAD_ORDER[n] for n in sorted(found) if found[n]["wrong"]]:
+        raise ValueError(f"keys are null or occur twice in {bad}")
+    return spark.createDataFrame([(n, name, found[n]["n_rows"] if n in found else 0) for n, name in enumerate(LOAD_ORDER)], "position int, table_name string, n_rows long")
+
+
+def load_release(
+    payloads: dict[str, DataFrame], root: str, sequence: int, gates: DataFrame | Callable[[dict[str, DataFrame]], DataFrame] | None = None, published_at: datetime | None = None, apply: bool = False
+) -> DataFrame:
+    """(position, table_name, n_rows) of a whole load; with `apply` every table is upserted, in LOAD_ORDER, and the pointer moves last.
+
+    Each table is written once to a folder of its own, which nobody reads, and checked there; then one entry of the log of loads shows them all at
+    once. So a reader sees whole loads only, and what a task or a load that was cut off or refused has left is never read. The pointer is moved by `publish`, for
+    releases whose row in publish.releases has the status published; the others are loaded and stay staged. Gates are needed, a table or a function of the
+    written tables, and all must pass. A missing or unknown table, a key that is null or occurs twice, a pointer to a release that isn't in
+    the load, and a load below one that is stored are errors, before anything can be read. A load that is done again under its number takes the place
+    of what it left. Of several writers of one number the last entry counts; of several numbers the largest.
     """
     if set(payloads) != set(LOAD_ORDER):
         raise ValueError(f"missing or unknown tables: {sorted(set(payloads) ^ set(LOAD_ORDER))}")
-    counts = []
-    for n, name in enumerate(LOAD_ORDER):
-        key = load_key(name)
-        by_key = payloads[name].groupBy(key).agg(F.count("*").alias("n"))
-        wrong = F.count_if((F.col("n") > 1) | F.col(key).isNull())
-        counts.append(by_key.agg(F.lit(n).alias("position"), F.lit(name).alias("table_name"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), wrong.alias("wrong")))
-    found = reduce(DataFrame.unionByName, counts)
-    if bad := [x["table_name"] for x in found.where("wrong > 0").collect()]:  # a row a table
-        raise ValueError(f"keys are null or occur twice in {bad}")
-    if apply:
-        spark = found.sparkSession
-        for name in LOAD_ORDER:
-            last = _stored(spark, root, name, payloads[name].schema).agg(F.max("load_sequence")).first()[0]
-            if last is not None and last > sequence:
-                raise ValueError(f"load {sequence} is below {last} of {name}")
-        for name in LOAD_ORDER:
-            payloads[name].withColumn("load_sequence", F.lit(sequence).cast("long")).write.mode("append").parquet(f"{root}/{name}")
-    return found.drop("wrong")
+    if not apply:
+        return _checked(payloads)
+    if not callable(gates):
+        require_gates(gates)
+    spark = payloads[POINTER].sparkSession
+    _below(_loads(spark, root).last()[1], sequence)
+    folders = {name: f"{name}/load-{sequence}-{uuid.uuid4().hex}" for name in LOAD_ORDER if name != POINTER}
+
+    def write(name: str) -> DataFrame:
+        payloads[name].withColumn("load_sequence", F.lit(sequence).cast("long")).write.parquet(f"{root}/{folders[name]}")
+        return spark.read.parquet(f"{root}/{folders[name]}")
+
+    with ThreadPoolExecutor(WRITERS) as pool:  # tables are independent until the log shows them
+        written = dict(zip(folders, pool.map(write, folders), strict=True))
+    written[POINTER] = payloads[POINTER]
+    found = _checked(written)
+    if callable(gates):
+        gates = gates(written)
+        require_gates(gates)
+    releases = written["publish.releases"].select(F.col("id").alias("release_id"), "status")
+    pointers = written[POINTER].select("spec_family", "release_id").join(releases, "release_id", "left").collect()  # a row a family
+    if lost := [x["release_id"] for x in pointers if x["status"] is None]:
+        raise ValueError(f"the pointer names releases that aren't in the load: {lost}")
+    entry = _loads(spark, root).change(lambda last: {"loads": [*_below(last, sequence), {"sequence": sequence, "tables": folders}]})
+    if len(entry["loads"]) > MOST_LOADS:
+        compact(spark, root)
+    for x in pointers:
+        if x["status"] == "published":
+            publish(spark, root, x["spec_family"], x["release_id"], x["status"], gates, published_at, sequence, again=True)
+    return found
+
+
+def _folders(spark: SparkSession, root: str, loads: list[dict], name: str, schema: StructType | None) -> DataFrame:
+    """All rows of a table in some loads. Without a schema the newest load's columns are read."""
+    parts = [f"{root}/{x['tables'][name]}" for x in loads]
+    if schema is None:
+        if not parts:
+            raise ValueError(f"nothing is loaded into {name}")
+        schema = spark.read.parquet(parts[-1]).schema
+    schema = StructType([f for f in schema if f.name != "load_sequence"]).add("load_sequence", "long")
+    return spark.read.schema(schema).parquet(*parts) if parts else spark.createDataFrame([], schema)
 
 
-def _exists(spark: SparkSession, folder: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+def loaded(spark: SparkSession, root: str, name: str, schema: StructType | None = None) -> DataFrame:
+    """The rows of a loaded table: of each key that of the highest load. The pointer's are those of `active`."""
+    if name == POINTER:
+        return active(spark, root)
+    entry = _loads(spark, root).last()[1]
+    rows = _folders(spark, root, entry["loads"] if entry else [], name, schema)
+    return last_wins(rows, [load_key(name)], "load_sequence").drop("load_sequence")
 
 
-def _stored(spark: SparkSession, root: str, name: str, schema: StructType) -> DataFrame:
-    schema = StructType([f for f in schema if f.name != "load_sequence"]).add("load_sequence", "long")
-    if not _exists(spark, f"{root}/{name}"):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{root}/{name}")
+def compact(spark: SparkSession, root: str) -> None:
+    """Puts one folder a table, with the newest row of each key, in the place of those of all loads so far."""
+    entry = _loads(spark, root).last()[1]
+    if not entry or len(entry["loads"]) < 2:
+        return
+    old, folders = entry["loads"], {}
+    for name in old[-1]["tables"]:
+        folders[name] = f"{name}/merged-{old[-1]['sequence']}-{uuid.uuid4().hex}"
+        last_wins(_folders(spark, root, old, name, None), [load_key(name)], "load_sequence").write.parquet(f"{root}/{folders[name]}")
 
+    def make(last: dict) -> dict:
+        if last["loads"][: len(old)] != old:  # a load was done again meanwhile
+            return last
+        return {"loads": [{"sequence": old[-1]["sequence"], "tables": folders}, *last["loads"][len(old) :]]}
 
-def loaded(spark: SparkSession, root: str, name: str, schema: StructType) -> DataFrame:
-    """The rows of a loaded table: of each key that of the highest load. A load that was done again repeats equal rows."""
-    return last_wins(_stored(spark, root, name, schema), [load_key(name)], "load_sequence").drop("load_sequence")
+    _loads(spark, root).change(make)
 
 
-def publish(spark: SparkSession, root: str, family: str, release_id: str, status: str, gates: DataFrame, published_at: datetime, sequence: int) -> DataFrame:
-    """Moves the family's pointer to a release, last of all: only for published releases with gates that all pass.
+def publish(
+    spark: SparkSession, root: str, family: str, release_id: str, status: str, gates: DataFrame, published_at: datetime | None, sequence: int, expected: str | None = None, again: bool = False
+) -> DataFrame:
+    """Moves the family's pointer to a release, last of all: only for published releases with gates that all pass. Nothing else moves it.
 
-    No gates at all, or a gate without status, is refused too. The pointer is one small row a family; it is written anew
-    beside the old one. The row with the highest sequence number counts, which must be above all the family's earlier
-    ones, so neither a clock that steps back nor a publisher who comes late revives an old release.
+    No gates at all, or a gate without status, is refused too. The pointer is a log whose entries are created exclusively: a publisher decides on the last
+    entry and makes the next one, or decides again on what another has made meanwhile. The sequence number must be above the
+    family's last one, so of two publishers with one number exactly one succeeds, and neither a clock that steps back nor one who comes late revives an old
+    release. With `expected`, the release that is active must be that one. With `again`, the same release under the same number is no error.
     """
     if status != "published":
         raise ValueError("only a published release can be active")
-    passed = F.col("status").eqNullSafe(F.lit("pass"))
-    n = gates.agg(F.count("*").alias("gates"), F.count_if(passed).alias("passed")).first()
-    if not n["gates"] or n["passed"] != n["gates"]:
-        raise ValueError("not every gate passes")
-    last = _pointer(spark, root).where(F.col("spec_family") == family).agg(F.max("sequence")).first()[0]
-    if last is not None and sequence <= last:
-        raise ValueError(f"sequence {sequence} isn't above {last}")
-    row = spark.createDataFrame([(family, release_id, published_at, sequence)], POINTER_ROW)
-    row.coalesce(1).write.mode("append").parquet(f"{root}/{POINTER}")
+    require_gates(gates)
+
+    def make(last: dict | None) -> dict:
+        families = dict(last["families"]) if last else {}
+        old = families.get(family)
+        if old and again and (old["sequence"], old["release_id"]) == (sequence, release_id):
+            return last
+        if old and sequence <= old["sequence"]:
+            raise ValueError(f"sequence {sequence} isn't above {old['sequence']}")
+        if expected is not None and (old or {}).get("release_id") != expected:
+            raise ValueError(f"{(old or {}).get('release_id')} is active, not {expected}")
+        at = None if published_at is None else published_at.isoformat()
+        return {"families": families | {family: {"release_id": release_id, "published_at": at, "sequence": sequence}}}
+
+    Log(spark, f"{root}/{POINTER}").change(make)
     return active(spark, root)
 
 
 def _pointer(spark: SparkSession, root: str) -> DataFrame:
-    if not _exists(spark, f"{root}/{POINTER}"):
-        return spark.createDataFrame([], POINTER_ROW)
-    return spark.read.schema(POINTER_ROW).parquet(f"{root}/{POINTER}")
+    entry = Log(spark, f"{root}/{POINTER}").last()[1]
+    rows = [(f, x["release_id"], x["published_at"] and datetime.fromisoformat(x["published_at"]), x["sequence"]) for f, x in sorted((entry or {"families": {}})["families"].items())]
+    return spark.createDataFrame(rows, POINTER_ROW)
 
 
 def active(spark: SparkSession, root: str) -> DataFrame:
-    """The active release of each family; of rows with one sequence number the later, then the larger release_id counts."""
-    return last_wins(_pointer(spark, root), ["spec_family"], "sequence", "published_at", "release_id").select("spec_family", "release_id")
+    """(spec_family, release_id): the active release of each family."""
+    return _pointer(spark, root).select("spec_family", "release_id")
 
 
 def replace_partitions(df: DataFrame, path: str, by: list[str], apply: bool = False) -> DataFrame:

@@ -255,22 +255,3 @@ SELECT verdict, count(*) AS n, string_agg(case_id, ',' ORDER BY case_id) AS case
 """)
 def a_verdict_summary(spark, d):
     return quality.verdict_summary(table(spark, d, "part").select(F.when(F.col("p_size") > 25, "large").otherwise("small").alias("verdict"), F.col("p_partkey").cast("string").alias("case_id")))
-
-
-@query("SELECT name, status, details FROM (VALUES " + ", ".join(
-    [f"('/{k} has {n} staged rows', 'pass', '{n}')" for k, n in dims.CONFIG_COUNTS.items()]
-    + [f"('/{k} has inserts {','.join(dims.INSERTS[k[1]])}', 'pass', '{','.join(dims.INSERTS[k[1]])}')" for k in ("02", "04")]
-    + [f"('/{k} has {n} staged wires', 'pass', '{n}')" for k, n in dims.WIRE_COUNTS.items()]
-    + ["('/02 inherits verified torque', 'pass', '1')", "('/04 inherits verified torque', 'pass', '1')", "('/05 owns six facts', 'pass', '1')"]
-    + [f"('/{k} has finishes ', 'pass', '')" for k in dims.CLASS_P]
-) + ") t(name, status, details)")
-def q_edge_checks(spark, d):
-    """The 21 checks of a rebuild over generated variants and wires."""
-    configs = variants.configurations(_records(spark), _no_shapes(spark))
-    counts = spark.createDataFrame([("03", 58), ("04", 58), ("08", 22), ("09", 58)], "slash_sheet string, n int")
-    wires = configs.join(counts, "slash_sheet").select("slash_sheet", F.explode(F.sequence(F.lit(1), "n")).alias("w"))
-    resolved = spark.createDataFrame(
-        [(s, 6, s != "05", True, False, "owns_profile" if s == "05" else "references_other_doc") for s in ("02", "04", "05")],
-        "slash_sheet string, fact_count int, values_inherited boolean, values_verified boolean, needs_review boolean, torque_mode string",
-    )
-    return quality.edge_checks(spark, quality.summary_by_sheet(configs, wires), resolved)

@@ -241,27 +241,6 @@ def _no_shapes(spark):
     return spark.createDataFrame([], "doc_key string, page_number int, cavity_count int, shell_letter string, dimensions map<string,double>, ordinal int")
 
 
-_VARIANT_SQL = """
-sheets(k, inserts, finishes) AS (VALUES ('01','ABCDEFGH','ACKNPT'),('02','ABCDEFGHJK','ACKNPT'),('03','ABCDEFGH','ACKNPT'),('04','ABCDEFGHJK','ACKNPT'),('06','ABCDEFG',''),('07','ABCDEFG',''),('08','ABCDEFG',''),('09','ABCDEFG','')),
-ins AS (SELECT k, finishes, substr(inserts, i::INT, 1) AS insert_code FROM sheets, range(1, 11) r(i) WHERE i <= len(inserts)),
-var AS (SELECT k AS slash_sheet, insert_code, f.finish_code FROM ins, LATERAL (SELECT CASE WHEN finishes = '' THEN NULL ELSE substr(finishes, j::INT, 1) END AS finish_code FROM range(1, 7) r(j) WHERE j <= greatest(1, len(finishes))) f)
-"""
-
-
-@query(f"WITH {_VARIANT_SQL} SELECT slash_sheet, insert_code, finish_code, 'M83513/' || slash_sheet || '-' || insert_code || CASE WHEN slash_sheet IN ('03','04','08','09') THEN '01' ELSE '' END || coalesce(finish_code, '') AS example_pin FROM var")
-def j_variants(spark, d):
-    return variants.configurations(_records(spark), _no_shapes(spark)).select("slash_sheet", "insert_code", "finish_code", "example_pin")
-
-
-@query(f"WITH {_VARIANT_SQL} SELECT slash_sheet, count(*) AS wire_rows FROM var JOIN (SELECT unnest(['03','04','08','09']) AS s, unnest([58,58,22,58]) AS n) w ON s = slash_sheet, range(n) GROUP BY slash_sheet")
-def j_variant_wires(spark, d):
-    """Variants times the wires of their sheet: 2784, 3480, 154 and 406 rows."""
-    counts = spark.createDataFrame([("03", 58), ("04", 58), ("08", 22), ("09", 58)], "slash_sheet string, n int")
-    wires = counts.select("slash_sheet", F.explode(F.sequence(F.lit(1), "n")).alias("w")).select("slash_sheet", F.lpad(F.col("w").cast("string"), 2, "0").alias("wire_code"), F.lit("spec").alias("wire_spec"), F.lit(18.0).alias("length_in"), F.array(F.lit("note")).alias("note_texts"), F.lit(False).alias("space_approved"))
-    configs = variants.configurations(_records(spark), _no_shapes(spark))
-    return variants.wire_rows(configs, wires).groupBy("slash_sheet").agg(F.count("*").alias("wire_rows"))
-
-
 _MATES_SQL = f"""
 {PARTS_SQL}, links AS (SELECT DISTINCT s.*, lpad(u.n::VARCHAR, 2, '0') AS mate_sheet FROM parts s, unnest(s.mate_numbers) u(n)),
 pairs AS (

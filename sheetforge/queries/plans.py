@@ -2,76 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import variants
-from ..operators.relational import table_counts
-from ..plans import extraction, release
+from ..plans import release
 from ..sources import store, tables
 from .base import query
-from .joins import _no_shapes, _records
-from .texts import _pages
-
-
-def scratch(spark) -> str:
-    """A new folder in the one that all executors share; a local one only where Spark runs in one process (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base and not (spark.sparkContext.master + "[").startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    base = base or tempfile.mkdtemp(prefix="sheetforge-")
-    return f"{base.rstrip('/')}/plans-{uuid.uuid4().hex}"
-
-
-def _release(spark):
-    docs = release.documents(_records(spark))
-    configs = variants.configurations(_records(spark), _no_shapes(spark)).withColumn("mates_with", F.array(F.lit("MIL-DTL-83513/2"))).withColumn("hardware_ref", F.lit("MIL-DTL-83513/5"))
-    configs = release.configurations(configs, docs, "r1")
-    return {"documents": docs, "configurations": configs, "relationships": release.relationships(configs)}
-
-
-@query("SELECT * FROM (VALUES ('documents', 8), ('configurations', 244), ('relationships', 488)) t(table_name, n_rows)")
-def k_release_tables(spark, d):
-    """A release written table by table and read back."""
-    root, parts = scratch(spark), _release(spark)
-    release.write_release(parts, root, "r1", apply=True)
-    return table_counts({n: spark.read.parquet(f"{root}/r1/{n}") for n in parts}).select("table_name", F.col("n_rows").cast("int").alias("n_rows"))
-
-
-_STAND_INS = {"region": "r_regionkey", "nation": "n_nationkey", "supplier": "s_suppkey", "orders": "o_orderkey", "part": "p_partkey", "customer": "c_custkey", "events": "event_id"}
-#: A table of the test data for each of a release's tables.
-_LOADED = dict(zip(release.LOAD_ORDER, "region supplier orders supplier supplier orders part orders part nation customer supplier part events region".split(), strict=True))
-
-
-@query(" UNION ALL ".join(f"SELECT {i} AS position, '{name}' AS table_name, count(*) AS n_rows, count(*) FILTER ({_STAND_INS[t]} % 2 = 0) AS n_new FROM {t}" for i, (name, t) in enumerate(_LOADED.items())))
-def k_load_release(spark, d):
-    """All fifteen tables loaded twice: the second load replaces the rows with even keys, and none is there twice."""
-    root = scratch(spark)
-
-    def payload(name, t, version):
-        rows = tables.table(spark, d, t).select(F.col(_STAND_INS[t]).cast("string").alias(release.load_key(name)), F.lit(version).alias("version"))
-        return rows if version == 1 else rows.where(F.col(release.load_key(name)).cast("long") % 2 == 0)
-
-    for version in (1, 2):
-        release.load_release({name: payload(name, t, version) for name, t in _LOADED.items()}, root, version, apply=True)
-    found = [release.loaded(spark, root, name, payload(name, t, 1).schema).select(F.lit(i).alias("position"), F.lit(name).alias("table_name"), "version") for i, (name, t) in enumerate(_LOADED.items())]
-    return reduce(DataFrame.unionByName, found).groupBy("position", "table_name").agg(F.count("*").alias("n_rows"), F.count_if(F.col("version") == 2).alias("n_new"))
-
-
-@query("SELECT '83513' AS spec_family, 'r2' AS release_id, 0 AS n_old_rows")
-def k_publish_pointer(spark, d):
-    """The pointer moves from one release to the next; rows of the old one leave the serving view."""
-    root = scratch(spark)
-    green = spark.createDataFrame([("all", "pass")], "name string, status string")
-    for n, r in enumerate(("r1", "r2")):
-        pointer = release.publish(spark, root, "83513", r, "published", green, datetime(2024, 1, 1 + n), n)
-    old = release.current(_release(spark)["configurations"], pointer).agg(F.count("*").cast("int").alias("n_old_rows"))
-    return pointer.crossJoin(F.broadcast(old))  # one row
+from .scratch import scratch
 
 
 @query("SELECT n_nationkey, CASE WHEN n_regionkey = 1 THEN 'new' ELSE n_name END AS n_name, n_regionkey FROM nation")
@@ -170,12 +109,3 @@ def s_files_manifest(spark, d):
     found = tables.files(spark, d, "{region,nation}*")
     want = spark.createDataFrame([("region", "region.parquet"), ("nation", "nation.parquet"), ("none", "none.parquet")], "name string, file_name string")
     return tables.source_manifest(want, found)
-
-
-@query("SELECT * FROM (VALUES ('2', 'MIL-DTL-83513/2H', 'fail', 3), ('10', 'MIL-DTL-83513/10A', 'fail', 0), ('99', 'none', 'empty', 0)) t(doc_key, spec_sheet, state, n_inserts)")
-def x_document_records(spark, d):
-    """Whole records of three documents, one of them without pages."""
-    sources = spark.createDataFrame([("2", "Connectors, plug, pin contacts, class M, solder type", None, "H"), ("10", "Connectors, straight", "MIL-DTL-83513/10A", "A"), ("99", "x", "none", None)], "doc_key string, title string, spec_sheet string, revision string")
-    r = extraction.records(spark, _pages(spark), sources)
-    state = F.when(F.col("n_pages") == 0, "empty").when(F.exists("checks", lambda c: c["status"] == "fail"), "fail").otherwise("pass")
-    return r.select("doc_key", "spec_sheet", state.alias("state"), F.size("inserts").alias("n_inserts"))

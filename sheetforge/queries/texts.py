@@ -133,73 +133,7 @@ def d_dates(spark, d):
     return o.select("o_orderkey", v.run_stamp("o_orderdate").alias("run_id"), v.iso_stamp("o_orderdate").alias("stamp"), v.month_date("shown").cast("string").alias("parsed"))
 
 
-# --- extraction from texts in line
-
-_PAGES = [
-    ("2", 1, "MIL-DTL-83513/2H\nREQUIREMENTS\nPart or Identifying Number (PIN): M83513/02-A N.\nA = 9  C = Cadmium\nB = 15 a = Aluminum\nC = 21 K = Zinc nickel\nA = 31\nDimension A .250 and B = 1.125, A = 9.99. FIGURE 1. Receptacle. FIGURE 2.\n. Referenced documents D = 25"),
-    ("2", 6, "Mounting hardware torque: 3.0 to 4.0 inch-pounds for all. Mating hardware 2.5 in-lbs for #2-56 (Metal  shell). Torque ends."),
-    ("10", 1, "NUMBER OF\nCONTACTS A B D\n9 .785 .400 .308\n15 .935 .550 .308\n01 = .109 02 = .140 N = No hardware or threaded insert P = jackpost attach"),
-    ("1", 1, "9 A .785 .408 .300 .299 .1\n15. 0935 0550 .3 .2\n51 1.1 .9 .8 .7"),
-]
-
-
-def _pages(spark):
-    return spark.createDataFrame(_PAGES, "doc_key string, page_number int, text string")
-
-
-@query("""
-SELECT * FROM (VALUES ('2', 'insert', 'A', '9'), ('2', 'insert', 'B', '15'), ('2', 'insert', 'C', '21'), ('2', 'finish', 'C', 'Cadmium'), ('2', 'finish', 'A', 'Pure electrodeposited aluminum'), ('2', 'finish', 'K', 'Zinc nickel'),
-  ('2', 'dimension', 'A', '9.99'), ('2', 'dimension', 'B', '1.125'), ('10', 'termination', '01', '0.109'), ('10', 'termination', '02', '0.14'), ('10', 'hardware', 'N', 'No hardware or threaded insert'), ('10', 'hardware', 'P', 'jackpost attach'),
-  ('2', 'part', 'M83513/02-AN', ''), ('2', 'figure', '1', 'Receptacle'), ('2', 'figure', '2', '')) t(doc_key, kind, code, value)
-""")
-def x_number_pairs(spark, d):
-    """Pairs read from a part-number block, dimension hits, options, part numbers and figures."""
-    p = _pages(spark)
-    block = p.where("page_number = 1 and doc_key = '2'").withColumn("pin", t.pin_block("text"))
-    pair = lambda df, kind, arr, code, value: df.select("doc_key", F.lit(kind).alias("kind"), F.explode(arr).alias("x")).select("doc_key", "kind", F.expr(code).alias("code"), F.expr(value).alias("value"))
-    ten = p.where("doc_key = '10'")
-    dims_ = F.transform(F.map_entries(extract.dimension_hits("text")), lambda x: F.struct(x["key"].alias("k"), x["value"].alias("v")))
-    out = [
-        pair(block, "insert", extract.insert_map("pin"), "x.insert_arrangement", "cast(x.cavity_count as string)"),
-        pair(block, "finish", extract.finish_map("pin"), "x.code", "x.description"),
-        pair(block, "dimension", dims_, "x.k", "cast(x.v as string)"),
-        pair(ten, "termination", extract.termination_options("text"), "x.code", "cast(x.length_inches as string)"),
-        pair(ten, "hardware", extract.hardware_codes("text"), "x.code", "x.description"),
-        pair(block, "part", extract.example_parts("text"), "x", "''"),
-        pair(block, "figure", extract.figure_references("text"), "cast(x.figure_number as string)", "coalesce(x.title, '')"),
-    ]
-    return reduce(DataFrame.unionByName, out)
-
-
-@query("""
-SELECT * FROM (VALUES ('1', 1, 9, 'A', 'A=0.785 B=0.299 C=0.3 D=0.408'), ('1', 1, 15, 'A', 'A=0.0935 B=0.055 C=0.2 D=0.3'), ('1', 1, 51, 'B', 'A=1.1 B=0.7 C=0.8 D=0.9'), ('10', 1, 9, NULL, 'A=0.785 B=0.4 D=0.308'), ('10', 1, 15, NULL, 'A=0.935 B=0.55 D=0.308'), ('7', 1, 9, 'A', '')) t(doc_key, page_number, cavity_count, shell_letter, dimensions)
-""")
-def x_table_rows(spark, d):
-    """Rows of geometry tables in both forms, and those made up for a document without a table."""
-    p = _pages(spark)
-    a = extract.geometry_rows(p.where("doc_key = '1'")).drop("ordinal")
-    b = extract.pcb_rows(p.where("doc_key = '10'"))
-    none = spark.createDataFrame([("7", 9), ("10", 21)], "doc_key string, cavity_count int")
-    rows = a.unionByName(extract.with_synthesized(b, none))
-    shown = F.array_join(F.transform(F.array_sort(F.map_entries("dimensions")), lambda x: F.concat(x["key"], F.lit("="), x["value"].cast("string"))), " ")
-    return rows.select("doc_key", "page_number", "cavity_count", "shell_letter", shown.alias("dimensions"))
-
-
-@query("""
-SELECT * FROM (VALUES ('2', 'mating_hardware', 2.5::DOUBLE, 2.5::DOUBLE, '#2-56', 'Metal shell'), ('2', 'mounting_hardware', 3.0::DOUBLE, 4.0::DOUBLE, NULL, NULL)) t(doc_key, context, min_in_lbf, max_in_lbf, thread, scope)
-""")
-def x_torque(spark, d):
-    return extract.torque_facts(_pages(spark)).select("doc_key", "context", "min_in_lbf", "max_in_lbf", "thread", "scope")
-
-
-@query("""
-SELECT * FROM (VALUES ('3', '01', 'M22759/11-26-9', 18.0::DOUBLE, '1,2', 'These connectors are fine.|For space applications only.', TRUE), ('3', '02', 'M22759/33-26-9', 0.5::DOUBLE, '1,7', 'These connectors are fine.', FALSE)) t(doc_key, wire_code, wire_spec, length_in, refs, notes, space_approved)
-""")
-def x_notes(spark, d):
-    """Wire options with their notes."""
-    text = "01 = M22759/11-26-9 18 inches long 1/ 2/ 02 = M22759/33-26-9 0.5 1/ 7/ 03 = no length 1/ These connectors are fine. 2/ Old note 2/ For space applications only. supersedes page 4"
-    pages = spark.createDataFrame([("3", 1, "01 = M22759/99-99-9 18 1/"), ("3", 6, text)], "doc_key string, page_number int, text string")
-    return extract.wire_options(pages).select("doc_key", "wire_code", "wire_spec", "length_in", F.array_join("note_refs", ",").alias("refs"), F.array_join("note_texts", "|").alias("notes"), "space_approved")
+# --- extraction
 
 
 @query(f"""
@@ -215,46 +149,6 @@ def x_attributes(spark, d):
     return configurations(spark, d).select("config_id", *[a[k].alias(k) for k in ("gender", "contact_type", "shell_material", "board_mount_style", "row_count", "current_rating")], F.array_join(extract.hardware_scopes(body), ",").alias("scopes"))
 
 
-# --- nested results, shown as strings
-
-
-def _listed(array, shown, sep=","):
-    return F.coalesce(F.array_join(F.transform(array, shown), sep), F.lit(""))
-
-
-@query("""
-SELECT * FROM (VALUES
-  ('2', 1, 251, 'MIL-DTL-83513/2H|REQUIREMENTS|A = 31|DIMENSION A .250 AND B = 1.125, A = 9.99. FIGURE 1. RECEPTACLE. FIGURE 2.', 'A=9.99,B=1.125', '9,15,21,25,31', 'M83513/02-AN', 'MIL-DTL-83513/2', 'Figure 1:Receptacle,Figure 2:'),
-  ('2', 6, 123, '', '', '', '', '', ''), ('10', 1, 134, 'NUMBER OF|CONTACTS A B D', '', '9,15', '', '', ''), ('1', 1, 62, '9 A .785 .408 .300 .299 .1', '', '9,15,51', '', '', '')
-) t(doc_key, page_number, text_length, headers, dimensions, cavities, parts, mates, figures)
-""")
-def x_page_summary(spark, d):
-    """What a page holds: headers, dimensions, cavity counts, part numbers, mating sheets and figures."""
-    dims_ = F.array_sort(F.map_entries("dimensions"))
-    return extract.page_summary(_pages(spark)).select(
-        "doc_key", "page_number", "text_length", F.array_join("headers", "|").alias("headers"), _listed(dims_, lambda x: F.concat(x["key"], F.lit("="), x["value"].cast("string"))).alias("dimensions"),
-        _listed("cavity_counts", lambda x: x.cast("string")).alias("cavities"), F.array_join("example_parts", ",").alias("parts"), F.array_join("mates_with", ",").alias("mates"),
-        _listed("figures", lambda x: F.concat(x["label"], F.lit(":"), F.coalesce(x["title"], F.lit("")))).alias("figures"),
-    )
-
-
-@query("""
-SELECT * FROM (VALUES
-  ('2', 'solder', 'M83513/02', 'insert_arrangement,shell_finish_code', 'A=9,B=15,C=21', 'C=Cadmium,A=Pure electrodeposited aluminum,K=Zinc nickel', '', ''),
-  ('10', 'pcb', 'M83513/10', 'insert_arrangement,termination_length_code,shell_finish_code,hardware_code', '', 'N=Electroless nickel', '01=0.109,02=0.14', 'N=No hardware or threaded insert,P=jackpost attach'),
-  ('1', 'solder', 'M83513/01', 'insert_arrangement,shell_finish_code', '', '', '', '')
-) t(doc_key, class, prefix, components, inserts, finishes, terminations, hardware)
-""")
-def x_pin_components(spark, d):
-    """How a document's part numbers are made up, with the codes of each place."""
-    pair = lambda code, value: lambda x: F.concat(x[code], F.lit("="), x[value].cast("string"))
-    return extract.pin_components(_pages(spark)).select(
-        "doc_key", "class", "prefix", F.array_join("components", ",").alias("components"), _listed("insert_arrangements", pair("insert_arrangement", "cavity_count")).alias("inserts"),
-        _listed("finishes", pair("code", "description")).alias("finishes"), _listed("termination_options", pair("code", "length_inches")).alias("terminations"),
-        _listed("hardware_options", pair("code", "description")).alias("hardware"),
-    )
-
-
 @query("""
 WITH w AS (SELECT item_id, unnest(string_split(text, ' ')) AS word, generate_subscripts(string_split(text, ' '), 1) AS i FROM benchmark)
 SELECT item_id::VARCHAR AS doc_key, 1 AS page_number, ((i - 1) // 5)::INT AS line_no, string_agg(word, ' ' ORDER BY i) AS line FROM w GROUP BY ALL
@@ -264,11 +158,3 @@ def x_word_lines(spark, d):
     w = table(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("doc_key"), F.lit(1).alias("page_number"), F.posexplode(F.split("text", " ")).alias("i", "word"))
     placed = w.select("doc_key", "page_number", "word", (F.floor(F.col("i") / 5) * 12.0).cast("double").alias("top"), ((F.col("i") % 5) * 40.0).alias("x0"))
     return extract.word_lines(placed)
-
-
-@query("SELECT * FROM (VALUES ('2', '12.1', 'Revision H, Amendment 4', '2023-03-08', 'H', 1), ('2', '11.1', 'Revision H', '2019-01-01', 'H', 0)) t(page, token, description, document_date, revision_letter, ordinal)")
-def x_revisions(spark, d):
-    """Revision rows of a page of history; the notice isn't one."""
-    html = "".join(f"<tr><td><a href=\"r?token={k}.1\">x</a></td><td>{text}</td><td>A</td><td>{date}</td></tr>" for k, text, date in ((11, "Revision H", "01-JAN-2019"), (12, "Revision H, Amendment 4", "08-MAR-2023"), (13, "Notice 1 - Validation", "02-FEB-2024")))
-    pages = spark.createDataFrame([("2", f"<table>{html}</table>")], "page string, html string")
-    return web.revision_entries(pages).withColumn("document_date", F.col("document_date").cast("string"))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..operators.relational import latest
+from ..sources.log import KeyedTable
 
 
 def read_events(spark: SparkSession, folder: str, schema: str, files_per_trigger: int = 1) -> DataFrame:
@@ -25,18 +26,24 @@ def sessions(events: DataFrame, at: str = "ts", key: str = "user_id", gap: str =
     return marked.groupBy(s.alias("s"), key).agg(F.count("*").alias("n")).select("s.start", "s.end", key, "n")
 
 
-def upsert_not_older(path: str, key: str, at: str, tie: str):
-    """A foreachBatch function: keeps the newest row of each key in versioned folders under `path`, older arrivals are dropped.
+def upsert_not_older(path: str, key: str, at: str, tie: str, buckets: int = 64):
+    """A foreachBatch function: keeps the newest row of each key in a `KeyedTable` at `path`; older arrivals change nothing.
 
-    Each batch writes folder v<batch>; a batch that is run again writes the same folder again, so results don't change.
+    A batch writes its own rows to the buckets that they touch, not the table. One that is run again after a restart is known by its number and left out.
+    `current` reads the table.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = latest(batch, [key], at, tie)
-        if batch_id > 0:
-            stored = spark.read.parquet(f"{path}/v{batch_id - 1}")
-            rows = latest(stored.unionByName(rows), [key], at, tie)
-        rows.write.mode("overwrite").parquet(f"{path}/v{batch_id}")
+        KeyedTable(batch.sparkSession, path, batch.schema, key, at, tie, buckets).add(batch, batch_id)
 
     return run
+
+
+def current(spark: SparkSession, path: str, schema: StructType, key: str, at: str, tie: str) -> DataFrame:
+    """The newest row of each key of a table that `upsert_not_older` keeps."""
+    return KeyedTable(spark, path, schema, key, at, tie).read()
+
+
+def run_once(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Takes in all that is there and appends what comes out as Parquet; a later call goes on from the checkpoint."""
+    stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()

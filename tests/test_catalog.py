@@ -197,27 +197,6 @@ def test_parity_checks(spark):
     assert "base has no effective facts" in state(legacy, resolved, more)
 
 
-def payloads(spark, version, keys=("a", "b")):
-    return {n: spark.createDataFrame([(k, version) for k in keys], f"{release.load_key(n)} string, version int") for n in release.LOAD_ORDER}
-
-
-def test_load_release(spark, tmp_path):
-    root = f"file://{tmp_path}/load"
-    dry = release.load_release(payloads(spark, 1), root, 1)
-    assert [(x["position"], x["n_rows"]) for x in dry.orderBy("position").collect()] == [(i, 2) for i in range(15)] and not (tmp_path / "load").exists()
-    release.load_release(payloads(spark, 1), root, 1, apply=True)
-    release.load_release(payloads(spark, 2, ("b", "c")), root, 2, apply=True)
-    release.load_release(payloads(spark, 2, ("b", "c")), root, 2, apply=True)  # done again
-    for name in ("publish.releases", release.POINTER):
-        got = release.loaded(spark, root, name, payloads(spark, 1)[name].schema)
-        assert sorted(map(tuple, got.collect())) == [("a", 1), ("b", 2), ("c", 2)]
-    none = payloads(spark, 3)
-    none.pop("ingest.documents")
-    for wrong, sequence, why in ((none, 3, "ingest.documents"), (payloads(spark, 3, ("a", "a")), 3, "twice"), (payloads(spark, 3, ("a", None)), 3, "null"), (payloads(spark, 1), 1, "below")):
-        with pytest.raises(ValueError, match=why):
-            release.load_release(wrong, root, sequence, apply=True)
-
-
 def test_documents_of_another_family_are_not_current(spark):
     docs = spark.createDataFrame([(1, "83513"), (2, "other"), (3, "83513")], "document_id int, spec_family string")
     configs = spark.createDataFrame([(1, "r1"), (2, "r1"), (3, "r2"), (1, "r1")], "document_id int, release_id string")
@@ -507,7 +486,7 @@ def test_streams(spark, tmp_path):
     stream = events.read_events(spark, folder, src.schema.simpleString()[7:-1].replace(":", " "))
     q = stream.writeStream.foreachBatch(events.upsert_not_older(out, "user_id", "ts", "event_id")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     q.awaitTermination()
-    last = spark.read.parquet(f"{out}/v2")
+    last = events.current(spark, out, src.schema, "user_id", "ts", "event_id")
     assert sorted(map(tuple, last.select("user_id", "event_id").collect())) == sorted(map(tuple, r.latest(src, ["user_id"], "ts", "event_id").select("user_id", "event_id").collect()))
     q = events.tumbling(stream).writeStream.format("memory").queryName("tumbling").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
