@@ -26,7 +26,6 @@ ORACLE_SQL = {
     "op5_mixing": mixing.ORACLE,
     "op7_warc": warc.ORACLE,
     "op8_near_dedup": near_dedup.ORACLE,
-    "op11_lm": lm.op11_lm,
     "op12_filter_audit": filter_audit.ORACLE,
     "op13_spelling": spelling.ORACLE,
 }
