@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._bytes import utf8
-from ._common import bounded_batches, materialize, small_side
+from ._common import bounded_batches, materialize, own_columns, small_side
 
 #: (modulus, base) of the two fingerprints; both moduli are primes under 2**31.
 FIELDS = ((2147483647, 1306215917), (2147483629, 1822093481))
@@ -177,7 +177,11 @@ def exact_duplicates(docs: DataFrame, fields=FIELDS, huge: int = HUGE) -> DataFr
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """`docs` with all its columns, one row of each group of equal texts: that with the largest doc_id."""
+    """`docs` with all its columns, one row of each group of equal texts: that with the largest doc_id.
+
+    Of rows that repeat this doc_id and the text, the one whose other columns, as JSON, come first stays, so runs agree. Null texts are empty;
+    a group without any doc_id keeps one row; an empty table gives no rows. Columns may have any names.
+    """
     decided = materialize(exact_duplicates(docs), "decided")
     key = ["doc_id", "text_sha256"]
     lost = decided.where("not kept").select(*key).distinct()
@@ -189,8 +193,13 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
 
     lost = small_side(lost)
     single = docs.join(lost, same(lost), "left_anti")
-    repeated = docs.join(twice, same(twice), "left_semi").withColumn("_sha", sha).dropDuplicates(["doc_id", "_sha"])
-    return single.unionByName(repeated.drop("_sha")) if not twice.isEmpty() else single
+    if twice.isEmpty():
+        return single
+    rows = docs.join(twice, same(twice), "left_semi")
+    own = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(own_columns(docs))])
+    others = [c.alias(f"c{i}") for i, c in enumerate(own_columns(docs, ("text",)))]
+    first = rows.groupBy(F.col("doc_id").alias("k1"), sha.alias("k2")).agg(F.min_by(own, F.to_json(F.struct(*others))).alias("row"))  # by partial minimums
+    return single.union(first.select("row.*").toDF(*docs.columns))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
