@@ -14,11 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._bytes import SPACE, _hash_block, mix, powers, utf8
+from ._common import materialize
 
 #: Words in a window; windows begin every STRIDE words, and the last one ends with the text.
 WINDOW, STRIDE = 32, 16
 #: At most about so many labelled documents of each class are learned from, chosen by a hash of doc_id.
 SAMPLE = 2000
+#: About so many bytes of their texts.
+MOST_BYTES = 1 << 26
 #: Parts of the sample; what is known of a word for a training document comes from the other parts.
 FOLDS = 4
 #: Character input: runs of so many bytes of a word with its edges marked.
@@ -434,16 +437,24 @@ def held_out() -> F.Column:
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
     """A model from labelled rows that aren't held out; None if there are none.
 
-    The fit is bounded: about `sample` whole documents of each class, picked by a hash of doc_id, come to the driver.
+    The fit is bounded: about `sample` whole documents of each class, picked by a hash of doc_id, and about MOST_BYTES of text in all come to the driver.
+    Labels that repeat a doc_id count once, as toxic if any says so, and so do rows: their smallest text is learned from.
     """
-    known = labels.where("toxic is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(~held_out())
-    counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect() if r["toxic"] in (0, 1)}
+    said = labels.where("toxic in (0, 1) and doc_id is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(~held_out())
+    known = said.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # two rows
     if not counts:
         return None
     draw = F.pmod(F.xxhash64(F.lit("toxic-sample"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     share = F.when(F.col("toxic") == 1, sample / counts.get(1, 1)).otherwise(sample / counts.get(0, 1))
-    picked = F.broadcast(known.where("toxic in (0, 1)").where(draw < share))  # two times `sample` rows
-    rows = docs.where("text is not null").select("doc_id", "text").join(picked, "doc_id").orderBy("doc_id", "text").collect()
+    picked = F.broadcast(known.where(draw < share))  # two times `sample` rows
+    rows = docs.where("text is not null").select("doc_id", "text").join(picked, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    rows = materialize(rows, "learned")
+    n_bytes = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    if n_bytes > MOST_BYTES:
+        again = F.pmod(F.xxhash64(F.lit("toxic-bytes"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
+        rows = rows.where(again < MOST_BYTES / n_bytes).where(F.octet_length("text") <= MOST_BYTES // 16)
+    rows = rows.orderBy("doc_id").collect()
     if not rows:
         return None
     prior = min(0.99, max(0.01, counts.get(1, 0) / sum(counts.values())))
@@ -519,6 +530,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from labels of those that aren't held out; null, empty, repeated and long texts as in `learn` and `score`."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     model = learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
