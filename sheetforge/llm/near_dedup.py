@@ -215,7 +215,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
     2. Each signature gives CHUNKS * PER_CHUNK keys: a chunk with one symbol left out. Pairs whose signatures
        differ in DISTANCE of the CHUNKS * PER_CHUNK symbols at most share a key (pigeonhole principle). At the
        similarity 0.75 a symbol differs with probability 0.25, so a linked pair is farther apart about once in
-       50,000 cases; more similar pairs far more rarely.
+       69,000 cases; more similar pairs far more rarely.
     3. In each bucket all members meet the smallest one first, never each other; confirmed links make components.
     4. Pairs across components in buckets that still hold several are compared too, in blocks, each pair in the first
        bucket that it shares. So no bucket is capped, and no link that could join two components is left out.

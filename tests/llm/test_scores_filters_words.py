@@ -1,5 +1,6 @@
-"""Language-model scores, the filter audit and spelling variants against plain brute force."""
+"""Language-model scores, the filter audit and spelling variants against plain brute force; corpus queries over the smallest tables."""
 
+import hashlib
 import math
 import os
 import random
@@ -14,7 +15,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sheetforge.llm import filter_audit, lm, spelling
+from sheetforge.llm import bpe, exact_dedup, filter_audit, lm, registry, spelling, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n bigint, word string, part string, row int, first string, A boolean, mask int, gid int, score double"
 
@@ -354,13 +355,69 @@ def test_spelling_query(spark, tmp_path):
     assert {tuple(r[c] for c in ("word", "form", "root", "n", "n_near", "form_n")) for r in got.values()} == plain_variants(count)
 
 
-@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the test tables aren't here")
-@pytest.mark.parametrize("module, name", [(filter_audit, "op12_filter_audit"), (spelling, "op13_spelling")])
-def test_given_tables(spark, module, name):
+FOLDER = "/root/testdata/sf0.001"
+given = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="the test tables aren't here")
+
+
+@given
+@pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
+def test_given_tables(spark, name):
+    """Every corpus query that SQL can express, over the smallest tables."""
     con = duckdb.connect()
-    for t in ("documents", "labels"):
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.001/{t}.parquet')")
-    want = con.execute(module.ORACLE)
+    for t in ("documents", "labels", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{FOLDER}/{t}.parquet')")
+    want = con.execute(registry.ORACLE_SQL[name])
     names = [x[0] for x in want.description]
-    out = getattr(module, name)(spark, "/root/testdata/sf0.001")
-    assert Counter(tuple(r) for r in out.select(*names).collect()) == Counter(want.fetchall()) != Counter()
+    plain = lambda rows: Counter(tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in rows)
+    out = registry.QUERIES[name](spark, FOLDER)
+    assert plain(tuple(r) for r in out.select(*names).collect()) == plain(want.fetchall()) != Counter()
+
+
+@given
+def test_token_queries(spark):
+    """op4 and op9 against the libraries, text by text."""
+    import public_tokenizers
+    import tokenizers
+
+    docs = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect())
+    words = tokenizers.Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    start, want = 0, {}
+    for d, t in docs:
+        ids = [*words.encode(t or "", add_special_tokens=False).ids, 1]
+        want[d] = (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    assert {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in registry.QUERIES["op4_token_store"](spark, FOLDER).collect()} == want
+    enc = bpe.encoding(public_tokenizers.path(bpe.RANKS), public_tokenizers.PATTERN)
+    ids = {d: np.array(enc.encode_ordinary(t or ""), "<u4").tobytes() for d, t in docs}
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in registry.QUERIES["op9_bpe"](spark, FOLDER).collect()}
+    assert got == {d: (len(ids[d]) // 4, hashlib.sha256(ids[d]).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()) for d, t in docs}
+
+
+# --- mended
+
+
+def test_repeated_rows_of_exact_duplicates(spark):
+    """Columns of any names stay, and of rows that repeat doc_id and text the same one stays in every order of rows."""
+    rows = [(1, "t", "b", 2), (1, "t", "a", 9), (1, "t", "a", 3), (2, "u", "z", 1), (None, "v", "q", 1), (None, "v", "p", 1)]
+    schema = "doc_id long, text string, _sha string, rep int"
+    want = [(1, "t", "a", 3), (2, "u", "z", 1), (None, "v", "p", 1)]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, schema).withColumnsRenamed({"rep": "_uid"}).withColumn("text_sha256", F.lit("x")).withColumn("a.b", F.lit(1))
+        out = exact_dedup.drop_exact_duplicates(docs)
+        assert out.columns == docs.columns
+        assert sorted((tuple(r)[:4] for r in out.collect()), key=str) == sorted(want, key=str)
+
+
+def test_toxicity_learns_from_a_bounded_sample(spark, monkeypatch):
+    """One labelled doc_id on thousands of rows is one text; bytes are bounded too."""
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, y, prior: seen.append((len(texts), sum(map(len, texts)), sorted(set(y.tolist())))))
+    some = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(some[0], f"text {i}") for i in range(5000)] + [(i, "word " * 50) for i in some[1:]]
+    labels = spark.createDataFrame([(i, i % 2) for i in some] + [(some[0], 1)] * 3000 + [(None, 1), (some[1], None)], "doc_id long, toxic int")
+    docs = documents(spark, rows)
+    toxicity.learn(docs, labels, 1000)
+    assert seen[-1][0] == len(some) and seen[-1][2] == [0, 1]
+    monkeypatch.setattr(toxicity, "MOST_BYTES", 4000)
+    toxicity.learn(docs, labels, 1000)
+    assert 0 < seen[-1][1] < 8000
