@@ -20,17 +20,17 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component stays: that with the smallest doc_id."""
+    """One document of each near-duplicate component stays: that with the smallest doc_id. Rows without doc_id or words stay; of rows that repeat a doc_id all stay or go."""
     return near_dedup.drop_near_duplicates(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it: rows repeat."""
+    """Every document as often as the mix takes it: rows repeat, and rows of one doc_id draw alike. Null is a source of its own; a source without words gives no rows."""
     return mixing.mixed_documents(docs)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row, repeated ones too; a null text counts as empty."""
     return bpe.round_trip(docs)
 
 
