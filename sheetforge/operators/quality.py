@@ -274,8 +274,14 @@ def golden_verdicts(cases: DataFrame, returned: DataFrame) -> DataFrame:
     return out.withColumn("verdict", F.when(~F.col("resolved"), "unresolved").when(wrong, "fail").when(noisy, "noisy_pass").otherwise("pass"))
 
 
+def verdict_cases(verdicts: DataFrame) -> DataFrame:
+    """(verdict, n, case_id): every case with how many have its verdict; counts are a row a verdict, and no ids are gathered."""
+    counts = verdicts.groupBy("verdict").agg(F.count("*").alias("n"))
+    return verdicts.select("verdict", "case_id").join(F.broadcast(counts), "verdict").select("verdict", "n", "case_id")  # five verdicts
+
+
 def verdict_summary(verdicts: DataFrame) -> DataFrame:
-    """Counts and sorted ids of each verdict."""
+    """Counts and sorted ids of each verdict, in one row: for a report of few cases. `verdict_cases` has no such bound."""
     return verdicts.groupBy("verdict").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("case_id")), ",").alias("case_ids"))
 
 

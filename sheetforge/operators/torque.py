@@ -6,12 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from .ranges import FEW, in_ranges
 from .relational import counts_with_zero, last_wins
 
 
 def by_rule(documents: DataFrame, rules: DataFrame, number: str) -> DataFrame:
-    """The rule whose range holds the document's number; documents without one stay, with nulls. Rules are few rows."""
-    return documents.join(F.broadcast(rules), F.col(number).between(F.col("lo"), F.col("hi")), "left").drop("lo", "hi")
+    """The rules whose range holds the document's number, a row for each; documents without one stay, with nulls. A few rules are broadcast, more are joined by blocks."""
+    if len(rules.select(F.lit(1)).head(FEW + 1)) <= FEW:
+        return documents.join(F.broadcast(rules), F.col(number).between(F.col("lo"), F.col("hi")), "left").drop("lo", "hi")
+    return in_ranges(documents, rules, number, how="left").drop("lo", "hi")
 
 
 def classify(documents: DataFrame, torque_rows: DataFrame, rules: DataFrame) -> DataFrame:

@@ -255,3 +255,9 @@ SELECT verdict, count(*) AS n, string_agg(case_id, ',' ORDER BY case_id) AS case
 """)
 def a_verdict_summary(spark, d):
     return quality.verdict_summary(table(spark, d, "part").select(F.when(F.col("p_size") > 25, "large").otherwise("small").alias("verdict"), F.col("p_partkey").cast("string").alias("case_id")))
+
+
+@query("WITH a AS (SELECT CASE WHEN p_size > 25 THEN 'large' ELSE 'small' END AS verdict, p_partkey::VARCHAR AS case_id FROM part) SELECT verdict, count(*) OVER (PARTITION BY verdict) AS n, case_id FROM a")
+def a_verdict_cases(spark, d):
+    """Every case with the number of those that have its verdict."""
+    return quality.verdict_cases(table(spark, d, "part").select(F.when(F.col("p_size") > 25, "large").otherwise("small").alias("verdict"), F.col("p_partkey").cast("string").alias("case_id")))

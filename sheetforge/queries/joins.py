@@ -260,6 +260,18 @@ def j_mates(spark, d):
     return search.mates_of_all(c, c).select("source_config_id", "config_id", "pairing", "shell_match", "place")
 
 
+@query(f"""
+WITH {_MATES_SQL}, owners AS (SELECT min(config_id) AS source_config_id FROM parts GROUP BY mate_numbers, cavity_count, shell_letter, gender, contact_type, hardware_ref)
+SELECT source_config_id, config_id, place::INT AS place FROM ranked SEMI JOIN owners USING (source_config_id)
+""")
+def j_mate_profiles(spark, d):
+    """Ranked mates of each profile, under the smallest part that has it: a row a pair of profiles' mates, not of parts."""
+    c = configurations(spark, d)
+    ranked, members = search.mates_by_profile(c, c)
+    least = members.groupBy("source_profile").agg(F.min("source_config_id").alias("source_config_id"))
+    return ranked.join(least, "source_profile").select("source_config_id", "config_id", "place")
+
+
 @query(f"""
 WITH {_MATES_SQL} SELECT source_config_id, config_id, 'Listed as a mating sheet; Same cavity count' || CASE WHEN shell_match THEN '; Same shell size' ELSE '' END || CASE WHEN og THEN '; Opposite gender' ELSE '' END
   || CASE WHEN oc THEN '; Opposite contact type' ELSE '' END || CASE WHEN rev <> '' THEN '; Active revision' ELSE '' END AS reasons FROM ranked

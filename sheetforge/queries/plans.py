@@ -79,6 +79,19 @@ def k_move_plan(spark, d):
     return store.move_plan(arriving.select("path", want.alias("want")), "path", "want", stored).select("source", "path", "action")
 
 
+@query("""
+SELECT 'docs/' || doc_id AS source, CASE WHEN (doc_id // 5) % 3 = 0 THEN 'park' WHEN (doc_id // 5) % 3 = 2 THEN 'conflict' WHEN doc_id % 5 = 0 THEN 'move' ELSE 'park' END AS action FROM documents WHERE NOT ((doc_id // 5) % 3 = 2 AND doc_id % 5 = 4)
+""")
+def k_dependent_moves(spark, d):
+    """Documents in fives: cycles, chains to a free place, and chains that end at a file which stays, so that none of them can move."""
+    k = F.col("doc_id")
+    docs, g = tables.table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")), F.floor(k / 5) % 3
+    at = lambda n: F.concat(F.lit("docs/"), n.cast("string"))
+    onward = F.when(k % 5 < 4, at(k + 1)).when(g == 0, at(k - 4)).when(g == 1, F.concat(F.lit("free/"), k.cast("string"))).otherwise(at(k))
+    stored = docs.select(at(k).alias("path"), F.sha2(F.concat(k.cast("string"), F.lit(":"), "text"), 256).alias("checksum"))
+    return store.dependent_move_plan(docs.select(at(k).alias("have"), onward.alias("want")), "have", "want", stored, scratch(spark)).select("source", "action")
+
+
 @query("""
 SELECT * FROM (VALUES ('a first upload', 'add', 'done', 2), ('the same again', 'keep', 'skipped', 2), ('a file is moved', 'move', 'done', 1), ('two files are removed', 'remove', 'done', 2), ('a dry run', 'add', 'planned', 2)) t(step, action, outcome, n)
 """)

@@ -76,6 +76,55 @@ def move_plan(docs: DataFrame, actual: str, desired: str, stored: DataFrame) ->
     return _planned(j, action, F.lit(None).cast("string"))
 
 
+#: Files that another move's file takes the place of wait here; Spark doesn't list folders that begin like this.
+PARKED = "_moving"
+
+
+def dependent_move_plan(docs: DataFrame, actual: str, desired: str, stored: DataFrame, work: str) -> DataFrame:
+    """As `move_plan`, for moves that wait for each other: chains, swaps and longer cycles are carried out by one `apply_moves`.
+
+    A file whose place another move wants is `park`ed: it goes to a place of its own first (`archive`), so that every target is free when files go to their places,
+    however long the chain. A place stays taken if its file doesn't move, and what waits for it, near or far, is a `conflict` too: that is followed by
+    doubling pointers over narrow tables in the folder `work`.
+    """
+    spark = docs.sparkSession
+    plan = move_plan(docs, actual, desired, stored)
+    forked = plan.groupBy("source").agg((F.count("*") > 1).alias("_forked"))
+    asked = plan.groupBy("path").agg((F.min("checksum") != F.max("checksum")).alias("_several"), (F.count("*") > 1).alias("_shared"))
+    rows = plan.join(forked, "source").join(asked, "path")
+    # what may move, if its target is or becomes free; of equal files for one path all may
+    sound = F.col("checksum").isNotNull() & ~F.col("_forked") & ~F.coalesce("_several", F.lit(False))
+    rows = rows.withColumn("_sound", sound)
+    taken = rows.where(F.col("_sound") & F.col("old_checksum").isNotNull() & (F.col("old_checksum") != F.col("checksum"))).select("source", F.col("path").alias("next"))
+    movers = rows.where("_sound").select(F.col("source").alias("next"), F.lit(True).alias("moves"))
+    links = taken.join(movers, "next", "left").select("source", F.when(F.col("moves"), F.col("next")).alias("next"), F.col("moves").isNull().alias("blocked"))
+    path = f"{work.rstrip('/')}/waiting-{uuid.uuid4().hex}"
+    links.write.parquet(f"{path}/0")
+    links = spark.read.parquet(f"{path}/0")
+    for i in range(1, max(2, links.count().bit_length() + 2)):
+        far = links.select(F.col("source").alias("next"), F.col("next").alias("_far"), F.col("blocked").alias("_stuck"))
+        links.join(far, "next", "left").select("source", F.col("_far").alias("next"), (F.col("blocked") | F.coalesce("_stuck", F.lit(False))).alias("blocked")).write.parquet(f"{path}/{i}")
+        links = spark.read.parquet(f"{path}/{i}")
+        if links.where("next is not null").isEmpty():
+            break
+    free = rows.join(links.select("source", "blocked"), "source", "left")
+    action = F.when(F.col("checksum").isNull(), "missing").when(~F.col("_sound") | F.coalesce("blocked", F.lit(False)), "conflict").otherwise("move")
+    free = free.withColumn("action", action)
+    wanted = free.where("action = 'move'").select(F.col("path").alias("source"), F.lit(True).alias("_wanted")).distinct()
+    place = F.concat(F.lit(f"{PARKED}/"), F.substr(F.sha2(F.concat_ws("\n", "source", "path"), 256), F.lit(1), F.lit(24)))
+    out = free.join(wanted, "source", "left").withColumn("action", F.when((F.col("action") == "move") & F.col("_wanted"), "park").otherwise(F.col("action")))
+    # no bytes are in the way when files go to their places, so nothing old is named
+    return out.withColumn("archive", F.when(F.col("action") == "park", place)).withColumn("old_checksum", F.lit(None).cast("string")).select(*PLAN)
+
+
+def apply_moves(plan: DataFrame, root: str, report: str, apply: bool = False) -> DataFrame:
+    """Carries out a `dependent_move_plan`: all parked files first, then every file to its place. It can be done again after a cut at any point."""
+    if not apply:
+        return apply_plan(plan, root, report)
+    apply_plan(plan.where("action = 'park'"), root, f"{report}/parked", True).count()
+    return apply_plan(plan.withColumn("action", F.when(F.col("action") == "park", "unpark").otherwise(F.col("action"))), root, f"{report}/moved", True)
+
+
 def remove_plan(paths: DataFrame, stored: DataFrame) -> DataFrame:
     """A plan that removes paths: `remove`, or `missing`."""
     rows = paths.select("path").where("path is not null").distinct()
@@ -148,6 +197,19 @@ def _carried_out(root: str, action: str, path: str, source: str | None, archive:
         if _sum(at(source)) == checksum:
             _delete(at(source))
         return "done"
+    if action == "park":
+        if _sum(at(path)) != checksum and not _copied(at(source), at(archive), checksum):
+            return "source changed"
+        if _sum(at(archive)) == checksum and _sum(at(source)) == checksum:
+            _delete(at(source))
+        return "done"
+    if action == "unpark":
+        if _sum(at(path)) not in (None, checksum):
+            return "changed since"
+        if not _copied(at(archive), at(path), checksum):
+            return "source changed"
+        _delete(at(archive))
+        return "done"
     if action == "remove":
         if _sum(at(path)) not in (None, old):
             return "changed since"

@@ -36,11 +36,17 @@ class TableQuery:
     def select(self, *columns: Column | str) -> DataFrame:
         return self.rows.where(self._where()).select(*(columns or ("*",)))
 
+    def _whole(self, what: str) -> None:
+        if self.met:
+            raise ValueError(f"{what} takes no equalities")
+
     def insert(self, more: DataFrame) -> DataFrame:
+        self._whole("an insert")
         return self.rows.unionByName(more)
 
     def upsert(self, arriving: DataFrame, *keys: str) -> DataFrame:
         """Arriving rows, one a key, take the place of those with their key."""
+        self._whole("an upsert")
         return self.rows.join(arriving.select(*keys), list(keys), "left_anti").unionByName(arriving)
 
     def delete(self) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Callable, Iterator
 from urllib.parse import urljoin
@@ -23,7 +24,7 @@ PAUSE = 0.75
 
 
 def fetch(url: str, timeout: float = 60, attempts: int = ATTEMPTS, opener=None, wait=time.sleep, headers: dict | None = None) -> bytes | None:
-    """The body of a page: retried on the statuses above with growing pauses; None if it doesn't exist. Certificates are checked."""
+    """The body of a page: retried on the statuses above, timeouts and broken connections, with growing pauses; None if it doesn't exist. Certificates are checked."""
     import urllib.error
     import urllib.request
 
@@ -37,6 +38,9 @@ def fetch(url: str, timeout: float = 60, attempts: int = ATTEMPTS, opener=None,
                 return None
             if e.code not in RETRIED or n == attempts - 1:
                 raise
+        except (urllib.error.URLError, TimeoutError, ConnectionError):  # no answer, or a broken one
+            if n == attempts - 1:
+                raise
         wait(1.5 * (n + 1))
     return None
 
@@ -78,6 +82,96 @@ class WebPages(DataSource):
         return _PageReader(self.options)
 
 
+class _SearchReader(DataSourceReader):
+    """A search is a state that goes from page to page, so one search is one partition; several searches go on at once, `parallel` at most."""
+
+    def __init__(self, options: dict):
+        self.url, self.terms = options["url"], [x for x in options["terms"].split("\n") if x.strip()]
+        self.field, self.pause = options.get("field", "DocumentIDTextBox"), float(options.get("pause", PAUSE))
+        self.parallel, self.most = int(options.get("parallel", 4)), int(options.get("mostPages", 1000))
+
+    def partitions(self) -> list[InputPartition]:
+        """The searches are dealt over `parallel` partitions, so that the site never has more askers than that."""
+        return [_Url(self.terms[i :: self.parallel]) for i in range(min(self.parallel, len(self.terms)))] or [_Url([])]
+
+    def read(self, partition: _Url) -> Iterator[tuple]:
+        for n, term in enumerate(partition.urls):
+            if n:
+                time.sleep(self.pause)
+            yield from self._search(term)
+
+    def _search(self, term: str) -> Iterator[tuple]:
+        import http.cookiejar
+        import urllib.request
+        from urllib.parse import urlencode
+
+        jar = urllib.request.HTTPCookieProcessor(http.cookiejar.CookieJar())  # the site's own state, kept over the pages of one search
+        opener, ordinal, seen = urllib.request.build_opener(jar).open, 0, set()
+        url = f"{self.url}?{urlencode({self.field: term})}"
+        for page in range(self.most):
+            if page:
+                time.sleep(self.pause)
+            body = fetch(url, opener=opener)
+            if body is None:
+                return
+            html, mark = body.decode("utf-8", "replace"), hashlib.sha256(body).digest()
+            if mark in seen:  # the site goes round
+                return
+            seen.add(mark)
+            for cells, href in grid(html):
+                yield term, page, ordinal, cells, href
+                ordinal += 1
+            if (onward := next_page(html)) is None:
+                return
+            url = urljoin(url, onward)
+
+
+class GridSearch(DataSource):
+    """spark.read.format("grid_search").options(url=, terms=one a line, field=, pause=, parallel=): (term, page, ordinal, cells, href).
+
+    The search box is filled with each term, and the result's pages are followed to the one without a next page, or one seen before. Rows keep their order
+    within a search. `grid_rows` makes documents of them.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "grid_search"
+
+    def schema(self) -> str:
+        return "term string, page int, ordinal int, cells array<string>, href string"
+
+    def reader(self, schema) -> DataSourceReader:
+        return _SearchReader(self.options)
+
+
+def grid(html: str) -> Iterator[tuple[list[str], str | None]]:
+    """The cells' texts of each row of a result grid, and the row's first link."""
+    import html as entities
+    import re
+
+    for row in re.findall(r'(?is)<tr[^>]*class="[^"]*\bgrid_(?:item|alternate)\b[^"]*"[^>]*>(.*?)</tr>', html):
+        cells = [" ".join(entities.unescape(re.sub(r"(?s)<[^>]+>", "", c)).split()) for c in re.findall(r"(?is)<td[^>]*>(.*?)</td>", row)]
+        link = re.search(r'(?i)<a\s[^>]*href="([^"]*)"', row)
+        yield cells, entities.unescape(link[1]) if link else None
+
+
+def next_page(html: str) -> str | None:
+    """Where the next page of a result is."""
+    import html as entities
+    import re
+
+    for attributes in re.findall(r"(?i)<a\s([^>]*)>", html):
+        if re.search(r"""(?i)\brel=["']?next\b""", attributes) and (link := re.search(r'(?i)\bhref="([^"]*)"', attributes)):
+            return entities.unescape(link[1])
+    return None
+
+
+def register(spark) -> None:
+    """Makes the formats `web_pages` and `grid_search` known to a session."""
+    spark.dataSource.register(WebPages)
+    spark.dataSource.register(GridSearch)
+
+
 def links(html: Column | str) -> Column:
     """array<struct<href, text>> of the anchors of a page, in order."""
     hrefs = F.regexp_extract_all(t.col(html), F.lit(r'<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'), F.lit(1))
@@ -96,6 +190,13 @@ def grid_rows(cells: DataFrame, family: str = r"\d{5}") -> DataFrame:
     return latest(rows.withColumn("doc_date", month_date("doc_date_text")), ["document_key"], "doc_date", "ordinal")
 
 
+def found_documents(found: DataFrame, family: str = r"\d{5}") -> DataFrame:
+    """Documents of a `grid_search`: the latest by date of each key over all its terms, the first of equals; a row without an ident number in its link is none."""
+    ident = t.blank_to_null(F.regexp_extract("href", r"(?i)ident_number=(\d+)", 1))
+    cell = lambda i: F.get("cells", F.lit(i))
+    return grid_rows(found.select(F.struct("term", "ordinal").alias("ordinal"), F.array(cell(0), cell(1), F.upper(cell(2)), cell(5), cell(4), ident).alias("cells")), family)
+
+
 def is_other_notice(description: Column | str) -> Column:
     """Notices, validations and administrative rows aren't revisions."""
     return t.col(description).rlike(r"(?i)\b(?:notice|validation|administrative)\b")

@@ -1,8 +1,10 @@
 """Scans behind a service, logs and loads, streams with state, pages, ranges, indexes and differences, against plain loops."""
 
+import io
 import json
 import random
 import threading
+import urllib.error
 from collections import Counter
 from datetime import datetime, timedelta
 
@@ -14,7 +16,7 @@ from sheetforge.operators import diffs, extract, inverted, paging, ranges
 from sheetforge.operators import relational as r
 from sheetforge.plans import payloads, release
 from sheetforge.queries.served import Service
-from sheetforge.sources import rest
+from sheetforge.sources import rest, store, tables, web
 from sheetforge.sources.log import KeyedTable, Log, Taken
 from sheetforge.streaming import events, modes
 
@@ -478,3 +480,154 @@ def test_tables_with_very_long_lines(spark):
     assert [(x["cavity_count"], x["dimensions"]["A"]) for x in extract.geometry_rows(pages).collect()] == [(9, 0.785)]
     pages = spark.createDataFrame([("10", 1, f"NUMBER OF\nCONTACTS A B D\n9 {far} .785 .400 .308")], "doc_key string, page_number int, text string")
     assert [(x["cavity_count"], x["dimensions"]["D"]) for x in extract.pcb_rows(pages).collect()] == [(9, 0.308)]
+
+
+# --- moves that wait for each other
+
+
+def bytes_of(root):
+    return {str(p.relative_to(root)): p.read_text() for p in root.rglob("*") if p.is_file() and not any(x.startswith((".", "_")) for x in p.relative_to(root).parts)}
+
+
+@pytest.mark.parametrize("cut", [None, 0, 1, 2, 3, 5, 8, 11])
+def test_dependent_moves(spark, tmp_path, monkeypatch, cut):
+    """A swap, a chain, a cycle of three and what waits for a file that stays; also after a cut behind any number of steps."""
+    root = tmp_path / "store"
+    have = {"a": "A", "b": "B", "c1": "1", "c2": "2", "c3": "3", "x": "X", "y": "Y", "z": "Z", "w1": "W", "w2": "V", "stay": "S", "f": "F", "same": "E", "equal": "E"}
+    want = {"a": "b", "b": "a", "c1": "c2", "c2": "c3", "c3": "free/c4", "x": "y", "y": "z", "z": "x", "w1": "w2", "w2": "stay", "f": "f", "gone": "g", "same": "equal"}
+    for name, text in have.items():
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text(text)
+    docs = spark.createDataFrame(list(want.items()), "have string, want string")
+    plan = store.dependent_move_plan(docs, "have", "want", store.stored(spark, str(root)), str(tmp_path / "work"))
+    plan = spark.createDataFrame(plan.collect(), plan.schema)
+    assert {x["source"]: x["action"] for x in plan.collect()} == {"a": "park", "b": "park", "c1": "move", "c2": "park", "c3": "park", "x": "park", "y": "park", "z": "park", "w1": "conflict", "w2": "conflict", "gone": "missing", "same": "move"}
+    dry = store.apply_moves(plan, str(root), str(tmp_path / "none"))
+    assert {x["outcome"] for x in dry.collect()} == {"planned"} and bytes_of(root) == have
+    if cut is not None:  # some steps of the two rounds, one by one
+        rows = [tuple(x) for x in plan.collect()]
+        steps = [("park", *x[1:]) for x in rows if x[0] == "park"] + [("unpark" if x[0] == "park" else x[0], *x[1:]) for x in rows]
+        for action, path, source, archive, checksum, old in steps[:cut]:
+            store._carried_out(str(root), action, path, source, archive, checksum, old)
+    for n in range(2):  # and done again
+        out = store.apply_moves(plan, str(root), str(tmp_path / f"report{n}"), apply=True)
+        assert {x["outcome"] for x in out.where("action in ('move', 'unpark')").collect()} == {"done"}
+    after = {"b": "A", "a": "B", "c2": "1", "c3": "2", "free/c4": "3", "y": "X", "z": "Y", "x": "Z", "w1": "W", "w2": "V", "stay": "S", "f": "F", "equal": "E"}
+    assert bytes_of(root) == after and not [p for p in (root / store.PARKED).rglob("*") if p.is_file()]
+
+
+# --- searches
+
+
+def test_grid_search(spark):
+    """A search box, pages with a session, a next link, and the latest document of each key; the first of equals."""
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+    from urllib.parse import parse_qs, urlsplit
+
+    def row(doc, status, date, title, ident, kind="item"):
+        return f'<tr class="grid_{kind}"><td>x</td><td> {doc} </td><td>{status}</td><td></td><td>{date}</td><td><b>{title}</b> &amp; more</td><td><a href="d.aspx?ident_number={ident}&amp;x=1">d</a></td></tr>'
+
+    pages = [
+        row("MIL-DTL-83513/2H", "A", "01-JAN-2020", "old", 1) + row("MIL-DTL-83513G", "a", "02-FEB-2020", "base", 2, "alternate") + row("MIL-DTL-83513/3G", "I", "02-FEB-2020", "inactive", 3),
+        row("MIL-DTL-83513/2J", "A", "01-JAN-2021", "new", 4) + row("MIL-DTL-83513/2J", "A", "01-JAN-2021", "twin", 5) + "<tr class='grid_item'><td>broken",
+        row("MIL-PRF-1/2J", "A", "01-JAN-2021", "other", 6) + row("MIL-DTL-83513/10A(1)", "A", "05-MAY-2019", "ten", "none"),
+    ]
+    seen, busy = [], Counter({"/s": 1})
+
+    class Site(BaseHTTPRequestHandler):
+        def do_GET(self):
+            asked = parse_qs(urlsplit(self.path).query)
+            n, term = int(asked.get("page", ["0"])[0]), asked.get("box", [""])[0]
+            seen.append((term, n, self.headers.get("Cookie")))
+            if busy["/s"]:
+                busy["/s"] -= 1
+                return self.send_error(503)
+            onward = f'<a class="n" rel="next" href="?box={term}&amp;page={n + 1 if n < 2 else 0}">next</a>'
+            body = f"<table>{pages[n] if term == '83513' else ''}</table>{onward if term == '83513' else ''}".encode()
+            self.send_response(200)
+            self.send_header("Set-Cookie", f"session={term}")
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *args):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Site)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        web.register(spark)
+        url = f"http://127.0.0.1:{server.server_address[1]}/s"
+        search = lambda terms: spark.read.format("grid_search").options(url=url, terms=terms, field="box", pause=0, parallel=2).load()
+        rows = search("83513\nnothing").cache()
+        assert sorted((x["page"], x["ordinal"]) for x in rows.collect()) == [(0, 0), (0, 1), (0, 2), (1, 3), (1, 4), (2, 5), (2, 6)]
+        found = {x["document_key"]: (x["doc_id"], x["title"], x["ident"]) for x in web.found_documents(rows).collect()}
+        assert found == {"base": ("MIL-DTL-83513G", "base & more", "2")} | {"2": ("MIL-DTL-83513/2J", "new & more", "4")}
+        asked = [x for x in seen if x[0] == "83513"]
+        assert [n for _, n, _ in asked] in ([0, 0, 1, 2, 0], [0, 1, 2, 0], [0, 0, 1, 2], [0, 1, 2]) and asked[-1][2] == "session=83513"
+        assert search("83513\nb\nc\nd").rdd.getNumPartitions() == 2
+        got = spark.read.format("web_pages").options(urls=f"{url}?box=1 {url}?box=2", pause=0, urlsPerPartition=1).load()
+        assert got.rdd.getNumPartitions() == 2 and all(x["html"] == "<table></table>" for x in got.collect())
+    finally:
+        server.shutdown()
+
+
+def test_fetch_tries_broken_connections_again():
+    calls = []
+
+    def opener(request, timeout):
+        calls.append(1)
+        if len(calls) < 3:
+            raise TimeoutError if len(calls) == 1 else ConnectionResetError
+        return io.BytesIO(b"ok")
+
+    assert web.fetch("http://x/", opener=opener, wait=lambda s: None) == b"ok"
+    with pytest.raises(urllib.error.URLError):
+        web.fetch("http://x/", opener=lambda *a, **k: (_ for _ in ()).throw(urllib.error.URLError("no host")), wait=lambda s: None)
+
+
+# --- a catalog over tables
+
+
+def test_table_catalog(spark, tmp_path):
+    """The same answers with and without lists."""
+    from sheetforge.operators import search
+
+    rows = [(str(i), "02" if i % 2 else "03", "T", 9, "A", "K", "Plug" if i % 2 else "Receptacle", "Pin" if i % 3 else "Socket", f"part {i}%", "DESC", f"M83513/02-A{i}", "S", "H", 1, ["MIL-DTL-83513/2", "MIL-DTL-83513/3"], None, "{}") for i in range(30)]
+    names = "config_id slash_sheet connector_type cavity_count:int shell_letter finish_code gender contact_type name description example_pin spec_sheet revision source_page:int mates_with:array<string> hardware_ref attributes"
+    configs = spark.createDataFrame(rows, ", ".join(n.replace(":", " ") if ":" in n else f"{n} string" for n in names.split()))
+    wires = spark.createDataFrame([("4", "01", "w")], "config_id string, wire_code string, wire_spec string")
+    effective, raw = spark.createDataFrame([("S", "3 in-lbf")], "spec_sheet string, torque_text string"), spark.createDataFrame([("02", "raw")], "slash_sheet string, torque_text string")
+    plain = search.TableCatalog(configs, wires, effective, raw)
+    listed = search.TableCatalog(configs, wires, effective, raw, inverted.substring_index(configs, "config_id", list(search.SEARCHED), f"{tmp_path}/i", 4))
+    assert isinstance(plain, search.Catalog)
+    for filters in ({"query": "PART 1"}, {"query": "1%", "limit": 5}, {"query": "5% "}, {"query": "zzzz"}, {"gender": "plug", "query": "a2"}, {"slash_sheet": 2, "limit": 3, "offset": 20}, {}):
+        one, two = ([tuple(x) for x in c.search_raw(**filters).select("config_id", "total").collect()] for c in (plain, listed))
+        assert one == two
+    assert [x["total"] for x in listed.search_raw(query="part 1", offset=50).collect()] == [11]
+    assert plain.search_grouped(query="part").collect() == listed.search_grouped(query="part").collect() != []
+    assert plain.part_detail("4").first()["torque"] == ["3 in-lbf"] and plain.part_detail("none").count() == 0
+    assert plain.mates_raw("4").count() == 30 - 0 and plain.mates_grouped("4").count() == 2
+
+
+def test_many_rules(spark):
+    """Hundreds of rules, also overlapping: a row for each that holds the number."""
+    from sheetforge.operators import torque
+
+    rules = spark.createDataFrame([(i, i + 2, f"p{i}") for i in range(0, 300, 2)], "lo int, hi int, profile_code string")
+    docs = spark.createDataFrame([("a", 4), ("b", 5), ("c", None), ("d", 999)], "name string, n int")
+    got = sorted((x["name"], x["profile_code"] or "") for x in torque.by_rule(docs, rules, "n").collect())
+    assert got == [("a", "p2"), ("a", "p4"), ("b", "p4"), ("c", ""), ("d", "")]
+
+
+def test_verdict_cases(spark):
+    from sheetforge.operators import quality
+
+    df = spark.createDataFrame([("pass", "a"), ("pass", "b"), ("fail", "c")], "verdict string, case_id string")
+    assert sorted(map(tuple, quality.verdict_cases(df).collect())) == [("fail", 1, "c"), ("pass", 2, "a"), ("pass", 2, "b")]
+
+
+def test_chains_refuse_what_they_would_ignore(spark):
+    q = tables.TableQuery(spark.createDataFrame([(1, "a")], "k int, v string")).eq("v", "a")
+    for wrong in (lambda: q.insert(q.rows), lambda: q.upsert(q.rows, "k")):
+        with pytest.raises(ValueError, match="equalities"):
+            wrong()
