@@ -43,7 +43,7 @@ def _runs(least: int, typo: int | None):
     pattern = re.compile(rb"[a-z\xc0-\xff]{%d,}" % least)
 
     def rows(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([w.decode("latin-1") for w in counts]), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+        return pa.RecordBatch.from_arrays([pa.array([w.decode("latin-1") for w in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
