@@ -18,6 +18,7 @@ def records(spark: SparkSession, d: str) -> DataFrame:
     """A record for every supplier: its kind, inserts and finishes follow from its numbers."""
     s, k = table(spark, d, "supplier"), F.col("s_suppkey").cast("int")
     key, one = k.cast("string"), lambda c: F.lit(c).cast("string")
+    digits = F.lpad(key, F.greatest(F.lit(2), F.length(key)), "0")  # a plain lpad cuts numbers from 100 on
     kind = F.when(k % 10 == 0, "base_spec").when(k % 10 == 5, "mounting_hardware").when(k % 10 == 6, "pcb_tail").otherwise("plug_receptacle")
     cavities = F.array(*[F.lit(c) for c in _CAVITIES])
     inserts = F.transform(F.sequence(F.lit(1), k % 4 + 2), lambda i: F.struct(F.substr(F.lit(_LETTERS), i, F.lit(1)).alias("insert_arrangement"), F.element_at(cavities, i).alias("cavity_count")))
@@ -27,7 +28,7 @@ def records(spark: SparkSession, d: str) -> DataFrame:
     empty = lambda t: F.array().cast(t)
     columns = {
         "doc_key": key, "document_type": kind, "spec_sheet": F.concat(F.lit("MIL-DTL-83513/"), key, F.lit("H")), "title": F.col("s_name"), "revision": F.lit("H"), "source_url": one(None),
-        "confidence_score": F.lit(1.0), "prefix": F.concat(F.lit("M83513/"), F.lpad(key, 2, "0")), "components": F.array(F.lit("insert_arrangement"), F.lit("shell_finish_code")),
+        "confidence_score": F.lit(1.0), "prefix": F.concat(F.lit("M83513/"), digits), "components": F.array(F.lit("insert_arrangement"), F.lit("shell_finish_code")),
         "insert_arrangements": inserts, "finishes": listed, "gender": F.when(k % 2 == 0, "Plug").otherwise("Receptacle"), "contact_type": F.lit("Pin"), "termination_style": F.lit("Solder"),
         "class": F.lit("M"), "shell_material": F.lit("Metal"), "polarization": one(None), "current_rating": F.lit(3.0), "mates_with": mates,
         "hardware_ref": F.when(k % 3 != 0, "MIL-DTL-83513/5"), "termination_options": empty("array<struct<code:string,length_inches:double>>"),
