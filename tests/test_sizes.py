@@ -43,3 +43,13 @@ def test_fives_that_are_not_whole(spark, tmp_path):
     folder, con = tables(tmp_path, documents="SELECT * FROM given_documents WHERE doc_id < 147 AND doc_id NOT IN (3, 5, 11, 14, 15, 16, 17, 18)")
     assert con.execute("SELECT max(doc_id) FROM documents").fetchone()[0] % 5 == 1
     same(spark, "k_dependent_moves", folder, con)
+
+
+def test_gap_runs_move_rows_once(spark):
+    """Repeated values give the same runs, without a step of their own."""
+    from sheetforge.operators import relational
+
+    df = spark.createDataFrame([(1, v) for v in (3, 3, 3, 9, 9, 1, None)], "k int, v int")
+    runs = relational.gap_runs(df, "k", "v")
+    assert sorted(map(tuple, runs.collect())) == [(1, 2, 2), (1, 4, 8)]
+    assert runs._jdf.queryExecution().sparkPlan().toString().count("Exchange") == 0 and runs._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange") == 1
