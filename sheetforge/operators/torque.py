@@ -105,6 +105,22 @@ def effective(resolved: DataFrame, profiles: DataFrame, facts: DataFrame) -> Dat
     return resolved.where("profile_id is not null").join(active, "profile_id").join(own, "profile_id")
 
 
+def effective_by_sheet(resolved: DataFrame, profiles: DataFrame, facts: DataFrame, largest: int) -> DataFrame:
+    """(slash_sheet, n_facts, facts): what `effective` has for each sheet, from counts of documents and of facts by profile.
+
+    facts is the sorted array of the sheet's distinct fact keys if none of its profiles has more than `largest` of them, else null: such a sheet has more than `largest`.
+    """
+    active = profiles.where("is_active").select("profile_id")
+    documents = resolved.where("profile_id is not null").join(active, "profile_id").groupBy("slash_sheet", "profile_id").agg(F.count("*").alias("_docs"))
+    sizes = facts.groupBy("profile_id").agg(F.count("*").alias("_n"), F.count_distinct("fact_key").alias("_keys"))
+    both = documents.join(sizes, "profile_id")
+    sheets = both.groupBy("slash_sheet").agg(F.sum(F.col("_docs") * F.col("_n")).alias("n_facts"), F.max("_keys").alias("_most"))
+    small = both.where(F.col("_keys") <= largest).join(sheets.where(F.col("_most") <= largest).select("slash_sheet"), "slash_sheet", "left_semi").select("slash_sheet", "profile_id")
+    few = facts.join(sizes.where(F.col("_keys") <= largest), "profile_id", "left_semi").select("profile_id", "fact_key").distinct()
+    sets = small.join(few, "profile_id").groupBy("slash_sheet").agg(F.array_sort(F.collect_set("fact_key")).alias("facts"))
+    return sheets.select("slash_sheet", "n_facts").join(sets, "slash_sheet", "left")
+
+
 def fact_counts(profiles: DataFrame, facts: DataFrame) -> DataFrame:
     return counts_with_zero(profiles, facts, "profile_id", "fact_count")
 

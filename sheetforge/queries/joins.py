@@ -137,8 +137,8 @@ def q_parity(spark, d):
     n = F.regexp_extract("spec_sheet", "([0-9]+)$", 1).cast("int") - 1
     sheet = F.when(n == 0, "base").otherwise(F.lpad(n.cast("string"), 2, "0"))
     resolved = torque.resolve(status, mapping, profiles, facts, evidence).withColumn("slash_sheet", sheet).drop("is_active")
-    effective = torque.effective(resolved, profiles, facts)
-    return quality.parity_checks(evidence.select(sheet.alias("slash_sheet")).distinct(), resolved, effective).select("name", "status")
+    found = torque.effective_by_sheet(resolved, profiles, facts, quality.PARITY_FACTS)
+    return quality.parity_by_sheet(evidence.select(sheet.alias("slash_sheet")).distinct(), resolved, found).select("name", "status")
 
 
 @query(f"""

@@ -53,3 +53,18 @@ def test_gap_runs_move_rows_once(spark):
     runs = relational.gap_runs(df, "k", "v")
     assert sorted(map(tuple, runs.collect())) == [(1, 2, 2), (1, 4, 8)]
     assert runs._jdf.queryExecution().sparkPlan().toString().count("Exchange") == 0 and runs._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange") == 1
+
+
+def test_parity_has_no_row_for_each_document_and_fact(spark, tmp_path):
+    """Ten thousand documents by ten thousand facts of a profile are counted, not spelled out."""
+    from pyspark.sql import functions as F
+
+    from sheetforge.operators import quality, torque
+
+    resolved = spark.range(100_000).select(F.concat(F.lit("S"), "id").alias("spec_sheet"), F.when(F.col("id") % 2 == 0, "05").otherwise("08").alias("slash_sheet"), F.lit(1).alias("profile_id"))
+    profiles = spark.createDataFrame([(1, True)], "profile_id int, is_active boolean")
+    facts = spark.range(100_000).select(F.lit(1).alias("profile_id"), F.col("id").alias("fact_key"))
+    found = torque.effective_by_sheet(resolved, profiles, facts, quality.PARITY_FACTS)
+    assert sorted(map(tuple, found.collect())) == [(s, 5_000_000_000, None) for s in ("05", "08")]
+    few = torque.effective_by_sheet(resolved, profiles, facts.where("fact_key < 6"), quality.PARITY_FACTS)
+    assert sorted(map(tuple, few.collect())) == [(s, 300_000, list(range(6))) for s in ("05", "08")]
