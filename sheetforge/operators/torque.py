@@ -10,6 +10,10 @@ from .ranges import FEW, in_ranges
 from .relational import counts_with_zero, last_wins
 
 
+#: So many facts of a profile go into one row of the join, and so many result rows into one task, about.
+PACK, PER_TASK = 1000, 5_000_000
+
+
 def by_rule(documents: DataFrame, rules: DataFrame, number: str) -> DataFrame:
     """The rules whose range holds the document's number, a row for each; documents without one stay, with nulls. A few rules are broadcast, more are joined by blocks."""
     if len(rules.select(F.lit(1)).head(FEW + 1)) <= FEW:
@@ -99,10 +103,23 @@ def resolve(status: DataFrame, mapping: DataFrame, profiles: DataFrame, facts: D
 
 
 def effective(resolved: DataFrame, profiles: DataFrame, facts: DataFrame) -> DataFrame:
-    """A row for each document and fact of its active profile."""
-    active = profiles.where("is_active").select("profile_id")
-    own = facts.select("profile_id", *[c for c in facts.columns if c not in resolved.columns])
-    return resolved.where("profile_id is not null").join(active, "profile_id").join(own, "profile_id")
+    """A row for each document and fact of its active profile.
+
+    The result grows with documents times facts of a profile. Facts are packed, PACK a row, and each document meets every pack of its profile, so that a profile
+    is dealt over tasks, whose number follows from the number of rows that come out (one number to the driver).
+    """
+    own = [c for c in facts.columns if c not in resolved.columns]
+    kept = ["profile_id", *[c for c in resolved.columns if c != "profile_id"]]
+    sizes = facts.groupBy("profile_id").agg(F.count("*").alias("_n")).withColumn("_packs", F.expr(f"(_n + {PACK - 1}) div {PACK}"))
+    active = profiles.where("is_active").select("profile_id").join(sizes, "profile_id")
+    docs = resolved.where("profile_id is not null").join(active, "profile_id")
+    tasks = max(1, min(10_000, (docs.agg(F.sum("_n")).first()[0] or 0) // PER_TASK))
+    pack = F.pmod(F.xxhash64(*own) if own else F.lit(0), F.col("_packs")).alias("_pack")
+    packed = facts.join(sizes, "profile_id").select("profile_id", pack, F.struct(F.lit(True).alias("_there"), *own).alias("_fact")).groupBy("profile_id", "_pack").agg(F.collect_list("_fact").alias("_facts"))
+    asked = docs.select(*kept, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_packs") - 1)).alias("_pack"))
+    if tasks > 1:
+        asked, packed = asked.repartition(tasks, "profile_id", "_pack"), packed.repartition(tasks, "profile_id", "_pack")
+    return asked.join(packed, ["profile_id", "_pack"]).select(*kept, F.explode("_facts").alias("_fact")).select(*kept, *[F.col("_fact")[c].alias(c) for c in own])
 
 
 def effective_by_sheet(resolved: DataFrame, profiles: DataFrame, facts: DataFrame, largest: int) -> DataFrame:

@@ -68,3 +68,20 @@ def test_parity_has_no_row_for_each_document_and_fact(spark, tmp_path):
     assert sorted(map(tuple, found.collect())) == [(s, 5_000_000_000, None) for s in ("05", "08")]
     few = torque.effective_by_sheet(resolved, profiles, facts.where("fact_key < 6"), quality.PARITY_FACTS)
     assert sorted(map(tuple, few.collect())) == [(s, 300_000, list(range(6))) for s in ("05", "08")]
+
+
+def test_facts_of_one_profile_are_dealt(spark, monkeypatch):
+    """A profile's rows come from many tasks, each document with every fact, repeated ones too."""
+    from pyspark.sql import functions as F
+
+    from sheetforge.operators import torque
+
+    monkeypatch.setattr(torque, "PACK", 10)
+    monkeypatch.setattr(torque, "PER_TASK", 1000)
+    resolved = spark.range(100).select(F.col("id").alias("spec_sheet"), F.lit(1).alias("profile_id"))
+    profiles = spark.createDataFrame([(1, True), (2, True)], "profile_id int, is_active boolean")
+    facts = spark.range(200).select(F.lit(1).alias("profile_id"), F.floor(F.col("id") / 2).alias("fact_key"))
+    out = torque.effective(resolved, profiles, facts)
+    each = [x["count"] for x in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(each) == 20_000 and len(each) > 4 and max(each) < 10_000
+    assert {tuple(x) for x in out.groupBy("fact_key").count().collect()} == {(i, 200) for i in range(100)}
