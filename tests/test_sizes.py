@@ -85,3 +85,30 @@ def test_facts_of_one_profile_are_dealt(spark, monkeypatch):
     each = [x["count"] for x in out.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(each) == 20_000 and len(each) > 4 and max(each) < 10_000
     assert {tuple(x) for x in out.groupBy("fact_key").count().collect()} == {(i, 200) for i in range(100)}
+
+
+def test_service_sorts_a_question_once(spark, tmp_path):
+    """Forty pages of a file in another order: rows are found and sorted once, and again when the file is another one."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from sheetforge.queries.served import Service
+    from sheetforge.sources import rest
+
+    written = []
+
+    class Counting(Service):
+        def _written(self, *a):
+            written.append(1)
+            return super()._written(*a)
+
+    ids = [i * 7919 % 2003 for i in range(2003)]
+    pq.write_table(pa.table({"id": ids, "v": [f"v{i % 5}" for i in ids]}), f"{tmp_path}/things.parquet")
+    service = Counting(str(tmp_path))
+    try:
+        read = lambda: sorted(map(tuple, rest.rest_table(spark, service.url, "things", "id long, v string", order="id", pageSize=40).where("v != 'v1'").collect()))
+        assert read() == [(i, f"v{i % 5}") for i in range(2003) if i % 5 != 1] and len(service.requests) > 40 and len(written) == 2
+        pq.write_table(pa.table({"id": [4, 6, 5], "v": ["v4", "v1", "v0"]}), f"{tmp_path}/things.parquet")
+        assert read() == [(4, "v4"), (5, "v0")]
+    finally:
+        service.close()
