@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 GRAM = 3
+#: Rows that a task makes terms of, and ids that are dealt to one file of a bucket, about.
+PER_TASK, PER_FILE = 10_000, 50_000
 
 
 @dataclass(frozen=True)
@@ -27,11 +29,15 @@ class Lists:
     def _bucket(self, term: Column | str) -> Column:
         return F.pmod(F.xxhash64(term), F.lit(self.buckets)).cast("int")
 
-    def build(self, pairs: DataFrame) -> Lists:
-        """Writes the lists of (term, id); repeated pairs are one. A long list is dealt over several files."""
-        rows = pairs.where("term is not null and id is not null").distinct().withColumn("bucket", self._bucket("term"))
-        deal = F.pmod(F.xxhash64("id"), F.lit(8))
-        rows.repartition("bucket", deal).sortWithinPartitions("bucket", "term", "id").write.partitionBy("bucket").parquet(f"{self.path}/lists")
+    def build(self, pairs: DataFrame, n_rows: int = 0) -> Lists:
+        """Writes the lists of (term, id); repeated pairs are one. A long list is dealt over several files, whose number follows from the `n_rows` rows that the pairs come from.
+
+        Pairs are moved before repeated ones are dropped: dropping them first would hold all pairs of a task, of which hardly any repeats.
+        """
+        deals = max(8, -(-n_rows // PER_FILE))
+        rows = pairs.where("term is not null and id is not null").withColumn("bucket", self._bucket("term")).withColumn("deal", F.pmod(F.xxhash64("id"), F.lit(deals)))
+        rows = (rows.repartition(self.buckets * deals, "bucket", "deal") if deals > 8 else rows.repartition("bucket", "deal")).dropDuplicates().drop("deal")
+        rows.sortWithinPartitions("bucket", "term", "id").write.partitionBy("bucket").parquet(f"{self.path}/lists")
         counts = self.spark.read.parquet(f"{self.path}/lists").groupBy("bucket", "term").agg(F.count("*").alias("n"))
         counts.repartition("bucket").sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{self.path}/lengths")
         return self
@@ -60,6 +66,13 @@ class Lists:
         return out
 
 
+def _spread(rows: DataFrame) -> tuple[DataFrame, int]:
+    """(rows, their number): a small file can make very many terms, so its rows are dealt over tasks of about PER_TASK."""
+    n = rows.count()
+    tasks = -(-n // PER_TASK)
+    return rows.repartition(tasks) if tasks > rows.sparkSession.sparkContext.defaultParallelism else rows, n
+
+
 # --- JSON
 
 
@@ -114,9 +127,9 @@ def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def json_index(df: DataFrame, id_column: str, column: str, path: str, buckets: int = 64) -> Lists:
     """Lists for containment in a column of JSON text; null and broken values are in no list."""
-    rows = df.select(F.col(id_column).alias("id"), F.col(column).alias("value"))
+    rows, n = _spread(df.select(F.col(id_column).alias("id"), F.col(column).alias("value")))
     kind = rows.schema["id"].dataType.simpleString()
-    return Lists(df.sparkSession, path, buckets).build(rows.mapInArrow(_term_rows, f"id {kind}, term string"))
+    return Lists(df.sparkSession, path, buckets).build(rows.mapInArrow(_term_rows, f"id {kind}, term string"), n)
 
 
 def contains_json(part: str):
@@ -153,8 +166,9 @@ def grams(c: Column) -> Column:
 
 def substring_index(df: DataFrame, id_column: str, columns: list[str], path: str, buckets: int = 64) -> Lists:
     """Lists for substrings of some columns, whatever the case; one list a run of characters for all columns."""
-    rows = df.select(F.col(id_column).alias("id"), F.explode(F.flatten(F.array(*[F.coalesce(grams(F.col(c)), F.array().cast("array<string>")) for c in columns]))).alias("term"))
-    return Lists(df.sparkSession, path, buckets).build(rows)
+    rows, n = _spread(df.select(F.col(id_column).alias("id"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)]))
+    own = F.array_distinct(F.flatten(F.array(*[F.coalesce(grams(F.col(f"c{i}")), F.array().cast("array<string>")) for i in range(len(columns))])))
+    return Lists(df.sparkSession, path, buckets).build(rows.select("id", F.explode(own).alias("term")), n)
 
 
 def has_substring(columns: list[str], needle: str) -> Column:

@@ -112,3 +112,18 @@ def test_service_sorts_a_question_once(spark, tmp_path):
         assert read() == [(4, "v4"), (5, "v0")]
     finally:
         service.close()
+
+
+def test_lists_are_dealt_by_the_number_of_rows(spark, tmp_path, monkeypatch):
+    """A list that every row is in lies in as many files as the rows ask for; rows that repeat an id count once."""
+    from pyspark.sql import functions as F
+
+    from sheetforge.operators import inverted
+
+    monkeypatch.setattr(inverted, "PER_TASK", 50)
+    monkeypatch.setattr(inverted, "PER_FILE", 25)
+    rows = spark.range(1000).select((F.col("id") % 800).alias("id"), F.lit("abc").alias("a"), F.lit("xABC").alias("b"))
+    index = inverted.substring_index(rows, "id", ["a", "b"], str(tmp_path), buckets=2)
+    assert index.lengths(["abc", "xab"]) == {"abc": 800, "xab": 800} and index.ids("abc").count() == 800
+    assert index.ids("abc").select(F.input_file_name()).distinct().count() > 8
+    assert inverted.search_substring(rows, "id", ["a", "b"], index, "XAB").count() == 1000
