@@ -28,6 +28,8 @@ PER_BLOCK = 1024
 #: Bits of a set's parity sketch, 64 a word. Bit i is the parity of the number of shingle hashes whose top bits are i, so
 #: two sketches differ in no more bits than their sets do in shingles: a bound that loses no link.
 SKETCH = 1024
+#: Buckets with more than so many pairs of members for each of their members are first settled by members picked by a hash, in so many rounds at most.
+CROWD, ROUNDS = 32, 2
 _WORDS = SKETCH // 64
 
 _LANE = [s * (BITS + 1) for s in range(PER_CHUNK)]
@@ -192,7 +194,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, threshold: int) ->
     pairs = materialize(pairs, "pairs")
     if pairs.isEmpty():
         return pairs
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    # one row an id is written once, from the ends of the pairs that are told apart before they meet
+    ids = materialize(pairs.select(F.col("a").alias("doc_id")).distinct().unionByName(pairs.select(F.col("b").alias("doc_id")).distinct()).distinct(), "ids")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(small_side(ids), "doc_id", "left_semi")
     sets = rows.mapInArrow(_set_rows(width), "doc_id long, shingles array<long>")
     sets = sets.groupBy("doc_id").agg(F.max("shingles").alias("s"))  # one row an id, also if rows repeat an id
@@ -205,6 +208,18 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, threshold: int) ->
     return materialize(pairs.where(common * 100 >= union * threshold).select("a", "b"), "links")
 
 
+def _picked(members: DataFrame, turn: int) -> DataFrame:
+    """For each bucket that holds several components: a member that a hash picks anew each turn, with its component, and the bucket's size g."""
+    one = F.struct(F.xxhash64(F.lit(turn), "key", "rep").alias("h"), "rep", "component")
+    picks = members.groupBy("key").agg(F.min(one).alias("p"), F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("g"))
+    return picks.where("least < most").select("key", F.col("p.rep").alias("other"), F.col("p.component").alias("its"), "g")
+
+
+def _meetings(members: DataFrame, picked: DataFrame) -> DataFrame:
+    """(x, y): each member of a bucket with the one that is picked there, unless both are of one component; so a pair a member at most, however large the bucket."""
+    return members.join(picked, "key").where("component != its").select(F.least("other", "rep").alias("x"), F.greatest("other", "rep").alias("y"))
+
+
 def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id, kept.
 
@@ -217,6 +232,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
        similarity 0.75 a symbol differs with probability 0.25, so a linked pair is farther apart about once in
        69,000 cases; more similar pairs far more rarely.
     3. In each bucket all members meet the smallest one first, never each other; confirmed links make components.
+       Where large buckets still hold several components, all members meet one that a hash picks, in ROUNDS rounds at most.
     4. Pairs across components in buckets that still hold several are compared too, in blocks, each pair in the first
        bucket that it shares. So no bucket is capped, and no link that could join two components is left out.
     In both, the tests of size, parity sketch and distance stand inside the join, so that pairs which can't be linked
@@ -238,17 +254,34 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
     keys = classes.select("rep", F.explode(_keys()).alias("e")).select("rep", "e.k", "e.key")
     shared = materialize(keys.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("members")).where("members > 1"), "shared")
     stored = materialize(keys.join(shared, "key").select("key", "k", "pivot", "members", "rep"), "buckets")
-    meet = materialize(stored.where("rep != pivot").select(F.col("pivot").alias("x"), F.col("rep").alias("y")).distinct(), "meetings")
-    hot = hot_values(meet, "x")
-    near = dealt(meet, "x", hot, ["y"]).join(as_y, "y").join(copied(as_x, "x", hot), ["x", "copy"]).where(_near(threshold)).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    links = _confirmed(near, docs, width, threshold)
-    found = connected_components(links)
 
-    named = (
-        stored.where("members > 2")
-        .join(found, F.col("rep") == F.col("vertex"), "left")
-        .select("key", "k", "rep", F.coalesce("component", "rep").alias("component"))
-    )
+    def linked(meetings: DataFrame) -> DataFrame:
+        """The links among pairs (x, y)."""
+        meet = materialize(meetings.distinct(), "meetings")
+        hot = hot_values(meet, "x")
+        near = dealt(meet, "x", hot, ["y"]).join(as_y, "y").join(copied(as_x, "x", hot), ["x", "copy"]).where(_near(threshold)).select(F.col("x").alias("a"), F.col("y").alias("b"))
+        out = _confirmed(near, docs, width, threshold)
+        discard(meet)
+        return out
+
+    def by_component() -> DataFrame:
+        """Members of the buckets that their smallest may not have settled, with their components as they are known."""
+        rows = stored.where("members > 2").join(found, F.col("rep") == F.col("vertex"), "left")
+        return rows.select("key", "k", "rep", F.coalesce("component", "rep").alias("component"))
+
+    links = linked(stored.where("rep != pivot").select(F.col("pivot").alias("x"), F.col("rep").alias("y")))
+    found = connected_components(links)
+    for turn in range(ROUNDS):
+        picked = materialize(_picked(by_component(), turn), "picked")
+        large = picked.agg(F.coalesce(F.sum(F.expr("g * g")) > CROWD * F.sum("g"), F.lit(False))).first()[0]
+        more = linked(_meetings(by_component(), picked)) if large else None
+        discard(picked)
+        if more is None or more.isEmpty():
+            break
+        links = links.unionByName(more)
+        found = connected_components(links)
+
+    named = by_component()
     unsettled = materialize(
         named.groupBy("key")
         .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("g"))
@@ -275,7 +308,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
         .distinct()
     )
     more = _confirmed(across, docs, width, threshold)
-    discard(shared, stored, meet, unsettled, rows)
+    discard(shared, stored, unsettled, rows)
     if not more.isEmpty():
         found = connected_components(links.unionByName(more))
 

@@ -629,6 +629,20 @@ def test_hot_members_are_dealt_out(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == brute_near(rows)
 
 
+def test_crowds_of_near_copies_do_not_emit_all_pairs(spark, monkeypatch):
+    """Copies of one text with a word changed, behind copies that are near to all of them and linked with few: those of one component don't all meet each other."""
+    seen = []
+    monkeypatch.setattr(near_dedup, "CROWD", 4, raising=False)
+    monkeypatch.setattr(near_dedup, "_confirmed", lambda pairs, *more, f=near_dedup._confirmed: seen.append(pairs.count()) or f(pairs, *more))
+    rng = random.Random(38)
+    base = words(rng, 60, 10**6).split()
+    changed = lambda i, places: " ".join(f"changed{i}x{j}" if j in places else w for j, w in enumerate(base))
+    rows = [(i, changed(i, rng.sample(range(60), 4))) for i in range(100)] + [(i, changed(i, [rng.randrange(20, 30)])) for i in range(100, 180)]
+    out = near_dedup.near_duplicates(documents(spark, rows)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == brute_near(rows)
+    assert seen[-1] < len(rows) and sum(seen[1:]) < 1200
+
+
 def test_signature_join_finds_all_within_the_distance():
     rng = np.random.default_rng(11)
     for _ in range(200):
