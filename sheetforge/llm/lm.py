@@ -1,4 +1,4 @@
-"""Language-model scores: a log-bilinear model trained with noise-contrastive estimation, over counts of the whole corpus."""
+"""Language-model scores: a log-bilinear model of the greatest likelihood over the whole training text, and counts of the whole corpus."""
 
 from __future__ import annotations
 
@@ -18,9 +18,10 @@ from ._common import bounded_batches, materialize
 WORDS, CLASSES = 1024, 128
 #: At most so many of the most frequent words, with their counts, go to every worker; all others are joined by shuffle.
 HEAD = 1 << 18
-#: About so many places of the training text are learned from, picked by a hash; LIMIT is a bound.
-WINDOWS = 300_000
-LIMIT = 4 * WINDOWS
+#: Steps of the fit, over all places of the training text each, and their rate at first.
+FIT, FIT_RATE = 60, 0.05
+#: The prior on token and output vectors, in roots of the places of an output: it fades as the text grows.
+STIFF = 8.0
 DIM, EPOCHS, BATCH, NOISE, RATE = 32, 3, 1024, 256, 0.06
 #: Steps of an epoch at least, as far as batches can be made smaller for it.
 STEPS = 250
@@ -242,6 +243,45 @@ class Network:
                     squares[name] += g * g
                     self.weights[name] -= rate * g / np.sqrt(squares[name])
 
+    def likelihood(self, one: np.ndarray, two: np.ndarray, contexts: np.ndarray) -> tuple[float, dict]:
+        """The negative log likelihood a place of a text, with a prior on R and Q, and its gradients.
+
+        `one` and `two` say how often each output stands two places and one place behind each token, `contexts` how often each pair of tokens is
+        a context. They are all that the likelihood of a log-bilinear model needs of the text: the scores are linear in the first two,
+        and normalisers depend on contexts alone.
+        """
+        w, places = self.weights, max(1.0, float(two.sum(dtype=np.float64)))
+        stiff = STIFF * float(np.sqrt(places / len(two)))
+        first, second = w["R"] @ w["C0"], w["R"] @ w["C1"]
+        x, y = first @ w["Q"].T, second @ w["Q"].T + w["bias"]
+        y[:, START] = -np.inf
+        high, low = x.max(1, keepdims=True), y.max(1, keepdims=True)
+        ex, ey = np.exp(x - high), np.exp(y - low)
+        total = np.maximum(ex @ ey.T, np.finfo(ex.dtype).tiny)
+        share = contexts / total
+        y[:, START] = 0
+        prior = 0.5 * stiff * float((w["R"] ** 2).sum() + (w["Q"] ** 2).sum())
+        fit = float((one * x).sum(dtype=np.float64) + (two * y).sum(dtype=np.float64)) - float((contexts * (np.log(total) + high + low.T)).sum(dtype=np.float64))
+        dx, dy = (ex * (share @ ey) - one) / places, (ey * (share.T @ ex) - two) / places
+        d_first, d_second = dx @ w["Q"], dy @ w["Q"]
+        return (prior - fit) / places, {
+            "R": d_first @ w["C0"].T + d_second @ w["C1"].T + stiff / places * w["R"], "Q": dx.T @ first + dy.T @ second + stiff / places * w["Q"], "bias": dy.sum(0),
+            "C0": w["R"].T @ d_first, "C1": w["R"].T @ d_second,
+        }
+
+    def learn(self, one: np.ndarray, two: np.ndarray, contexts: np.ndarray, steps: int = FIT, rate: float = FIT_RATE) -> None:
+        """Adam on `likelihood`, the whole text in each step; the rate falls to zero."""
+        one, two, contexts = (x.astype(np.float32) for x in (one, two, contexts))
+        self.weights = {name: v.astype(np.float32) for name, v in self.weights.items()}
+        mean, square = ({name: np.zeros_like(v) for name, v in self.weights.items()} for _ in range(2))
+        for step in range(1, steps + 1):
+            for name, g in self.likelihood(one, two, contexts)[1].items():
+                mean[name] += 0.1 * (g - mean[name])
+                square[name] += 0.01 * (g * g - square[name])
+                now = rate * 0.5 * (1 + np.cos(np.pi * (step - 1) / steps))
+                self.weights[name] -= np.float32(now / (1 - 0.9**step)) * mean[name] / (np.sqrt(square[name] / np.float32(1 - 0.99**step)) + np.float32(1e-9))
+        self.weights = {name: v.astype(np.float64) for name, v in self.weights.items()}
+
     def model(self) -> Model:
         """Scores of all outputs after every token at each place, and the normaliser of every context, by products of whole matrices.
 
@@ -274,36 +314,53 @@ def _contexts(out: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return a, b, target, row
 
 
-def _windows(shared, share: float, classes: int):
+def _followers(shared, classes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex: Lexicon = shared.value
+        size = 2 + lex.n_words + classes
+        seen = np.zeros(2 * size * size, np.int64)
         for batch in batches:
-            marks = batch.column("mark").to_numpy().view(np.uint64)
-            for first, _, h, kinds, bounds in tokens(batch.column("text"), classes):
-                a, b, target, row = _contexts(lex.outputs(lex.find(h), kinds), bounds)
-                draw = mix(marks[first + row] + np.arange(len(row), dtype=np.uint64) * _DRAW) >> np.uint64(11)
-                keep = draw < share * float(1 << 53)
-                yield pa.RecordBatch.from_arrays([pa.array(x[keep].astype(np.int32)) for x in (a, b, target)], names=["a", "b", "target"])
+            for _, _, h, kinds, bounds in tokens(batch.column("text"), classes):
+                a, b, target, _ = _contexts(lex.outputs(lex.find(h), kinds), bounds)
+                for place, before in enumerate((a, b)):
+                    np.add.at(seen, (place * size + before) * size + target, 1)
+        cells = np.flatnonzero(seen)
+        for at in range(0, len(cells), 1 << 18):
+            part = cells[at : at + (1 << 18)]
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(seen[part])], names=["cell", "n"])
 
     return run
 
 
-def fit(docs: DataFrame, lex: Lexicon, windows: int = WINDOWS, limit: int = LIMIT, classes: int = CLASSES) -> Model:
-    """The model of some training rows (doc_id, text), trained on about `windows` places of theirs, `limit` at most.
+def followers(docs: DataFrame, lex: Lexicon, classes: int = CLASSES) -> tuple[np.ndarray, np.ndarray]:
+    """How often each output stands two places, and one place, behind each token in all rows; summed in the tasks and then by cell.
 
-    Documents are picked by a hash of doc_id and text, with the probability that gives twenty times as many places as are wanted, and places of these by a
-    hash of their number: each place of the corpus is as likely as any other. Only numbers of outputs come to the driver.
+    At most two numbers for each pair of outputs come to the driver, however large the corpus.
     """
     bounded_batches(docs.sparkSession)
-    spark = docs.sparkSession
+    size = 2 + lex.n_words + classes
+    rows = docs.select("text").mapInArrow(_followers(docs.sparkSession.sparkContext.broadcast(lex), classes), "cell int, n long")
+    got = rows.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    seen = np.zeros(2 * size * size)
+    seen[got["cell"].to_numpy(np.int64)] = got["n"].to_numpy(np.float64)
+    one, two = seen.reshape(2, size, size)
+    return one, two
+
+
+def contexts_of(two: np.ndarray) -> np.ndarray:
+    """How often each pair of tokens is a context: whatever follows a token, but for an end, is followed itself; and each text begins with nothing before it."""
+    out = two.copy()
+    out[:, END] = 0
+    out[START, START] = two[START].sum()
+    return out
+
+
+def fit(docs: DataFrame, lex: Lexicon, steps: int = FIT, classes: int = CLASSES) -> Model:
+    """The model of all training rows: every place of their texts counts in every step, by `followers`, which is all that the likelihood depends on."""
     network = Network(lex.totals())
     if lex.n_tokens:
-        some = min(1.0, 20 * windows / lex.n_tokens)
-        mark = F.xxhash64(F.lit("lm"), "doc_id", "text")
-        rows = docs.select(mark.alias("mark"), "text").where(F.pmod("mark", F.lit(1 << 30)) < some * float(1 << 30))
-        share = min(1.0, windows / (lex.n_tokens * some))
-        found = rows.mapInArrow(_windows(spark.sparkContext.broadcast(lex), share, classes), "a int, b int, target int").limit(limit).toPandas().to_numpy(np.int64)
-        network.train(found[np.lexsort(found.T)])
+        one, two = followers(docs, lex, classes)
+        network.learn(one, two, contexts_of(two), steps)
     return network.model()
 
 
@@ -353,7 +410,7 @@ def score_documents(docs: DataFrame, train: Column | None = None) -> DataFrame:
 
     score is the log10 probability of the text under the model: a log-bilinear network of the two tokens before predicts the end, one of the WORDS most frequent words, or the class
     of any other word; a word of a class with N' occurrences of V' training words has (c + 0.5) / (N' + 0.5 * (V' + 1)) of the class's probability, where c = 0 stands for one unseen
-    word. Over all outcomes this sums to 1. Counts cover all training rows; only the network's weights are fitted on a sample of places (`fit`).
+    word. Over all outcomes this sums to 1. Counts cover all training rows, and the network's weights are fitted to all of their places (`fit`).
 
     Words are told apart by 64-bit hashes: two of ten million different words share one with a probability of about 3e-6.
     Counts of the HEAD most frequent words are in every worker; other words go, by hash, to the table of counts, which isn't broadcast, and what is found

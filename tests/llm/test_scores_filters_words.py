@@ -141,6 +141,35 @@ def test_gradients():
             assert grads[name][at] == pytest.approx((up - down) / (2 * eps), abs=1e-6)
 
 
+def test_weights_are_fitted_to_all_places(spark):
+    """Each place of the training text counts once, and the gradients are those of the likelihood of the whole text."""
+    rng = random.Random(5)
+    rows = [(i, words(rng, rng.randrange(30), 12)) for i in range(40)] + [(99, None)]
+    docs = documents(spark, rows)
+    lex = lm.lexicon(lm.counts(docs, 3), len(rows), 6, 3)
+    one, two = lm.followers(docs, lex, 3)
+    contexts = lm.contexts_of(two)
+    assert one.sum() == two.sum() == contexts.sum() == lex.n_tokens and (two.sum(0) == lex.totals()).all() and (one.sum(1) == contexts.sum(1)).all() and (two.sum(1) == contexts.sum(0)).all()
+    network = lm.Network(lex.totals(), 3)
+    network.weights["Q"] = np.random.default_rng(6).normal(size=network.weights["Q"].shape)
+    grads = network.likelihood(one, two, contexts)[1]
+    model, mean = network.model(), 0.0
+    for place in np.ndindex(contexts.shape):
+        mean += contexts[place] * np.log(np.exp(model.log_probabilities(*[np.full(len(one) - 1, x) for x in place], np.arange(1, len(one)))).sum())
+    assert abs(mean) < 1e-2
+    for name, value in network.weights.items():
+        at, eps = tuple(n - 1 for n in value.shape), 1e-5
+        value[at] += eps
+        up = network.likelihood(one, two, contexts)[0]
+        value[at] -= 2 * eps
+        down = network.likelihood(one, two, contexts)[0]
+        value[at] += eps
+        assert grads[name][at] == pytest.approx((up - down) / (2 * eps), abs=1e-6)
+    before = network.likelihood(one, two, contexts)[0]
+    network.learn(one, two, contexts)
+    assert network.likelihood(one, two, contexts)[0] < before
+
+
 def test_lm_query(spark, tmp_path):
     rng = random.Random(4)
     rows = [(i, words(rng, 40)) for i in range(100)] + [(500 + i, words(random.Random(5), 50)) for i in range(50)] + [(900, None)]
