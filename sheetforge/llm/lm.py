@@ -150,11 +150,11 @@ def lexicon(counted: DataFrame, n_ends: int, words: int = WORDS, classes: int =
         if room < 0:
             break
         least = r["step"]
-    top = counted.where(step >= least).toPandas() if least is not None else None
+    top = counted.where(step >= least).toArrow() if least is not None else None
     if top is None:
         empty = np.zeros(0, np.int64)
         return Lexicon(empty.view(np.uint64), empty, empty, kind_n, kind_v, n_ends, n_tokens, n_types)
-    h, n, kind = top["word"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64), top["kind"].to_numpy(np.int64)
+    h, n, kind = top["word"].to_numpy().view(np.uint64), top["n"].to_numpy(), top["kind"].to_numpy().astype(np.int64)
     order = np.argsort(h)
     h, n, kind = h[order], n[order], kind[order]
     best = np.lexsort((h, -n))[:words]
@@ -335,14 +335,15 @@ def _followers(shared, classes: int):
 def followers(docs: DataFrame, lex: Lexicon, classes: int = CLASSES) -> tuple[np.ndarray, np.ndarray]:
     """How often each output stands two places, and one place, behind each token in all rows; summed in the tasks and then by cell.
 
-    At most two numbers for each pair of outputs come to the driver, however large the corpus.
+    At most two numbers for each pair of outputs come to the driver, however large the corpus, and as columns: millions of row objects would take
+    hundreds of MB there.
     """
     bounded_batches(docs.sparkSession)
     size = 2 + lex.n_words + classes
     rows = docs.select("text").mapInArrow(_followers(docs.sparkSession.sparkContext.broadcast(lex), classes), "cell int, n long")
-    got = rows.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    got = rows.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     seen = np.zeros(2 * size * size)
-    seen[got["cell"].to_numpy(np.int64)] = got["n"].to_numpy(np.float64)
+    seen[got["cell"].to_numpy()] = got["n"].to_numpy()
     one, two = seen.reshape(2, size, size)
     return one, two
 

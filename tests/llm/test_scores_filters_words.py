@@ -5,6 +5,7 @@ import math
 import os
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from itertools import permutations
@@ -170,6 +171,21 @@ def test_weights_are_fitted_to_all_places(spark):
     assert network.likelihood(one, two, contexts)[0] < before
 
 
+def test_followers_come_as_columns(spark):
+    rng = np.random.default_rng(8)
+    docs = documents(spark, [(i, " ".join(f"w{x}" for x in rng.integers(0, 400, 500))) for i in range(300)])
+    lex = lm.lexicon(lm.counts(docs), 300)
+    lm.followers(docs, lex)
+    tracemalloc.start()
+    try:
+        one, two = lm.followers(docs, lex)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    cells = int((one > 0).sum() + (two > 0).sum())
+    assert cells > 150_000 and most < one.nbytes + two.nbytes + 40 * cells  # a row object a cell took more than 100 bytes
+
+
 def test_lm_query(spark, tmp_path):
     rng = random.Random(4)
     rows = [(i, words(rng, 40)) for i in range(100)] + [(500 + i, words(random.Random(5), 50)) for i in range(50)] + [(900, None)]
