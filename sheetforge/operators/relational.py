@@ -4,9 +4,18 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+
+def tasks_for(spark: SparkSession, rows: int, each: int) -> int:
+    """How many partitions so many rows are dealt over, so that a task's share stays at about `each`; Spark's own number at least.
+
+    Partitions that Spark chooses are joined again by their compressed size, which says little of the memory of repetitive rows.
+    """
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // each))
+
+
 # --- one row a key
 
 

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import text as t
 from ..functions import values as v
 from ..operators import dims, extract, quality
-from ..operators.relational import last_wins
+from ..operators.relational import last_wins, tasks_for
+
+#: Pages, or documents, of a task; a document's parts meet in one task, each of them sorted in memory.
+PAGES = 40_000
 
 
 def geometry(pages: DataFrame, components: DataFrame) -> DataFrame:
@@ -23,8 +26,11 @@ def geometry(pages: DataFrame, components: DataFrame) -> DataFrame:
 def records(spark: SparkSession, pages: DataFrame, sources: DataFrame) -> DataFrame:
     """One row for each of `sources` (doc_key, title, spec_sheet, revision), with `checks`, `flags`, `confidence` and `needs_fallback`.
 
-    The document's own header wins over the given spec sheet. Documents without pages have confidence 0.
+    The document's own header wins over the given spec sheet. Documents without pages have confidence 0. Pages are counted, and moved once
+    to the tasks of their documents, where all that is read from them is put together: tasks grow in number with the pages, not in size.
     """
+    tasks = tasks_for(spark, max(pages.count(), sources.count()), PAGES)
+    pages, sources = pages.repartition(tasks, "doc_key"), sources.repartition(tasks, "doc_key")
     summary = extract.page_summary(pages)
     lists = extract.document_lists(summary)
     parts = extract.pin_components(pages)

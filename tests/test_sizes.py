@@ -127,3 +127,13 @@ def test_lists_are_dealt_by_the_number_of_rows(spark, tmp_path, monkeypatch):
     assert index.lengths(["abc", "xab"]) == {"abc": 800, "xab": 800} and index.ids("abc").count() == 800
     assert index.ids("abc").select(F.input_file_name()).distinct().count() > 8
     assert inverted.search_substring(rows, "id", ["a", "b"], index, "XAB").count() == 1000
+
+
+def test_records_are_made_by_tasks_that_follow_the_pages(spark, monkeypatch):
+    """No task gets much more than PAGES pages, whatever Spark makes of their compressed size."""
+    from sheetforge.plans import extraction
+
+    monkeypatch.setattr(extraction, "PAGES", 20)
+    out = QUERIES["x_document_records"](spark, FOLDER)
+    per = [n for n in out.rdd.mapPartitions(lambda p: [sum(1 for _ in p)]).collect() if n]
+    assert sum(per) == 200 and len(per) > 20 and max(per) <= 20
