@@ -137,3 +137,17 @@ def test_records_are_made_by_tasks_that_follow_the_pages(spark, monkeypatch):
     out = QUERIES["x_document_records"](spark, FOLDER)
     per = [n for n in out.rdd.mapPartitions(lambda p: [sum(1 for _ in p)]).collect() if n]
     assert sum(per) == 200 and len(per) > 20 and max(per) <= 20
+
+
+@pytest.mark.parametrize("name, most", [("a_mate_family", 0.25)])
+def test_mates_are_made_by_tasks_that_follow_the_pairs(spark, tmp_path, monkeypatch, name, most):
+    """Each task has a small part of the rows, though Spark would put these few bytes into one; the rows are those of the SQL."""
+    from pyspark.sql import functions as F
+
+    from sheetforge.operators import search
+
+    folder, con = tables(tmp_path, part="SELECT * REPLACE (p_partkey + 1000 * i AS p_partkey, p_size % 5 AS p_size) FROM given_part, range(4) t(i)")
+    monkeypatch.setattr(search, "PAIRS", 500)
+    same(spark, name, folder, con)
+    per = [r["n"] for r in QUERIES[name](spark, folder).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert len(per) > 12 and max(per) < most * sum(per)
