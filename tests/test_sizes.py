@@ -139,7 +139,7 @@ def test_records_are_made_by_tasks_that_follow_the_pages(spark, monkeypatch):
     assert sum(per) == 200 and len(per) > 20 and max(per) <= 20
 
 
-@pytest.mark.parametrize("name, most", [("a_mate_family", 0.25), ("j_mates", 0.25)])
+@pytest.mark.parametrize("name, most", [("a_mate_family", 0.25), ("j_mates", 0.25), ("f_reasons", 0.25)])
 def test_mates_are_made_by_tasks_that_follow_the_pairs(spark, tmp_path, monkeypatch, name, most):
     """Each task has a small part of the rows, though Spark would put these few bytes into one; the rows are those of the SQL."""
     from pyspark.sql import functions as F
