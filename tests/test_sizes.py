@@ -151,3 +151,17 @@ def test_mates_are_made_by_tasks_that_follow_the_pairs(spark, tmp_path, monkeypa
     same(spark, name, folder, con)
     per = [r["n"] for r in QUERIES[name](spark, folder).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
     assert len(per) > 12 and max(per) < most * sum(per)
+
+
+def test_gaps_lie_in_blocks_that_a_file_stores_small(spark, tmp_path, monkeypatch):
+    """Neighbouring keys' equal values lie together, in tasks that follow the rows, and the file is a small part of eight bytes a row; the rows are those of the SQL."""
+    from sheetforge.operators import relational
+
+    monkeypatch.setattr(relational, "GAP_ROWS", 100_000, raising=False)
+    held = "SELECT * REPLACE ((l_linenumber * 7919 + l_orderkey * 31) % 2000 - 1000 AS l_partkey, l_orderkey % 400 AS l_suppkey) FROM given_lineitem"
+    folder, con = tables(tmp_path, lineitem=held)
+    same(spark, "j_anti_gaps", folder, con)
+    out = QUERIES["j_anti_gaps"](spark, folder)
+    out.write.parquet(f"{tmp_path}/out")
+    files = [f"{tmp_path}/out/{x}" for x in os.listdir(f"{tmp_path}/out") if x.endswith(".parquet")]
+    assert sum(map(os.path.getsize, files)) < out.count() and len(files) > 6
