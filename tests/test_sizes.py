@@ -165,3 +165,30 @@ def test_gaps_lie_in_blocks_that_a_file_stores_small(spark, tmp_path, monkeypatc
     out.write.parquet(f"{tmp_path}/out")
     files = [f"{tmp_path}/out/{x}" for x in os.listdir(f"{tmp_path}/out") if x.endswith(".parquet")]
     assert sum(map(os.path.getsize, files)) < out.count() and len(files) > 6
+
+
+def test_reasons_of_one_profile_are_dealt(spark, tmp_path, monkeypatch):
+    """All sources have one profile, whose pairs are cut into tiles on both sides; packs of ids lose and repeat none."""
+    from pyspark.sql import functions as F
+
+    from sheetforge.operators import search
+
+    one = "SELECT * REPLACE (84 * (p_partkey + 1000 * i) + 1 AS p_partkey, 'Brand#' || (1 + p_partkey % 2) AS p_brand, 1::INT AS p_size) FROM given_part, range(4) t(i)"
+    folder, con = tables(tmp_path, part=one)
+    monkeypatch.setattr(search, "SPELLED", 4000, raising=False)
+    monkeypatch.setattr(search, "PACK", 7, raising=False)
+    pairs = sum(same(spark, "f_reasons", folder, con).values())
+    per = [r["n"] for r in QUERIES["f_reasons"](spark, folder).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert sum(per) == pairs > 100_000 and len(per) > 12 and max(per) < 0.25 * pairs
+
+
+def test_reasons_of_parts_without_an_id(spark):
+    """A part without an id is a source and a mate as any other."""
+    from sheetforge.operators import search
+
+    row = lambda k, sheet, mate, shell, revision: (k, sheet, 9, shell, "Plug", "Pin", revision, [mate])
+    parts = [row(None, "01", "MIL-DTL-83513/2", None, "A"), row("b", "02", "MIL-DTL-83513/1", "B", ""), row(None, "02", "MIL-DTL-83513/7", None, None)]
+    df = spark.createDataFrame(parts, "config_id string, slash_sheet string, cavity_count int, shell_letter string, gender string, contact_type string, revision string, mates_with array<string>")
+    found = sorted((str(x[0]), str(x[1]), x[2]) for x in search.mate_reasons(df, df).collect())
+    both = "Listed as a mating sheet; Same cavity count"
+    assert found == [("None", "None", f"{both}; Same shell size"), ("None", "b", both)]
